@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference reads two files once and has no stream, watermark, event-time
+window over a stream or stateful operator (its only time windows are the
+batch label/history folds in ``clickfold.operators.folds``).  Nothing is
+built here on purpose; see README.md.
+"""
