@@ -28,8 +28,22 @@ from clickfold.operators.label import (
     label_count,
     label_ratios,
 )
-from clickfold.plans.features import prepare_derived
-from clickfold.sources.log import derived_log
+from clickfold.operators.joins import natural_left_join, stack_folds
+from clickfold.operators.label import label_feature_columns, predicted_rank_counts, PREDICTED_RANK_COUNTS
+from clickfold.operators.history import all_history_columns
+from clickfold.operators.sampling import balanced_sample
+from clickfold.operators.smoothing import fit_smoothing, rate_counts, smoothed_rate
+from clickfold.plans import model as M
+from clickfold.plans.features import build_features, prepare_derived
+from clickfold.session import ensure_checkpoint_dir
+from clickfold.sources.log import derived_log, order_log
+from clickfold.sources.sink import read_scores, write_scores
+
+# Fixed values of the smoother run: start point, step cap and tolerance.
+SMOOTH_ALPHA0, SMOOTH_BETA0, SMOOTH_ITER, SMOOTH_EPS = 1.0, 1.0, 1000, 1e-10
+TRAIN_FOLDS = (1, 2, 3, 4, 5)
+TEST_FOLD = 6
+PARSE_COLS = ("item_category_list_2", "predict_category_property_rank", "item_category_count")
 
 Query = Callable[[SparkSession, str], DataFrame]
 ID = ("fold_id", "instance_id")
@@ -107,6 +121,106 @@ def _flag_query(prefix, keys, zero_last=False) -> Query:
     return q
 
 
+def q_predicted_rank_counts(spark, sf_dir):
+    p = prepare_derived(spark, sf_dir)
+    return predicted_rank_counts(p.labels).select(*ID, *[o for o, _ in PREDICTED_RANK_COUNTS])
+
+
+def q_natural_left_join(spark, sf_dir):
+    """J4 as the reference uses it: rows meet a (key, earliest time) table on
+    every shared column."""
+    p = prepare_derived(spark, sf_dir)
+    left = p.labels.select("fold_id", "instance_id", "user_id", "context_timestamp")
+    right = (p.labels.groupBy("fold_id", "user_id")
+             .agg(F.min("context_timestamp").alias("context_timestamp"))
+             .withColumn("user_first", F.lit(1)))
+    return natural_left_join(left, right).select(*ID, "user_first")
+
+
+def q_stack_folds(spark, sf_dir):
+    p = prepare_derived(spark, sf_dir)
+    parts = [p.labels.where(F.col("fold_id") == f).select(*ID, "is_trade") for f in TRAIN_FOLDS]
+    return stack_folds(parts)
+
+
+def feature_table(spark, sf_dir, compat: bool = False) -> DataFrame:
+    p = prepare_derived(spark, sf_dir)
+    return build_features(p, compat=compat)
+
+
+def feature_output_columns() -> list[str]:
+    return [*ID, "is_trade", *PARSE_COLS, *label_feature_columns(), *all_history_columns()]
+
+
+def q_feature_table(spark, sf_dir):
+    return feature_table(spark, sf_dir).select(*feature_output_columns())
+
+
+def q_correlation_screen(spark, sf_dir):
+    feats = feature_table(spark, sf_dir).where(F.col("fold_id").isin(*TRAIN_FOLDS))
+    return M.correlation_screen(feats)
+
+
+def q_balanced_sample(spark, sf_dir):
+    p = prepare_derived(spark, sf_dir)
+    train = p.labels.where(F.col("fold_id").isin(*TRAIN_FOLDS))
+    return balanced_sample(train).select(*ID, "is_trade")
+
+
+def _baseline_scores(spark, sf_dir) -> DataFrame:
+    """Deterministic predictor: the item's purchase ratio in the fold's
+    history (0 when unseen)."""
+    p = prepare_derived(spark, sf_dir)
+    df = attach_history(p.labels, p.history, ("item_id",), "item")
+    return df.select(*ID, "is_trade",
+                     F.coalesce(F.col("item_buy_ratio"), F.lit(0.0)).alias("predicted_score"))
+
+
+def q_log_loss(spark, sf_dir):
+    s = _baseline_scores(spark, sf_dir).where(F.col("fold_id").isin(*TRAIN_FOLDS))
+    out = M.log_loss(s, by=("fold_id",))
+    return out.select("fold_id", "n", F.round("log_loss", 6).alias("log_loss"))
+
+
+def q_write_scores(spark, sf_dir):
+    """S3 round trip: test-fold scores written as space-separated text with CR
+    line ends into the shared checkpoint folder, then read back."""
+    import uuid
+    s = _baseline_scores(spark, sf_dir).where(F.col("fold_id") == TEST_FOLD)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickfold-scores-{uuid.uuid4().hex}"
+    write_scores(s, path)
+    return read_scores(spark, path)
+
+
+def _item_counts(spark, sf_dir) -> DataFrame:
+    return rate_counts(order_log(spark, sf_dir), ["item_id"])
+
+
+def _fit(spark, sf_dir):
+    return fit_smoothing(_item_counts(spark, sf_dir), SMOOTH_ALPHA0, SMOOTH_BETA0,
+                         SMOOTH_ITER, SMOOTH_EPS)
+
+
+def q_smoothing_fit(spark, sf_dir):
+    fit = _fit(spark, sf_dir)
+    return fit.frame(spark).select(F.round("alpha", 6).alias("alpha"),
+                                   F.round("beta", 6).alias("beta"))
+
+
+def q_smoothed_rate(spark, sf_dir):
+    fit = _fit(spark, sf_dir)
+    out = smoothed_rate(_item_counts(spark, sf_dir), fit)
+    return out.select("item_id", "imp", "clk", F.round("smoothed_rate", 6).alias("smoothed_rate"))
+
+
+def q_train_and_score(spark, sf_dir, rounds: int = M.ROUNDS):
+    feats = feature_table(spark, sf_dir)
+    cols = M.feature_columns(feats)
+    model = M.fit_conversion_model(feats.where(F.col("fold_id").isin(*TRAIN_FOLDS)), cols,
+                                   rounds=rounds)
+    return M.score(model, feats.where(F.col("fold_id") == TEST_FOLD), cols)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "parse_categories": q_parse_categories,
@@ -129,4 +243,15 @@ def queries() -> dict[str, Query]:
     for prefix, keys in FLAG_KEYS:
         out[f"first_last_{prefix}"] = _flag_query(prefix, keys)
     out["first_last_context_compat"] = _flag_query("context", ("context_id",), zero_last=True)
+    out["predicted_rank_counts"] = q_predicted_rank_counts
+    out["natural_left_join"] = q_natural_left_join
+    out["stack_folds"] = q_stack_folds
+    out["feature_table"] = q_feature_table
+    out["correlation_screen"] = q_correlation_screen
+    out["balanced_sample"] = q_balanced_sample
+    out["log_loss"] = q_log_loss
+    out["write_scores"] = q_write_scores
+    out["smoothing_fit"] = q_smoothing_fit
+    out["smoothed_rate"] = q_smoothed_rate
+    out["train_and_score"] = q_train_and_score
     return out

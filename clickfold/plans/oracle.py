@@ -9,15 +9,29 @@ Spark plan.
 
 from __future__ import annotations
 
-from clickfold.operators.history import HISTORY_KEYS
+from clickfold.operators.history import HISTORY_KEYS, MEASURES
 from clickfold.operators.label import (
     FLAG_KEYS,
     HOURLY_COUNTS,
     LABEL_COUNTS,
     LABEL_RATIOS,
+    PREDICTED_RANK_COUNTS,
     RANK_KEYS,
+    label_feature_columns,
 )
 
+TRAIN_FOLDS = (1, 2, 3, 4, 5)
+TEST_FOLD = 6
+LABEL_FEATURES = label_feature_columns()
+# Numeric model columns (M1) of the derived log, for the correlation screen:
+# raw numeric ids kept by M1, two parse columns, label and history features.
+_M1_DROP = {"user_rank_down", "user_first", "item_category_list_2_not_buy_count",
+            "item_category_list_2_count"}
+RAW_NUMERIC = ("user_gender_id", "context_page_id", "shop_review_num_level")
+CORRELATION_COLUMNS = [c for c in (
+    [*RAW_NUMERIC, "predict_category_property_rank", "item_category_count"] + LABEL_FEATURES
+    + [f"{p}_{m}" for p, _ in HISTORY_KEYS for m in MEASURES]) if c not in _M1_DROP]
+
 # Derived log, parse columns and fold roles (FIXTURES.md section 2).
 PRELUDE = """
 WITH ev AS (
@@ -111,7 +125,7 @@ FROM (
 
 
 def history_sql() -> dict[str, str]:
-    return {f"hist_{p}": PRELUDE + history_select(p, keys) for p, keys in HISTORY_KEYS}
+    return {f"hist_{p}": history_select(p, keys) for p, keys in HISTORY_KEYS}
 
 
 def standalone_sql() -> dict[str, str]:
@@ -120,7 +134,7 @@ def standalone_sql() -> dict[str, str]:
         if "context_timestamp" not in keys:
             continue
         k = ", ".join(keys)
-        out[f"hist_standalone_{p}"] = PRELUDE + f"""
+        out[f"hist_standalone_{p}"] = f"""
 SELECT fold_id, {k}, count(*) AS {p}_count, CAST(sum(is_trade) AS BIGINT) AS {p}_buy_count,
        CAST(sum(is_trade) AS DOUBLE) / count(*) AS {p}_buy_ratio,
        count(*) - CAST(sum(is_trade) AS BIGINT) AS {p}_not_buy_count
@@ -134,7 +148,7 @@ def label_count_sql() -> dict[str, str]:
     for name, keys, counted in LABEL_COUNTS:
         k = ", ".join(keys)
         nn = " AND ".join(f"{x} IS NOT NULL" for x in keys)
-        out[f"label_counts_{name.removesuffix('_count_label')}"] = PRELUDE + f"""
+        out[f"label_counts_{name.removesuffix('_count_label')}"] = f"""
 , g AS (SELECT fold_id, {k}, count({counted}) AS {name} FROM lab WHERE {nn} GROUP BY fold_id, {k})
 SELECT l.fold_id, l.instance_id, g.{name}
 FROM lab l LEFT JOIN g ON {_match(keys, 'g', 'l')}"""
@@ -148,7 +162,7 @@ def label_ratio_sql() -> str:
                       f"{_match(keys, 'x', 'l')}) AS {name}")
     sel = ",\n       ".join(f"CASE WHEN {d} = 0 THEN -1.0 ELSE CAST({n} AS DOUBLE) / {d} END AS {o}"
                             for o, n, d in LABEL_RATIOS)
-    return PRELUDE + f"""
+    return f"""
 SELECT fold_id, instance_id,
        {sel}
 FROM (SELECT l.fold_id, l.instance_id, {", ".join(counts)} FROM lab l)"""
@@ -159,7 +173,7 @@ def hourly_sql(extra: bool = True) -> str:
                                   if extra else [])
     aggs = ", ".join(f"count({c}) AS {o}" for o, c in cols)
     outs = ", ".join(f"h.{o}" for o, _ in cols)
-    return PRELUDE + f"""
+    return f"""
 , hr AS (SELECT fold_id, CAST(substr(context_timestamp, 12, 2) AS INT) AS hh, {aggs}
          FROM lab GROUP BY ALL)
 SELECT l.fold_id, l.instance_id, {outs}
@@ -190,8 +204,8 @@ FROM lab l LEFT JOIN a USING (fold_id, instance_id)"""
 
 
 def rank_sql() -> dict[str, str]:
-    out = {f"rank_{p}": PRELUDE + rank_select(p, keys) for p, keys in RANK_KEYS}
-    out["rank_user_category"] = PRELUDE + rank_select(
+    out = {f"rank_{p}": rank_select(p, keys) for p, keys in RANK_KEYS}
+    out["rank_user_category"] = rank_select(
         "user_item_category_list_2", ("user_id", "item_category_list_2"))
     return out
 
@@ -201,7 +215,7 @@ def flag_select(prefix: str, keys, zero_last: bool = False) -> str:
     nn = " AND ".join(f"{x} IS NOT NULL" for x in keys)
     last = "0" if zero_last else f"""CASE WHEN g.n IS NULL THEN 0 WHEN g.n = 1 THEN -1
             WHEN l.context_timestamp = g.hi THEN 1 ELSE 0 END"""
-    return PRELUDE + f"""
+    return f"""
 , g AS (SELECT fold_id, {k}, count(*) AS n, min(context_timestamp) AS lo,
                max(context_timestamp) AS hi FROM lab WHERE {nn} GROUP BY fold_id, {k})
 SELECT l.fold_id, l.instance_id,
@@ -218,7 +232,7 @@ def flag_sql() -> dict[str, str]:
 
 
 def parse_sql() -> str:
-    return PRELUDE + """
+    return """
 SELECT instance_id, item_category_list_2, predict_category_property_rank,
        item_category_count, item_category_common_count
 FROM plog"""
@@ -226,11 +240,183 @@ FROM plog"""
 
 def fold_sql() -> dict[str, str]:
     return {
-        "fold_labels": PRELUDE + "SELECT fold_id, instance_id, context_timestamp, is_trade FROM lab",
-        "fold_history": PRELUDE + "SELECT fold_id, instance_id, context_timestamp, is_trade FROM his",
+        "fold_labels": "SELECT fold_id, instance_id, context_timestamp, is_trade FROM lab",
+        "fold_history": "SELECT fold_id, instance_id, context_timestamp, is_trade FROM his",
     }
 
 
+def as_subquery(body: str) -> str:
+    """A body is either a SELECT or ``, cte AS (...) SELECT``; nest it."""
+    b = body.strip()
+    return f"(WITH {b[1:]})" if b.startswith(",") else f"({b})"
+
+
+def predicted_rank_sql() -> str:
+    gs, sel, joins = [], [], []
+    for i, (out, keys) in enumerate(PREDICTED_RANK_COUNTS):
+        k = ", ".join(keys)
+        nn = " AND ".join(f"{x} IS NOT NULL" for x in keys)
+        gs.append(f"p{i} AS (SELECT fold_id, {k}, count(*) AS {out} FROM lab WHERE {nn} "
+                  f"GROUP BY fold_id, {k})")
+        sel.append(f"p{i}.{out}")
+        joins.append(f"LEFT JOIN p{i} ON {_match(keys, f'p{i}', 'l')}")
+    return f"""
+, {", ".join(gs)}
+SELECT l.fold_id, l.instance_id, {", ".join(sel)}
+FROM lab l {" ".join(joins)}"""
+
+
+def natural_join_sql() -> str:
+    return """
+SELECT fold_id, instance_id, user_first
+FROM (SELECT fold_id, instance_id, user_id, context_timestamp FROM lab)
+NATURAL LEFT JOIN (SELECT fold_id, user_id, min(context_timestamp) AS context_timestamp,
+                          1 AS user_first FROM lab GROUP BY fold_id, user_id)"""
+
+
+def stack_sql() -> str:
+    parts = [f"SELECT fold_id, instance_id, is_trade FROM lab WHERE fold_id = {f}"
+             for f in TRAIN_FOLDS]
+    return "\n" + "\nUNION ALL BY NAME\n".join(parts)
+
+
+def feature_body(raw: tuple[str, ...] = ()) -> str:
+    """Every engineered column joined on (fold_id, instance_id)."""
+    pieces: list[tuple[str, list[str]]] = []
+    for name, keys, _ in LABEL_COUNTS:
+        pieces.append((label_count_sql()[f"label_counts_{name.removesuffix('_count_label')}"],
+                       [name]))
+    pieces.append((label_ratio_sql(), [o for o, _, _ in LABEL_RATIOS]))
+    for p, keys in RANK_KEYS:
+        pieces.append((rank_select(p, keys), [f"{p}_rank_up", f"{p}_rank_down"]))
+    pieces.append((hourly_sql(extra=False), [o for o, _ in HOURLY_COUNTS]))
+    for p, keys in FLAG_KEYS:
+        pieces.append((flag_select(p, keys), [f"{p}_first", f"{p}_last"]))
+    for p, keys in HISTORY_KEYS:
+        pieces.append((history_select(p, keys), [f"{p}_{m}" for m in MEASURES]))
+    joins, cols = [], {}
+    for i, (body, names) in enumerate(pieces):
+        joins.append(f"LEFT JOIN {as_subquery(body)} f{i} USING (fold_id, instance_id)")
+        for n in names:
+            cols[n] = f"f{i}.{n}"
+    order = [*LABEL_FEATURES, *[f"{p}_{m}" for p, _ in HISTORY_KEYS for m in MEASURES]]
+    sel = ",\n       ".join(f"{cols[c]} AS {c}" for c in order)
+    return f"""
+SELECT l.fold_id, l.instance_id, l.is_trade, l.item_category_list_2,
+       l.predict_category_property_rank, l.item_category_count,{"".join(f" l.{r}," for r in raw)}
+       {sel}
+FROM lab l
+{chr(10).join(joins)}"""
+
+
+def feature_sql() -> str:
+    return feature_body()
+
+
+def correlation_sql() -> str:
+    rows = []
+    for c in CORRELATION_COLUMNS:
+        r = f"round(corr(CAST({c} AS DOUBLE), CAST(is_trade AS DOUBLE)), 6)"
+        rows.append(f"SELECT '{c}' AS feature, CASE WHEN isnan({r}) THEN NULL ELSE {r} END AS corr "
+                    f"FROM ft")
+    body = "\nUNION ALL\n".join(rows)
+    return f"""
+, ft AS (SELECT * FROM {as_subquery(feature_body(RAW_NUMERIC))} x WHERE fold_id IN {tuple(TRAIN_FOLDS)}),
+cs AS ({body})
+SELECT feature, corr, coalesce(corr >= -0.2, true) AS keep FROM cs"""
+
+
+def balanced_sql() -> str:
+    return f"""
+SELECT fold_id, instance_id, is_trade FROM lab
+WHERE fold_id IN {tuple(TRAIN_FOLDS)}
+  AND (is_trade = 0
+       OR CAST(concat('0x', substr(md5(CAST(instance_id AS VARCHAR)), 1, 8)) AS BIGINT) % 6
+          IN (0, 1, 2))"""
+
+
+_BASELINE = f"""
+, base AS (
+  SELECT fold_id, instance_id, is_trade, coalesce(item_buy_ratio, 0.0) AS predicted_score
+  FROM {as_subquery(history_select("item", ("item_id",)))} h JOIN lab USING (fold_id, instance_id)
+)"""
+
+
+def log_loss_sql() -> str:
+    eps = "CAST(1e-15 AS DOUBLE)"
+    return _BASELINE + f"""
+, clipped AS (
+  SELECT fold_id, CAST(is_trade AS DOUBLE) AS y,
+         least(greatest(predicted_score, {eps}), 1.0 - {eps}) AS p
+  FROM base WHERE fold_id IN {tuple(TRAIN_FOLDS)}
+)
+SELECT fold_id, count(*) AS n, round(-avg(y * ln(p) + (1 - y) * ln(1 - p)), 6) AS log_loss
+FROM clipped GROUP BY fold_id"""
+
+
+def write_scores_sql() -> str:
+    return _BASELINE + f"""
+SELECT instance_id, predicted_score FROM base WHERE fold_id = {TEST_FOLD}"""
+
+
+def digamma_sql(x: str) -> str:
+    """psi(x) for x > 0: recurrence to x + 8, then the asymptotic series."""
+    y = f"(({x}) + 8.0)"
+    inv = f"(1.0 / ({y} * {y}))"
+    series = (f"{inv} * (1.0/12 - {inv} * (1.0/120 - {inv} * (1.0/252 - {inv} * "
+              f"(1.0/240 - {inv} * (1.0/132)))))")
+    shift = " + ".join(f"1.0 / (({x}) + {j}.0)" for j in range(8))
+    return f"(ln({y}) - 0.5 / {y} - {series} - ({shift}))"
+
+
+SMOOTH_COUNTS = """
+cnt AS (
+  SELECT l.l_partkey AS item_id, count(*) AS imp,
+         CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS clk
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  GROUP BY l.l_partkey
+)"""
+
+
+def smoothing_cte(alpha0=1.0, beta0=1.0, iters=1000, eps=1e-10) -> str:
+    a, b = "it.a", "it.b"
+    pa = digamma_sql(a)
+    pb = digamma_sql(b)
+    pab = digamma_sql(f"{a} + {b}")
+    num_a = f"sum(CASE WHEN w = 'c' THEN n * ({digamma_sql(f'v + {a}')} - {pa}) END)"
+    num_b = f"sum(CASE WHEN w = 'n' THEN n * ({digamma_sql(f'v + {b}')} - {pb}) END)"
+    den = f"sum(CASE WHEN w = 'm' THEN n * ({digamma_sql(f'v + {a} + {b}')} - {pab}) END)"
+    return f"""WITH RECURSIVE {SMOOTH_COUNTS},
+hist AS (
+  SELECT 'c' AS w, CAST(clk AS DOUBLE) AS v, count(*) AS n FROM cnt GROUP BY clk
+  UNION ALL SELECT 'n', CAST(imp - clk AS DOUBLE), count(*) FROM cnt GROUP BY imp - clk
+  UNION ALL SELECT 'm', CAST(imp AS DOUBLE), count(*) FROM cnt GROUP BY imp
+),
+it(i, a, b, done) AS (
+  SELECT 0, CAST({alpha0} AS DOUBLE), CAST({beta0} AS DOUBLE), false
+  UNION ALL
+  SELECT i + 1, CASE WHEN conv THEN a ELSE na END, CASE WHEN conv THEN b ELSE nb END, conv
+  FROM (
+    SELECT i, a, b, na, nb, (abs(na - a) < {eps} AND abs(nb - b) < {eps}) AS conv
+    FROM (
+      SELECT it.i, it.a, it.b, it.a * {num_a} / {den} AS na, it.b * {num_b} / {den} AS nb
+      FROM it, hist WHERE NOT it.done AND it.i < {iters}
+      GROUP BY it.i, it.a, it.b
+    )
+  )
+),
+fit AS (SELECT a, b FROM it ORDER BY i DESC LIMIT 1)"""
+
+
+def smoothing_fit_sql() -> str:
+    return smoothing_cte() + "\nSELECT round(a, 6) AS alpha, round(b, 6) AS beta FROM fit"
+
+
+def smoothed_rate_sql() -> str:
+    return smoothing_cte() + """
+SELECT item_id, imp, clk, round((clk + a) / (imp + a + b), 6) AS smoothed_rate FROM cnt, fit"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {"parse_categories": parse_sql()}
     out.update(fold_sql())
@@ -241,4 +427,15 @@ def oracle_sql() -> dict[str, str]:
     out["hourly_counts"] = hourly_sql()
     out.update(rank_sql())
     out.update(flag_sql())
-    return out
+    out["predicted_rank_counts"] = predicted_rank_sql()
+    out["natural_left_join"] = natural_join_sql()
+    out["stack_folds"] = stack_sql()
+    out["feature_table"] = feature_sql()
+    out["correlation_screen"] = correlation_sql()
+    out["balanced_sample"] = balanced_sql()
+    out["log_loss"] = log_loss_sql()
+    out["write_scores"] = write_scores_sql()
+    full = {k: PRELUDE + v for k, v in out.items()}
+    full["smoothing_fit"] = smoothing_fit_sql()
+    full["smoothed_rate"] = smoothed_rate_sql()
+    return full
