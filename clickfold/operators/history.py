@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import complement, guarded_ratio
+from clickfold.operators.attach import Keyed, attach_tables
+from clickfold.session import write_table
 
 LABEL_COL = "is_trade"
 
@@ -89,11 +91,91 @@ def attach_history(labels: DataFrame, history: DataFrame, keys, prefix: str,
     return labels.join(agg, [*group, *keys], "left")
 
 
+def _grouping_id(cols: list[str], present) -> int:
+    """Spark's grouping_id: bit i (from the left) is 1 when cols[i] is
+    aggregated away in the set."""
+    gid = 0
+    for c in cols:
+        gid = (gid << 1) | (0 if c in present else 1)
+    return gid
+
+
+def combined_history(history: DataFrame,
+                     key_table: list[tuple[str, tuple[str, ...]]] | None = None,
+                     group: tuple[str, ...] = ("fold_id",)) -> tuple[DataFrame, list[str]]:
+    """Every key set's (count, purchases) from ONE scan: a GROUPING SETS
+    aggregate tagged with Spark's grouping id ``_gid``.
+
+    The scan, the set expansion and the partial (map-side) aggregation run
+    once instead of once per key; only partial aggregates are shuffled.
+    NULL keys form their own groups here and are dropped when splitting,
+    which equals filtering them before grouping.
+    """
+    key_table = key_table or HISTORY_KEYS
+    cols = list(group)
+    for _, keys in key_table:
+        cols += [k for k in keys if k not in cols]
+    sets = [[*group, *keys] for _, keys in key_table]
+    agg = (history.groupingSets(sets, *cols)
+           .agg(F.count(F.lit(1)).alias("_cnt"),
+                F.sum(F.col(LABEL_COL).cast("long")).alias("_buy"),
+                F.grouping_id().alias("_gid")))
+    return agg, cols
+
+
+def split_history(agg: DataFrame, cols: list[str], prefix: str, keys,
+                  group: tuple[str, ...] = ("fold_id",)) -> DataFrame:
+    """One key's table out of ``combined_history``."""
+    gid = _grouping_id(cols, {*group, *keys})
+    cnt, buy = f"{prefix}_count", f"{prefix}_buy_count"
+    part = (agg.where((F.col("_gid") == gid) & keys_not_null(keys))
+            .select(*group, *keys, F.col("_cnt").alias(cnt), F.col("_buy").alias(buy)))
+    return part.select(*group, *keys, cnt, buy,
+                       guarded_ratio(buy, cnt).alias(f"{prefix}_buy_ratio"),
+                       complement(cnt, buy).alias(f"{prefix}_not_buy_count"))
+
+
+def history_aggregates(history: DataFrame,
+                       key_table: list[tuple[str, tuple[str, ...]]] | None = None,
+                       group: tuple[str, ...] = ("fold_id",),
+                       materialize: bool = True) -> tuple[dict[str, Keyed], DataFrame]:
+    """Per-key history tables from one pass, with measured row counts.
+
+    With ``materialize`` the combined aggregate is written once to the
+    shared checkpoint folder, partitioned by grouping id, so each key's
+    table is a partition-pruned read and the row counts of all keys come
+    from one small job.
+    """
+    key_table = key_table or HISTORY_KEYS
+    agg, cols = combined_history(history, key_table, group)
+    rows: dict[int, int] = {}
+    if materialize:
+        agg = write_table(agg, partition_by="_gid", name="history")
+        rows = {r["_gid"]: r["n"] for r in
+                agg.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 23 rows
+    out = {}
+    for prefix, keys in key_table:
+        gid = _grouping_id(cols, {*group, *keys})
+        out[prefix] = Keyed(split_history(agg, cols, prefix, keys, group), [*group, *keys],
+                            rows.get(gid, 0) if materialize else None)
+    return out, agg
+
+
 def merge_history(labels: DataFrame, history: DataFrame,
                   key_table: list[tuple[str, tuple[str, ...]]] | None = None,
-                  group: tuple[str, ...] = ("fold_id",)) -> DataFrame:
-    """All history features (J5): one aggregate and one left join per key."""
+                  group: tuple[str, ...] = ("fold_id",), one_pass: bool = True) -> DataFrame:
+    """All history features (J5): one left join per key.
+
+    ``one_pass=True``: one GROUPING SETS scan, materialised and measured, then
+    broadcast joins for tables under the broadcast bound and shuffled joins
+    beyond it (``attach_tables``).  ``False``: one aggregate and one plain
+    left join per key, leaving join choice to adaptive execution.
+    """
+    key_table = key_table or HISTORY_KEYS
+    if one_pass:
+        tables, _ = history_aggregates(history, key_table, group, materialize=True)
+        return attach_tables(labels, [tables[p] for p, _ in key_table])
     out = labels
-    for prefix, keys in key_table or HISTORY_KEYS:
-        out = attach_history(out, history, keys, prefix, group)
+    for prefix, keys in key_table:
+        out = out.join(entity_history(history, keys, prefix, group), [*group, *keys], "left")
     return out

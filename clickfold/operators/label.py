@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import guarded_ratio
+from clickfold.operators.attach import attach_tables, measure
 from clickfold.functions.timefmt import hour_of_day
 from clickfold.operators.history import keys_not_null
 
@@ -200,29 +201,38 @@ def label_feature_columns(extras: bool = False) -> list[str]:
 
 
 def label_features(labels: DataFrame, compat: bool = False, extras: bool = False,
-                   group=GROUP) -> DataFrame:
+                   group=GROUP, measured: bool = False) -> DataFrame:
     """All 38 label-day columns (plus X1-X4 when ``extras``).
 
     One stats table per rank key carries that key's count, both ranks and,
     for user / item / shop / context, both flags: seven joins in all, plus a
-    broadcast join of the hourly table.
+    broadcast join of the hourly table.  ``measured=True`` materialises the
+    stats tables and broadcasts those under the broadcast bound
+    (``attach_tables``); otherwise join choice is left to adaptive execution.
     ``compat=True`` keeps the reference's ``context_last`` defect (always 0).
     """
     counted = {keys: (out, c) for out, keys, c in LABEL_COUNTS}
     flagged = {keys for _, keys in FLAG_KEYS}
-    out = labels
+    stats = []
     for prefix, keys in RANK_KEYS:
         st = key_stats(labels, keys, prefix, counted=counted.get(keys), ranks=True,
                        flags=keys in flagged, group=group)
-        out = _attach(out, st, keys, group)
-        if keys in flagged:
-            out = _fill_flags(out, prefix, zero_last=compat and prefix == "context")
+        stats.append((st, [*group, *keys, TS]))
+    if extras:
+        p, keys = CATEGORY_RANK_KEY
+        stats.append((key_stats(labels, keys, p, group=group), [*group, *keys, TS]))
+    if measured:
+        out = attach_tables(labels, [measure(st, k) for st, k in stats])
+    else:
+        out = labels
+        for st, k in stats:
+            out = out.join(st, k, "left")
+    for prefix, keys in FLAG_KEYS:
+        out = _fill_flags(out, prefix, zero_last=compat and prefix == "context")
     out = label_ratios(out)
     hourly = list(HOURLY_COUNTS) + ([CATEGORY_HOURLY] if extras else [])
     out = hourly_counts(out, hourly, group)
     if extras:
-        p, keys = CATEGORY_RANK_KEY
-        out = _attach(out, key_stats(labels, keys, p, group=group), keys, group)
         out = predicted_rank_counts(out, group)
     base = [c for c in labels.columns]
     return out.select(*base, *label_feature_columns(extras))

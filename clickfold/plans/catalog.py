@@ -144,7 +144,10 @@ def q_stack_folds(spark, sf_dir):
 
 
 def feature_table(spark, sf_dir, compat: bool = False) -> DataFrame:
-    p = prepare_derived(spark, sf_dir)
+    """The whole assembly.  The fold-tagged label and history tables are
+    checkpointed once (shared checkpoint folder) because ~40 sub-plans read
+    them; without it each would re-run the derived-log joins and fold tags."""
+    p = prepare_derived(spark, sf_dir, materialize_as="checkpoint")
     return build_features(p, compat=compat)
 
 

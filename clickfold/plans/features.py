@@ -71,12 +71,13 @@ def prepare_derived(spark: SparkSession, sf_dir: str, grain: str = "hour",
                         materialize_as)
 
 
-def build_features(prep: Prepared, compat: bool = False, extras: bool = False) -> DataFrame:
+def build_features(prep: Prepared, compat: bool = False, extras: bool = False,
+                   one_pass: bool = True) -> DataFrame:
     """Label rows + 38 label-day columns + 92 history columns (133 engineered
     in all with the 3 parse columns).  History columns stay NULL for keys
     unseen in the fold's history; they are never filled here."""
-    lab = label_features(prep.labels, compat=compat, extras=extras)
-    return merge_history(lab, prep.history)
+    lab = label_features(prep.labels, compat=compat, extras=extras, measured=one_pass)
+    return merge_history(lab, prep.history, one_pass=one_pass)
 
 
 def feature_table_columns(prep: Prepared, extras: bool = False) -> list[str]:

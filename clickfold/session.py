@@ -75,3 +75,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def sf_dir_default() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+
+
+def write_table(df: DataFrame, partition_by: str | None = None, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: a lineage cut that also keeps column pruning, filter pushdown and
+    (with ``partition_by``) partition pruning for later readers."""
+    import uuid
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/clickfold-{name}-{uuid.uuid4().hex}"
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
