@@ -77,3 +77,27 @@ def attach_tables(rows: DataFrame, tables: list[Keyed], how: str = "left") -> Da
     for t in small:
         out = out.join(F.broadcast(t.df), t.keys, how)
     return out
+
+
+def materialize_sets(combined: DataFrame, gid_col: str = "_gid") -> tuple[DataFrame, dict[int, int]]:
+    """Write a GROUPING SETS result once and count rows per set.
+
+    Rows are sorted by set within each task before the write, so Parquet
+    min/max statistics let every per-set reader skip the other sets' row
+    groups; no partition folder per set (that would multiply small files
+    by the number of sets on a large cluster).  The per-set counts read only
+    the set column and come back as at most one row per set.
+    """
+    table = write_table(combined.sortWithinPartitions(gid_col), name="sets")
+    counts = {r[gid_col]: r["n"] for r in
+              table.groupBy(gid_col).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return table, counts
+
+
+def grouping_id(cols: list[str], present) -> int:
+    """Spark's ``grouping_id()``: bit i (from the left) is 1 when ``cols[i]``
+    is aggregated away in the set."""
+    gid = 0
+    for c in cols:
+        gid = (gid << 1) | (0 if c in present else 1)
+    return gid

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import complement, guarded_ratio
-from clickfold.operators.attach import Keyed, attach_tables
-from clickfold.session import write_table
+from clickfold.operators.attach import Keyed, attach_tables, grouping_id, materialize_sets
 
 LABEL_COL = "is_trade"
 
@@ -91,15 +90,6 @@ def attach_history(labels: DataFrame, history: DataFrame, keys, prefix: str,
     return labels.join(agg, [*group, *keys], "left")
 
 
-def _grouping_id(cols: list[str], present) -> int:
-    """Spark's grouping_id: bit i (from the left) is 1 when cols[i] is
-    aggregated away in the set."""
-    gid = 0
-    for c in cols:
-        gid = (gid << 1) | (0 if c in present else 1)
-    return gid
-
-
 def combined_history(history: DataFrame,
                      key_table: list[tuple[str, tuple[str, ...]]] | None = None,
                      group: tuple[str, ...] = ("fold_id",)) -> tuple[DataFrame, list[str]]:
@@ -126,7 +116,7 @@ def combined_history(history: DataFrame,
 def split_history(agg: DataFrame, cols: list[str], prefix: str, keys,
                   group: tuple[str, ...] = ("fold_id",)) -> DataFrame:
     """One key's table out of ``combined_history``."""
-    gid = _grouping_id(cols, {*group, *keys})
+    gid = grouping_id(cols, {*group, *keys})
     cnt, buy = f"{prefix}_count", f"{prefix}_buy_count"
     part = (agg.where((F.col("_gid") == gid) & keys_not_null(keys))
             .select(*group, *keys, F.col("_cnt").alias(cnt), F.col("_buy").alias(buy)))
@@ -142,20 +132,18 @@ def history_aggregates(history: DataFrame,
     """Per-key history tables from one pass, with measured row counts.
 
     With ``materialize`` the combined aggregate is written once to the
-    shared checkpoint folder, partitioned by grouping id, so each key's
-    table is a partition-pruned read and the row counts of all keys come
-    from one small job.
+    shared checkpoint folder (``materialize_sets``), each key's table is a
+    filtered read of it, and the row counts of all keys come from one small
+    job.
     """
     key_table = key_table or HISTORY_KEYS
     agg, cols = combined_history(history, key_table, group)
     rows: dict[int, int] = {}
     if materialize:
-        agg = write_table(agg, partition_by="_gid", name="history")
-        rows = {r["_gid"]: r["n"] for r in
-                agg.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 23 rows
+        agg, rows = materialize_sets(agg)
     out = {}
     for prefix, keys in key_table:
-        gid = _grouping_id(cols, {*group, *keys})
+        gid = grouping_id(cols, {*group, *keys})
         out[prefix] = Keyed(split_history(agg, cols, prefix, keys, group), [*group, *keys],
                             rows.get(gid, 0) if materialize else None)
     return out, agg

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import guarded_ratio
-from clickfold.operators.attach import attach_tables, measure
+from clickfold.operators.attach import Keyed, attach_tables, grouping_id, materialize_sets
 from clickfold.functions.timefmt import hour_of_day
 from clickfold.operators.history import keys_not_null
 
@@ -200,33 +200,86 @@ def label_feature_columns(extras: bool = False) -> list[str]:
     return cols
 
 
+def _stat_specs(extras: bool = False):
+    """(prefix, keys, counted-count output or None, flags?) per stats key."""
+    counted = {keys: (out, c) for out, keys, c in LABEL_COUNTS}
+    flagged = {keys for _, keys in FLAG_KEYS}
+    specs = [(p, keys, counted.get(keys), keys in flagged) for p, keys in RANK_KEYS]
+    if extras:
+        specs.append((CATEGORY_RANK_KEY[0], CATEGORY_RANK_KEY[1], None, False))
+    return specs
+
+
+def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP) -> list[Keyed]:
+    """Every stats table of ``key_stats`` from ONE pass, measured.
+
+    A GROUPING SETS aggregate gives ``(set, fold, keys, ts) -> n`` for all
+    keys at once; one window partitioned by the set id and all key columns
+    (keys outside a set are NULL there, so each set is partitioned by its
+    own keys) turns counts into running positions, totals and extremes.
+    The result is written once and split per key.
+    """
+    specs = _stat_specs(extras)
+    cols = list(group)
+    for _, keys, _, _ in specs:
+        cols += [k for k in keys if k not in cols]
+    counted_cols = sorted({c for _, _, cnt, _ in specs if cnt for c in [cnt[1]]})
+    sets = [[*group, *keys, TS] for _, keys, _, _ in specs]
+    agg = (labels.groupingSets(sets, *cols, TS)
+           .agg(F.count(F.lit(1)).alias("_n"),
+                *[F.count(F.col(c)).alias(f"_c_{c}") for c in counted_cols],
+                F.grouping_id().alias("_gid")))
+    part = Window.partitionBy("_gid", *cols)
+    n, ts = F.col("_n"), F.col(TS)
+    before = F.coalesce(
+        F.sum(n).over(part.orderBy(TS).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    half = (n + F.lit(1)).cast("double") / F.lit(2.0)
+    total = F.sum(n).over(part)
+    single = total == 1
+    stats = agg.select(
+        "_gid", *cols, TS,
+        *[F.sum(f"_c_{c}").over(part).alias(f"_cnt_{c}") for c in counted_cols],
+        (before + half).alias("_up"),
+        (total - before - n + half).alias("_down"),
+        F.when(single, F.lit(SINGLE)).when(ts == F.min(ts).over(part), F.lit(1))
+         .otherwise(F.lit(0)).alias("_first"),
+        F.when(single, F.lit(SINGLE)).when(ts == F.max(ts).over(part), F.lit(1))
+         .otherwise(F.lit(0)).alias("_last"))
+    table, counts = materialize_sets(stats)
+    out = []
+    for prefix, keys, cnt, flags in specs:
+        gid = grouping_id([*cols, TS], {*group, *keys, TS})
+        sel = [*group, *keys, TS]
+        if cnt is not None:
+            sel.append(F.col(f"_cnt_{cnt[1]}").alias(cnt[0]))
+        sel += [F.col("_up").alias(f"{prefix}_rank_up"), F.col("_down").alias(f"{prefix}_rank_down")]
+        if flags:
+            sel += [F.col("_first").alias(f"{prefix}_first"), F.col("_last").alias(f"{prefix}_last")]
+        df = table.where((F.col("_gid") == gid) & keys_not_null(keys)).select(*sel)
+        out.append(Keyed(df, [*group, *keys, TS], counts.get(gid, 0)))
+    return out
+
+
 def label_features(labels: DataFrame, compat: bool = False, extras: bool = False,
                    group=GROUP, measured: bool = False) -> DataFrame:
     """All 38 label-day columns (plus X1-X4 when ``extras``).
 
     One stats table per rank key carries that key's count, both ranks and,
     for user / item / shop / context, both flags: seven joins in all, plus a
-    broadcast join of the hourly table.  ``measured=True`` materialises the
-    stats tables and broadcasts those under the broadcast bound
-    (``attach_tables``); otherwise join choice is left to adaptive execution.
+    broadcast join of the hourly table.  ``measured=True`` builds the stats
+    tables in one pass (``label_stats_tables``) and broadcasts those under
+    the broadcast bound (``attach_tables``); otherwise each is its own plan
+    and join choice is left to adaptive execution.
     ``compat=True`` keeps the reference's ``context_last`` defect (always 0).
     """
-    counted = {keys: (out, c) for out, keys, c in LABEL_COUNTS}
-    flagged = {keys for _, keys in FLAG_KEYS}
-    stats = []
-    for prefix, keys in RANK_KEYS:
-        st = key_stats(labels, keys, prefix, counted=counted.get(keys), ranks=True,
-                       flags=keys in flagged, group=group)
-        stats.append((st, [*group, *keys, TS]))
-    if extras:
-        p, keys = CATEGORY_RANK_KEY
-        stats.append((key_stats(labels, keys, p, group=group), [*group, *keys, TS]))
     if measured:
-        out = attach_tables(labels, [measure(st, k) for st, k in stats])
+        out = attach_tables(labels, label_stats_tables(labels, extras, group))
     else:
         out = labels
-        for st, k in stats:
-            out = out.join(st, k, "left")
+        for prefix, keys, cnt, flags in _stat_specs(extras):
+            st = key_stats(labels, keys, prefix, counted=cnt, ranks=True, flags=flags,
+                           group=group)
+            out = out.join(st, [*group, *keys, TS], "left")
     for prefix, keys in FLAG_KEYS:
         out = _fill_flags(out, prefix, zero_last=compat and prefix == "context")
     out = label_ratios(out)
