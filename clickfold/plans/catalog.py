@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickfold.functions.categories import parse_categories
 from clickfold.functions.timefmt import timestamp_text
@@ -224,6 +225,23 @@ def q_train_and_score(spark, sf_dir, rounds: int = M.ROUNDS):
     return M.score(model, feats.where(F.col("fold_id") == TEST_FOLD), cols)
 
 
+def q_native_log_roundtrip(spark, sf_dir):
+    """S1/S2 + P1 on the whole derived log: written in the native text layout
+    (space separated, epoch seconds) to the shared folder, read back with the
+    declared schema, parsed."""
+    import uuid
+    from clickfold.sources.log import read_log, write_log
+    log = derived_log(spark, sf_dir, grain="second")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickfold-native-{uuid.uuid4().hex}"
+    write_log(log, path)
+    native = T.StructType([T.StructField(f.name, T.LongType() if f.name == "context_timestamp"
+                                         else f.dataType, True) for f in log.schema.fields])
+    back = parse_categories(read_log(spark, path, tz="UTC", schema=native))
+    return back.select("instance_id", timestamp_text("context_timestamp").alias("context_timestamp"),
+                       "is_trade", "item_category_list_2", "predict_category_property_rank",
+                       "item_category_count")
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "parse_categories": q_parse_categories,
@@ -256,5 +274,6 @@ def queries() -> dict[str, Query]:
     out["write_scores"] = q_write_scores
     out["smoothing_fit"] = q_smoothing_fit
     out["smoothed_rate"] = q_smoothed_rate
+    out["native_log_roundtrip"] = q_native_log_roundtrip
     out["train_and_score"] = q_train_and_score
     return out

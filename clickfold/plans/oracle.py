@@ -417,6 +417,14 @@ def smoothed_rate_sql() -> str:
 SELECT item_id, imp, clk, round((clk + a) / (imp + a + b), 6) AS smoothed_rate FROM cnt, fit"""
 
 
+def native_roundtrip_sql() -> str:
+    """Derived log at second grain, parsed (the round trip must be lossless)."""
+    return PRELUDE.replace("strftime(e.ts, '%Y-%m-%d %H:00:00')", "strftime(e.ts, '%Y-%m-%d %H:%M:%S')") + """
+SELECT instance_id, context_timestamp, is_trade, item_category_list_2,
+       predict_category_property_rank, item_category_count
+FROM plog"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {"parse_categories": parse_sql()}
     out.update(fold_sql())
@@ -436,6 +444,7 @@ def oracle_sql() -> dict[str, str]:
     out["log_loss"] = log_loss_sql()
     out["write_scores"] = write_scores_sql()
     full = {k: PRELUDE + v for k, v in out.items()}
+    full["native_log_roundtrip"] = native_roundtrip_sql()
     full["smoothing_fit"] = smoothing_fit_sql()
     full["smoothed_rate"] = smoothed_rate_sql()
     return full

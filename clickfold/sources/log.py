@@ -72,6 +72,15 @@ def read_log(spark: SparkSession, path: str, fmt: str = "csv", labelled: bool =
     return df
 
 
+def write_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write a log in the native layout: one space as separator, header row,
+    ``context_timestamp`` as epoch seconds of its (UTC) wall clock."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    out = log.withColumn("context_timestamp",
+                         F.timestamp_diff("SECOND", epoch, F.col("context_timestamp")))
+    out.write.mode(mode).option("sep", " ").option("header", True).csv(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

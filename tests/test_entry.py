@@ -24,6 +24,7 @@ def test_oracle_keys_subset():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"train_and_score"}
+    assert len(o) == 61
 
 
 @pytest.mark.parametrize("name", SAMPLE)

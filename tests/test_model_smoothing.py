@@ -79,3 +79,12 @@ def test_fit_and_score_small(spark):
     vals = [r["predicted_score"] for r in scored.collect()]
     assert len(vals) == feats.where("fold_id = 6").count()
     assert all(0.0 <= v <= 1.0 and not math.isnan(v) for v in vals)
+
+
+def test_validate_returns_log_loss(spark):
+    from clickfold.plans.catalog import feature_table
+    from tests.conftest import SF_SMALL
+    feats = feature_table(spark, SF_SMALL)
+    r = M.validate(feats, (1, 2, 3, 4), 5, rounds=3).first()
+    assert r["n"] == feats.where("fold_id = 5").count()
+    assert 0.0 < r["log_loss"] < 5.0
