@@ -145,9 +145,9 @@ def q_stack_folds(spark, sf_dir):
 
 
 def feature_table(spark, sf_dir, compat: bool = False) -> DataFrame:
-    """The whole assembly.  The fold-tagged label and history tables are
-    checkpointed once (shared checkpoint folder) because ~40 sub-plans read
-    them; without it each would re-run the derived-log joins and fold tags."""
+    """The whole assembly.  The fold-tagged label rows are checkpointed once
+    (shared checkpoint folder) because three passes read them; the history
+    rows feed a single GROUPING SETS pass and are streamed."""
     p = prepare_derived(spark, sf_dir, materialize_as="checkpoint")
     return build_features(p, compat=compat)
 

@@ -50,25 +50,32 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
 
 
 def prepare_logs(train_log: DataFrame, score_log: DataFrame | None, spark: SparkSession,
-                 folds: list[Fold] | None = None,
-                 materialize_as: str | None = None) -> Prepared:
-    """Parse both logs (P2-P9) and tag fold roles."""
+                 folds: list[Fold] | None = None, materialize_as: str | None = None,
+                 history_materialize_as: str | None = None) -> Prepared:
+    """Parse both logs (P2-P9) and tag fold roles.
+
+    ``materialize_as`` applies to the label rows, which the assembly reads
+    three times (stats pass, hourly table, final join).  The history rows
+    are read once by the one-pass aggregate, so by default they are not
+    materialised.
+    """
     folds = folds or reference_folds()
     train_log = parse_categories(train_log)
     score_log = parse_categories(score_log) if score_log is not None else None
     labels, history = assign_folds(spark, train_log, score_log, folds)
     labels = materialize(labels, materialize_as)
-    history = materialize(history, materialize_as)
+    history = materialize(history, history_materialize_as)
     return Prepared(train_log, score_log, labels, history, folds)
 
 
 def prepare_derived(spark: SparkSession, sf_dir: str, grain: str = "hour",
-                    materialize_as: str | None = None) -> Prepared:
+                    materialize_as: str | None = None,
+                    history_materialize_as: str | None = None) -> Prepared:
     """The derived log over the driver tables, cut into the reference folds."""
     log = derived_log(spark, sf_dir, grain=grain, since=LOG_START, until=SCORE_END)
     train, score = split_train_score(log, TRAIN_END, SCORE_START, SCORE_END)
     return prepare_logs(train, score, spark, reference_folds(DERIVED_YEAR, DERIVED_MONTH),
-                        materialize_as)
+                        materialize_as, history_materialize_as)
 
 
 def build_features(prep: Prepared, compat: bool = False, extras: bool = False,
