@@ -220,6 +220,27 @@ def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP) ->
     The result is written once and split per key.
     """
     specs = _stat_specs(extras)
+    stats, cols = combined_label_stats(labels, extras, group)
+    table, counts = materialize_sets(stats)
+    out = []
+    for prefix, keys, cnt, flags in specs:
+        gid = grouping_id([*cols, TS], {*group, *keys, TS})
+        sel = [*group, *keys, TS]
+        if cnt is not None:
+            sel.append(F.col(f"_cnt_{cnt[1]}").alias(cnt[0]))
+        sel += [F.col("_up").alias(f"{prefix}_rank_up"), F.col("_down").alias(f"{prefix}_rank_down")]
+        if flags:
+            sel += [F.col("_first").alias(f"{prefix}_first"), F.col("_last").alias(f"{prefix}_last")]
+        df = table.where((F.col("_gid") == gid) & keys_not_null(keys)).select(*sel)
+        out.append(Keyed(df, [*group, *keys, TS], counts.get(gid, 0)))
+    return out
+
+
+def combined_label_stats(labels: DataFrame, extras: bool = False,
+                         group=GROUP) -> tuple[DataFrame, list[str]]:
+    """The unsplit one-pass stats: two shuffles for all keys (the partial
+    aggregate's and the window's)."""
+    specs = _stat_specs(extras)
     cols = list(group)
     for _, keys, _, _ in specs:
         cols += [k for k in keys if k not in cols]
@@ -245,19 +266,7 @@ def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP) ->
          .otherwise(F.lit(0)).alias("_first"),
         F.when(single, F.lit(SINGLE)).when(ts == F.max(ts).over(part), F.lit(1))
          .otherwise(F.lit(0)).alias("_last"))
-    table, counts = materialize_sets(stats)
-    out = []
-    for prefix, keys, cnt, flags in specs:
-        gid = grouping_id([*cols, TS], {*group, *keys, TS})
-        sel = [*group, *keys, TS]
-        if cnt is not None:
-            sel.append(F.col(f"_cnt_{cnt[1]}").alias(cnt[0]))
-        sel += [F.col("_up").alias(f"{prefix}_rank_up"), F.col("_down").alias(f"{prefix}_rank_down")]
-        if flags:
-            sel += [F.col("_first").alias(f"{prefix}_first"), F.col("_last").alias(f"{prefix}_last")]
-        df = table.where((F.col("_gid") == gid) & keys_not_null(keys)).select(*sel)
-        out.append(Keyed(df, [*group, *keys, TS], counts.get(gid, 0)))
-    return out
+    return stats, cols
 
 
 def label_features(labels: DataFrame, compat: bool = False, extras: bool = False,

@@ -14,7 +14,14 @@ from pyspark.sql import types as T
 
 from clickfold.functions.categories import parse_categories
 from clickfold.functions.timefmt import timestamp_text
-from clickfold.operators.history import HISTORY_KEYS, attach_history, entity_history, history_columns
+from clickfold.operators.history import (
+    HISTORY_KEYS,
+    all_history_columns,
+    attach_history,
+    entity_history,
+    history_columns,
+)
+from clickfold.operators.joins import natural_left_join, stack_folds
 from clickfold.operators.label import (
     CATEGORY_HOURLY,
     CATEGORY_RANK_KEY,
@@ -22,22 +29,22 @@ from clickfold.operators.label import (
     HOURLY_COUNTS,
     LABEL_COUNTS,
     LABEL_RATIOS,
+    PREDICTED_RANK_COUNTS,
     RANK_KEYS,
     average_rank,
     first_last_flags,
     hourly_counts,
     label_count,
+    label_feature_columns,
     label_ratios,
+    predicted_rank_counts,
 )
-from clickfold.operators.joins import natural_left_join, stack_folds
-from clickfold.operators.label import label_feature_columns, predicted_rank_counts, PREDICTED_RANK_COUNTS
-from clickfold.operators.history import all_history_columns
 from clickfold.operators.sampling import balanced_sample
 from clickfold.operators.smoothing import fit_smoothing, rate_counts, smoothed_rate
 from clickfold.plans import model as M
 from clickfold.plans.features import build_features, prepare_derived
 from clickfold.session import ensure_checkpoint_dir
-from clickfold.sources.log import derived_log, order_log
+from clickfold.sources.log import derived_log, order_log, read_log, write_log
 from clickfold.sources.sink import read_scores, write_scores
 
 # Fixed values of the smoother run: start point, step cap and tolerance.
@@ -230,7 +237,6 @@ def q_native_log_roundtrip(spark, sf_dir):
     (space separated, epoch seconds) to the shared folder, read back with the
     declared schema, parsed."""
     import uuid
-    from clickfold.sources.log import read_log, write_log
     log = derived_log(spark, sf_dir, grain="second")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickfold-native-{uuid.uuid4().hex}"
     write_log(log, path)

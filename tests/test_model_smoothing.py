@@ -88,3 +88,11 @@ def test_validate_returns_log_loss(spark):
     r = M.validate(feats, (1, 2, 3, 4), 5, rounds=3).first()
     assert r["n"] == feats.where("fold_id = 5").count()
     assert 0.0 < r["log_loss"] < 5.0
+
+
+def test_screened_columns_drop_strong_negative(spark):
+    df = spark.createDataFrame([(y, 1.0 - y, float(i % 3), i) for i, y in
+                                enumerate([0, 1, 0, 1, 1, 0, 0, 1])],
+                               "is_trade int, neg double, noise double, instance_id long")
+    cols = M.screened_columns(df, ["neg", "noise"])
+    assert cols == ["noise"]

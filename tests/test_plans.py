@@ -25,3 +25,25 @@ def test_rank_query_shuffles_preaggregated_rows(spark):
     plan = _plan(catalog.queries()["rank_user"](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "HashAggregate" in plan and "Window" in plan
+
+
+def test_label_stats_pass_has_two_shuffles_for_all_keys(spark):
+    from clickfold.operators.label import combined_label_stats
+    from clickfold.plans.features import prepare_derived
+    p = prepare_derived(spark, SF_SMALL)
+    stats, _ = combined_label_stats(p.labels, extras=True)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    # one partial-aggregate shuffle and one window shuffle, whatever the key count
+    shuffles = plan.count("Exchange hashpartitioning")
+    assert shuffles == 2, plan
+    assert plan.count("Window") >= 1 and "Expand" in plan
+
+
+def test_history_pass_is_one_aggregate(spark):
+    from clickfold.operators.history import combined_history
+    from clickfold.plans.features import prepare_derived
+    p = prepare_derived(spark, SF_SMALL)
+    agg, _ = combined_history(p.history)
+    plan = agg._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert "Expand" in plan
