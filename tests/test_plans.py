@@ -30,7 +30,7 @@ def test_rank_query_shuffles_preaggregated_rows(spark):
 def test_label_stats_pass_has_two_shuffles_for_all_keys(spark):
     from clickfold.operators.label import combined_label_stats
     from clickfold.plans.features import prepare_derived
-    p = prepare_derived(spark, SF_SMALL)
+    p = prepare_derived(spark, SF_SMALL, materialize_as="checkpoint")   # isolate the pass
     stats, _ = combined_label_stats(p.labels, extras=True)
     plan = stats._jdf.queryExecution().executedPlan().toString()
     # one partial-aggregate shuffle and one window shuffle, whatever the key count
@@ -42,7 +42,7 @@ def test_label_stats_pass_has_two_shuffles_for_all_keys(spark):
 def test_history_pass_is_one_aggregate(spark):
     from clickfold.operators.history import combined_history
     from clickfold.plans.features import prepare_derived
-    p = prepare_derived(spark, SF_SMALL)
+    p = prepare_derived(spark, SF_SMALL, history_materialize_as="checkpoint")
     agg, _ = combined_history(p.history)
     plan = agg._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
