@@ -96,3 +96,18 @@ def test_screened_columns_drop_strong_negative(spark):
                                "is_trade int, neg double, noise double, instance_id long")
     cols = M.screened_columns(df, ["neg", "noise"])
     assert cols == ["noise"]
+
+
+def test_saved_model_scores_like_the_fitted_one(spark):
+    import tempfile
+    from clickfold.plans.catalog import feature_table
+    from tests.conftest import SF_SMALL, rows
+    feats = feature_table(spark, SF_SMALL)
+    cols = M.feature_columns(feats)
+    model = M.fit_conversion_model(feats.where("fold_id < 6"), cols, rounds=3)
+    path = tempfile.mkdtemp(prefix="clickfold-model-") + "/m"
+    M.save_model(model, path)
+    test = feats.where("fold_id = 6")
+    a = rows(M.score(model, test, cols), "instance_id", "predicted_score")
+    b = rows(M.score(M.load_model(path), test, cols), "instance_id", "predicted_score")
+    assert a == b
