@@ -143,22 +143,23 @@ def derived_log(spark: SparkSession, sf_dir: str, grain: str = "hour",
     )
 
 
+# Most distinct item keys collected to decide on a broadcast of the used
+# dimension rows (a size check, not a cap on results: above it the plain
+# shuffled join runs).
+USED_KEY_CAP = 10_000
+
+
 def _used_dimensions(ev: DataFrame, part: DataFrame, supp: DataFrame):
     """Dimension rows whose keys occur in the events, broadcast when the
-    number of distinct keys (counted from a materialised key list, a partial
-    aggregate of the events) proves them small; otherwise the full
+    distinct keys -- a partial aggregate of the events, fetched with a hard
+    limit of ``USED_KEY_CAP + 1`` -- prove them small; otherwise the full
     dimensions for a shuffled join with adaptive skew splitting."""
-    from clickfold.operators.attach import broadcast_threshold, row_width
-    from clickfold.session import write_table
-    keys = write_table(ev.select("k").where(F.col("k").isNotNull()).distinct(), name="keys")
-    n = keys.count()
-    limit = broadcast_threshold(ev)
-    if limit <= 0 or n * max(row_width(part.schema), row_width(supp.schema)) > limit:
+    found = [r[0] for r in ev.select("k").where(F.col("k").isNotNull()).distinct()
+             .limit(USED_KEY_CAP + 1).collect()]
+    if len(found) > USED_KEY_CAP:
         return part, supp
-    k = F.broadcast(keys)   # n rows, counted above
-    used_part = part.join(k, part.p_partkey == k.k, "left_semi")
-    used_supp = supp.join(F.broadcast(keys.select((F.col("k") % 10).alias("sk")).distinct()),
-                          supp.s_suppkey == F.col("sk"), "left_semi")
+    used_part = part.where(F.col("p_partkey").isin(sorted(found)))       # pushed to the scan
+    used_supp = supp.where(F.col("s_suppkey").isin(sorted({k % 10 for k in found})))
     return F.broadcast(used_part), F.broadcast(used_supp)
 
 
