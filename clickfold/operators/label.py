@@ -138,9 +138,8 @@ def average_rank(df: DataFrame, keys, prefix: str, group=GROUP) -> DataFrame:
 
 def label_count(df: DataFrame, keys, output: str, counted: str, group=GROUP) -> DataFrame:
     """Add ``output`` = non-null ``counted`` values of the row's key group."""
-    st = key_stats(df, keys, output, counted=(output, counted), ranks=False, group=group)
-    # Collapse the per-timestamp table to the key before joining back.
-    st = st.select(*group, *keys, output).dropDuplicates([*group, *keys])
+    st = (df.where(keys_not_null(keys)).groupBy(*group, *keys)
+            .agg(F.count(F.col(counted)).alias(output)))
     return df.join(st, [*group, *keys], "left")
 
 
