@@ -151,11 +151,15 @@ def q_stack_folds(spark, sf_dir):
     return stack_folds(parts)
 
 
-def feature_table(spark, sf_dir, compat: bool = False) -> DataFrame:
-    """The whole assembly.  The fold-tagged label rows are checkpointed once
-    (shared checkpoint folder) because three passes read them; the history
-    rows feed a single GROUPING SETS pass and are streamed."""
-    p = prepare_derived(spark, sf_dir, materialize_as="checkpoint")
+def feature_table(spark, sf_dir, compat: bool = False,
+                  materialize_labels: str | None = None) -> DataFrame:
+    """The whole assembly.  History rows feed one GROUPING SETS pass; label
+    rows feed three (stats pass, hourly table, final join) and are re-read
+    column-pruned by each rather than checkpointed (a row checkpoint would
+    write every column and serve every read whole).  Pass
+    ``materialize_labels="checkpoint"`` when the log source is expensive to
+    recompute."""
+    p = prepare_derived(spark, sf_dir, materialize_as=materialize_labels)
     return build_features(p, compat=compat)
 
 
