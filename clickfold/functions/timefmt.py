@@ -29,6 +29,14 @@ def epoch_to_local(seconds, tz: str = "UTC") -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
+def ntz_literal(value) -> Column:
+    """A zone-less ``timestamp_ntz`` literal from a naive ``datetime`` (or
+    text).  ``F.lit(datetime)`` would make a zoned timestamp and the cast
+    would shift it by the session zone; text casts carry no zone."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def truncate_to_hour(ts) -> Column:
     """Zone-less hour truncation of a ``timestamp_ntz``."""
     t = col(ts)

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickfold.functions.timefmt import ntz_literal
+
 FOLD_SCHEMA = T.StructType([
     T.StructField("fold_id", T.IntegerType(), False),
     T.StructField("fold_name", T.StringType(), False),
@@ -96,9 +98,9 @@ def _bounds(pairs: list[tuple[dt.datetime | None, dt.datetime | None]]):
 def _prefilter(log: DataFrame, lo, hi) -> DataFrame:
     ts = F.col(TS)
     if lo is not None:
-        log = log.where(ts >= F.lit(lo).cast("timestamp_ntz"))
+        log = log.where(ts >= ntz_literal(lo))
     if hi is not None:
-        log = log.where(ts < F.lit(hi).cast("timestamp_ntz"))
+        log = log.where(ts < ntz_literal(hi))
     return log
 
 

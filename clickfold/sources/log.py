@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickfold.functions.timefmt import epoch_to_local, truncate_to_hour, truncate_to_second
+from clickfold.functions.timefmt import (
+    epoch_to_local,
+    ntz_literal,
+    truncate_to_hour,
+    truncate_to_second,
+)
 
 _FIELDS = [
     ("instance_id", T.LongType()),
@@ -101,9 +106,9 @@ def derived_log(spark: SparkSession, sf_dir: str, grain: str = "hour",
     """
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     if since is not None:
-        ev = ev.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        ev = ev.where(F.col("ts") >= ntz_literal(since))
     if until is not None:
-        ev = ev.where(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+        ev = ev.where(F.col("ts") < ntz_literal(until))
     ev = ev.withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
@@ -195,4 +200,4 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ts(value) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz_literal(value)

@@ -43,3 +43,15 @@ def test_fold_counts_sf0001(spark):
     assert p.labels.where("fold_id = 1").count() == 25
     assert p.history.where("fold_id = 1").count() == 70
     assert p.labels.where("fold_id = 6").where(F.col("is_trade").isNotNull()).count() == 0
+
+
+def test_folds_do_not_depend_on_session_zone(spark):
+    p = prepare_derived(spark, SF_SMALL)
+    base = sorted((r["fold_id"], r["instance_id"]) for r in p.labels.collect())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        q = prepare_derived(spark, SF_SMALL)
+        assert sorted((r["fold_id"], r["instance_id"]) for r in q.labels.collect()) == base
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

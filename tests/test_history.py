@@ -49,8 +49,9 @@ def test_history_is_leak_free(spark):
     folds = reference_folds()
     p1 = prepare_logs(train, score, spark, folds)
     # Flip is_trade on day 23 (train1's label day) only.
-    d23 = (F.col("context_timestamp") >= F.lit(dt.datetime(2024, 1, 23)).cast("timestamp_ntz")) \
-        & (F.col("context_timestamp") < F.lit(dt.datetime(2024, 1, 24)).cast("timestamp_ntz"))
+    from clickfold.functions.timefmt import ntz_literal
+    d23 = (F.col("context_timestamp") >= ntz_literal(dt.datetime(2024, 1, 23))) \
+        & (F.col("context_timestamp") < ntz_literal(dt.datetime(2024, 1, 24)))
     flipped = train.withColumn("is_trade", F.when(d23, 1 - F.col("is_trade"))
                                .otherwise(F.col("is_trade")))
     p2 = prepare_logs(flipped, score, spark, folds)
