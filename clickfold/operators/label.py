@@ -136,10 +136,17 @@ def average_rank(df: DataFrame, keys, prefix: str, group=GROUP) -> DataFrame:
     return _attach(df, key_stats(df, keys, prefix, group=group), keys, group)
 
 
-def label_count(df: DataFrame, keys, output: str, counted: str, group=GROUP) -> DataFrame:
-    """Add ``output`` = non-null ``counted`` values of the row's key group."""
-    st = (df.where(keys_not_null(keys)).groupBy(*group, *keys)
-            .agg(F.count(F.col(counted)).alias(output)))
+def label_count(df: DataFrame, keys, output: str, counted: str, group=GROUP,
+                source: DataFrame | None = None) -> DataFrame:
+    """Add ``output`` = non-null ``counted`` values of the row's key group.
+
+    ``source`` (default ``df``) is the frame counted; pass the base label rows
+    when ``df`` already carries earlier joins, so each count aggregates the
+    base rows instead of re-running the joins beneath it.
+    """
+    src = source if source is not None else df
+    st = (src.where(keys_not_null(keys)).groupBy(*group, *keys)
+             .agg(F.count(F.col(counted)).alias(output)))
     return df.join(st, [*group, *keys], "left")
 
 
@@ -167,21 +174,26 @@ def hourly_table(df: DataFrame, counts=None, group=GROUP) -> DataFrame:
               .agg(*[F.count(F.col(c)).alias(o) for o, c in counts]))
 
 
-def hourly_counts(df: DataFrame, counts=None, group=GROUP) -> DataFrame:
+def hourly_counts(df: DataFrame, counts=None, group=GROUP,
+                  source: DataFrame | None = None) -> DataFrame:
     """Add the hourly counts of the row's hour of day (ignores the date).
 
     The hourly table has at most 24 rows per fold -- a bound fixed by the
     clock and the fold spec, not by the data -- so it is broadcast.
+    ``source`` (default ``df``) is the frame counted: the base label rows
+    when ``df`` already carries other joins.
     """
-    table = F.broadcast(hourly_table(df, counts, group))
+    table = F.broadcast(hourly_table(source if source is not None else df, counts, group))
     return (df.withColumn("_hour", hour_of_day(TS))
               .join(table, [*group, "_hour"], "left").drop("_hour"))
 
 
-def predicted_rank_counts(df: DataFrame, group=GROUP) -> DataFrame:
+def predicted_rank_counts(df: DataFrame, group=GROUP,
+                          source: DataFrame | None = None) -> DataFrame:
     """Rows per (user, predicted rank) and (item, predicted rank)."""
+    base = source if source is not None else df
     for out, keys in PREDICTED_RANK_COUNTS:
-        st = (df.where(keys_not_null(keys)).groupBy(*group, *keys)
+        st = (base.where(keys_not_null(keys)).groupBy(*group, *keys)
                 .agg(F.count(F.lit(1)).alias(out)))
         df = df.join(st, [*group, *keys], "left")
     return df
@@ -292,8 +304,8 @@ def label_features(labels: DataFrame, compat: bool = False, extras: bool = False
         out = _fill_flags(out, prefix, zero_last=compat and prefix == "context")
     out = label_ratios(out)
     hourly = list(HOURLY_COUNTS) + ([CATEGORY_HOURLY] if extras else [])
-    out = hourly_counts(out, hourly, group)
+    out = hourly_counts(out, hourly, group, source=labels)
     if extras:
-        out = predicted_rank_counts(out, group)
+        out = predicted_rank_counts(out, group, source=labels)
     base = [c for c in labels.columns]
     return out.select(*base, *label_feature_columns(extras))

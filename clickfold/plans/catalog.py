@@ -103,7 +103,7 @@ def q_label_ratios(spark, sf_dir):
     p = prepare_derived(spark, sf_dir)
     df = p.labels
     for name, keys, counted in LABEL_COUNTS[:4]:
-        df = label_count(df, keys, name, counted)
+        df = label_count(df, keys, name, counted, source=p.labels)
     return label_ratios(df).select(*ID, *[o for o, _, _ in LABEL_RATIOS])
 
 
