@@ -12,7 +12,7 @@ distinct second of the label range, however many impressions a key has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import guarded_ratio

@@ -1,7 +1,6 @@
 """Driver contract: entry() runs, every query has a callable, oracle keys
 are a subset, and a sample of queries matches DuckDB at sf0.001."""
 
-import os
 
 import duckdb
 import pytest

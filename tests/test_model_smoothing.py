@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from clickfold.functions.digamma import digamma, digamma_np
 from clickfold.operators.smoothing import fit_smoothing, rate_counts, smoothed_rate
