@@ -106,3 +106,13 @@ def test_extras_match_stand_alone_operators(spark):
     measured = label_features(p.labels, measured=True)
     plain = label_features(p.labels, measured=False)
     assert rows(measured, *measured.columns) == rows(plain, *measured.columns)
+
+
+def test_feature_table_compat_only_changes_context_last(spark):
+    from clickfold.plans.catalog import feature_output_columns, feature_table
+    from tests.conftest import SF_SMALL
+    a = feature_table(spark, SF_SMALL)
+    b = feature_table(spark, SF_SMALL, compat=True)
+    assert {r[0] for r in b.select("context_last").distinct().collect()} == {0}
+    cols = [c for c in feature_output_columns() if c != "context_last"]
+    assert rows(a, *cols) == rows(b, *cols)
