@@ -110,3 +110,10 @@ def test_saved_model_scores_like_the_fitted_one(spark):
     a = rows(M.score(model, test, cols), "instance_id", "predicted_score")
     b = rows(M.score(M.load_model(path), test, cols), "instance_id", "predicted_score")
     assert a == b
+
+
+def test_text_ids_encode_above_missing_sentinel(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(str(i) + "x",) for i in range(200)] + [(None,)], "c string")
+    vals = [r[0] for r in df.select(F.coalesce(M.as_number(df, "c"), F.lit(M.MISSING))).collect()]
+    assert min(v for v in vals if v != M.MISSING) >= 0 and vals.count(M.MISSING) == 1
