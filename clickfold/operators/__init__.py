@@ -9,7 +9,14 @@ from clickfold.operators.folds import (
     reference_folds,
     sliding_folds,
 )
-from clickfold.operators.history import HISTORY_KEYS, attach_history, entity_history, merge_history
+from clickfold.operators.attach import attach_tables, measure
+from clickfold.operators.history import (
+    HISTORY_KEYS,
+    attach_history,
+    entity_history,
+    history_aggregates,
+    merge_history,
+)
 from clickfold.operators.joins import natural_left_join, stack_folds
 from clickfold.operators.label import (
     average_rank,
@@ -19,6 +26,7 @@ from clickfold.operators.label import (
     label_count,
     label_features,
     label_ratios,
+    label_stats_tables,
     predicted_rank_counts,
 )
 from clickfold.operators.sampling import balanced_sample
@@ -29,5 +37,6 @@ __all__ = [
     "sliding_folds", "HISTORY_KEYS", "attach_history", "entity_history", "merge_history",
     "natural_left_join", "stack_folds", "average_rank", "first_last_flags", "hourly_counts",
     "key_stats", "label_count", "label_features", "label_ratios", "predicted_rank_counts",
-    "balanced_sample", "fit_smoothing", "rate_counts", "smoothed_rate",
+    "balanced_sample", "fit_smoothing", "rate_counts", "smoothed_rate", "attach_tables", "measure",
+    "history_aggregates", "label_stats_tables",
 ]

@@ -42,3 +42,11 @@ def test_matches_duckdb(spark, name):
         return sorted((tuple(r[i] for i in idx) for r in rs), key=repr)
 
     assert canon([tuple(r) for r in df.collect()], df.columns) == canon(rel.fetchall(), dcols)
+
+
+def test_query_plans_have_unique_columns(spark):
+    cheap = [n for n in entry.queries() if n not in ("train_and_score", "write_scores",
+                                                     "native_log_roundtrip")]
+    for name in cheap:
+        cols = entry.queries()[name](spark, SF_SMALL).columns
+        assert len(cols) == len(set(cols)), name
