@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,21 +58,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting one only if unset.
+    """The shared folder for intermediate data.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; we read it.
-    Only a bare local session (tests) gets a fresh scratch folder.
+    The folder the context already has wins (it is never overwritten), then
+    the one ``spark.checkpoint.dir`` names.  Where neither is set, a local
+    session (tests, bench) gets one scratch folder; any other master raises,
+    since executors would write to their own disks.
     """
     sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if configured:
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
-            sc.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="clickfold-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
+        configured = tempfile.mkdtemp(prefix="clickfold-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -88,15 +94,43 @@ def sf_dir_default() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 
 
+_written: dict[str, list[str]] = {}
+
+
+def table_path(spark: SparkSession, name: str = "table") -> str:
+    """A fresh path in the shared folder, noted for ``drop_tables``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickfold-{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def write_table(df: DataFrame, partition_by: str | None = None, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: a lineage cut that also keeps column pruning, filter pushdown and
     (with ``partition_by``) partition pruning for later readers."""
-    import uuid
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/clickfold-{name}-{uuid.uuid4().hex}"
+    path = table_path(df.sparkSession, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(_read_schema(df, partition_by)).parquet(path)
+
+
+def _read_schema(df: DataFrame, partition_by: str | None):
+    """The schema with the partition column last, as a reader returns it."""
+    fields = [f for f in df.schema.fields if f.name != partition_by]
+    fields += [f for f in df.schema.fields if f.name == partition_by]
+    return type(df.schema)(fields)
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete every table this process wrote for the session's application.
+
+    Results are lazy and read those tables, so the caller says when the last
+    reader is done.  Returns the number of folders removed.
+    """
+    jvm, n = spark.sparkContext._jvm, 0
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return n
