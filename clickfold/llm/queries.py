@@ -11,7 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfold.llm import best_fit_packing, language_id, quality_rules, source_mixing, token_files
+from clickfold.llm import (
+    best_fit_packing,
+    jaccard_join,
+    language_id,
+    quality_rules,
+    source_mixing,
+    token_files,
+)
 from clickfold.llm.common import ship_package
 
 
@@ -26,6 +33,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_files(_table(spark, sf_dir, "documents"),
                                     tokenizer_path("byte_bpe_50k.json"), end_id=0)
