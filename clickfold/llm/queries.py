@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickfold.llm import (
     best_fit_packing,
+    chat_format,
+    embedding_dedup,
     jaccard_join,
     language_id,
     quality_rules,
@@ -47,6 +49,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.ledger(_table(spark, sf_dir, "documents"))
     book = quality_rules.apply_policy(book, "v2")
@@ -61,6 +67,14 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ok = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", ok), (-7, 1, "assistant", ok)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(extra)))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(_table(spark, sf_dir, "documents"),
                                            tokenizer_path("word_bpe_49k.json"))
