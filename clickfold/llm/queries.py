@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickfold.llm import (
     best_fit_packing,
@@ -17,9 +18,11 @@ from clickfold.llm import (
     embedding_dedup,
     jaccard_join,
     language_id,
+    license_scan,
     quality_rules,
     source_mixing,
     token_files,
+    url_filter,
 )
 from clickfold.llm.common import ship_package
 
@@ -49,10 +52,31 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as files of a tree: source / thousands / hundreds; each
+    25th number is its directory's licence file by name."""
+    d, number = _table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
+    folder = [F.coalesce("source", F.lit("none")), F.expr("doc_id div 1000").cast("string"),
+              F.expr("doc_id div 100").cast("string")]
+    name = F.when(F.col("doc_id") % 25 == 0, F.concat(F.lit("LICENSE-"), number)).otherwise(
+        F.concat(number, F.lit(".txt")))
+    files = d.select(F.col("doc_id").alias("file_id"), F.when(
+        F.col("doc_id").isNotNull(), F.concat_ws("/", F.lit(""), *folder, name)).alias("path"), "text")
+    return license_scan.scan(files).withColumnRenamed("file_id", "doc_id")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.dedup(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = url_filter.page_labels(pages, _table(spark, sf_dir, "labels"))
+    rules = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
+             url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/")]
+    return url_filter.judge(pages, labelled, rules)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.ledger(_table(spark, sf_dir, "documents"))
     book = quality_rules.apply_policy(book, "v2")
