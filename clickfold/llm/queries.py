@@ -19,6 +19,7 @@ from clickfold.llm import (
     jaccard_join,
     language_id,
     license_scan,
+    oracles,
     quality_rules,
     source_mixing,
     token_files,
@@ -109,4 +110,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
