@@ -7,7 +7,6 @@ sum_{j<n} 1/(x + j) moves the argument to x + n >= n, where the asymptotic
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,19 +32,3 @@ def digamma(x) -> Column:
     for j in range(SHIFT):
         shift = shift + F.lit(1.0) / (x + F.lit(float(j)))
     return F.ln(y) - F.lit(0.5) / y - series - shift
-
-
-def digamma_np(x) -> np.ndarray:
-    """Same approximation on a numpy array (driver-side loop over small
-    histograms)."""
-    x = np.asarray(x, dtype=np.float64)
-    y = x + SHIFT
-    inv2 = 1.0 / (y * y)
-    series = np.full_like(y, SERIES[-1])
-    for c in reversed(SERIES[:-1]):
-        series = c + inv2 * series
-    series = inv2 * series
-    shift = np.zeros_like(x)
-    for j in range(SHIFT):
-        shift += 1.0 / (x + j)
-    return np.log(y) - 0.5 / y - series - shift

@@ -1,14 +1,9 @@
-"""Attach many keyed feature tables to one row table with measured
-broadcasts.
+"""Attach many keyed feature tables to one row table.
 
-Adaptive execution can turn a sort-merge join into a broadcast join only
-after both sides were shuffled, so a chain of left joins onto a wide row
-table would still shuffle that table once per join.  Here every feature
-table is materialised first (it is an aggregate, much smaller than the
-rows), its row count is read, and it is broadcast only when
-``rows * estimated row width`` is under the session's broadcast threshold.
-Tables above the bound stay shuffled joins (with adaptive skew splitting)
-and are joined first, while the row table is still narrow.
+A one-pass aggregate over several key sets (GROUPING SETS) is written once,
+one folder per set.  Each set is then a table of its own files, so the engine
+knows its size when it plans a join: it broadcasts what its own threshold
+allows and joins the rest by sort-merge, with adaptive skew splitting.
 """
 
 from __future__ import annotations
@@ -16,82 +11,43 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickfold.session import write_table
-
-_DEFAULT_THRESHOLD = 10 * 1024 * 1024
+from clickfold.session import table_path
 
 
 @dataclass
 class Keyed:
     df: DataFrame
     keys: list[str]
-    rows: int | None = None
-
-
-# Spark's default sizes per type, used for its size estimates.
-_SIZES = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
-          T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-          T.TimestampNTZType: 8, T.StringType: 20, T.BinaryType: 100}
-
-
-def row_width(schema: T.StructType) -> int:
-    """Per-row estimate as Spark makes it: 8 bytes + a default size per type."""
-    return 8 + sum(_SIZES.get(type(f.dataType), 20) for f in schema.fields)
 
 
-def broadcast_threshold(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    raw = conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_THRESHOLD))
-    try:
-        return int(raw)
-    except ValueError:   # e.g. "10MB"
-        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        s = raw.strip().lower().rstrip("b") or "0"
-        mult = units.get(s[-1], 1)
-        return int(float(s[:-1] if s[-1] in units else s) * mult)
+class SetTables:
+    """The written sets of a GROUPING SETS aggregate, by grouping id."""
 
+    def __init__(self, combined: DataFrame, gid_col: str = "_gid", name: str = "sets"):
+        spark = combined.sparkSession
+        self._spark, self._gid = spark, gid_col
+        self._schema = T.StructType([f for f in combined.schema.fields if f.name != gid_col])
+        self._path = table_path(spark, name)
+        # Rows of a set together in few files; large sets are split adaptively.
+        combined.hint("rebalance", gid_col).write.partitionBy(gid_col).parquet(self._path)
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+        self._present = {f.getPath().getName() for f in files}
 
-def measure(df: DataFrame, keys, materialize=write_table) -> Keyed:
-    """Materialise a feature table and count its rows (one small job)."""
-    if materialize is not None:
-        df = materialize(df)
-    return Keyed(df, list(keys), df.count())
-
-
-def fits_broadcast(t: Keyed) -> bool:
-    limit = broadcast_threshold(t.df)
-    return t.rows is not None and limit > 0 and t.rows * row_width(t.df.schema) <= limit
+    def __getitem__(self, gid: int) -> DataFrame:
+        folder = f"{self._gid}={gid}"
+        if folder not in self._present:
+            return self._spark.createDataFrame([], self._schema)
+        return self._spark.read.schema(self._schema).parquet(f"{self._path}/{folder}")
 
 
 def attach_tables(rows: DataFrame, tables: list[Keyed], how: str = "left") -> DataFrame:
-    """Left-join every table on its keys: shuffled joins first, then
-    broadcasts (which keep the row table's partitioning, no shuffle)."""
-    big = [t for t in tables if not fits_broadcast(t)]
-    small = [t for t in tables if fits_broadcast(t)]
-    out = rows
-    for t in big:
-        out = out.join(t.df, t.keys, how)
-    for t in small:
-        out = out.join(F.broadcast(t.df), t.keys, how)
-    return out
-
-
-def materialize_sets(combined: DataFrame, gid_col: str = "_gid") -> tuple[DataFrame, dict[int, int]]:
-    """Write a GROUPING SETS result once and count rows per set.
-
-    Rows are sorted by set within each task before the write, so Parquet
-    min/max statistics let every per-set reader skip the other sets' row
-    groups; no partition folder per set (that would multiply small files
-    by the number of sets on a large cluster).  The per-set counts read only
-    the set column and come back as at most one row per set.
-    """
-    table = write_table(combined.sortWithinPartitions(gid_col), name="sets")
-    counts = {r[gid_col]: r["n"] for r in
-              table.groupBy(gid_col).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return table, counts
+    """Left-join every table on its keys."""
+    for t in tables:
+        rows = rows.join(t.df, t.keys, how)
+    return rows
 
 
 def grouping_id(cols: list[str], present) -> int:

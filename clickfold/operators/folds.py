@@ -1,11 +1,9 @@
 """Fold construction (W1, F1, F2): an event-time sliding window done once.
 
 A fold is (label range, history range).  Each range is half open,
-``[start, end)``; a NULL end is open ended (F2).  The spec is a handful of
-rows built from parameters, so its size is bounded by the number of folds
-and it is broadcast explicitly; the log is streamed past it once per role,
-with no shuffle.  The union of all ranges is also applied as a plain filter
-on the log so that the bounds reach the Parquet scan.
+``[start, end)``; a missing end is open ended (F2).  The folds are a handful
+of parameters, so their conditions are an inline array per log row: the log
+is read once per role, with no join and no shuffle.
 """
 
 from __future__ import annotations
@@ -13,22 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickfold.functions.timefmt import ntz_literal
 
-FOLD_SCHEMA = T.StructType([
-    T.StructField("fold_id", T.IntegerType(), False),
-    T.StructField("fold_name", T.StringType(), False),
-    T.StructField("label_source", T.StringType(), False),   # 'train' or 'score'
-    T.StructField("label_start", T.TimestampNTZType(), True),
-    T.StructField("label_end", T.TimestampNTZType(), True),
-    T.StructField("hist_start", T.TimestampNTZType(), True),
-    T.StructField("hist_end", T.TimestampNTZType(), True),
-])
-
 TS = "context_timestamp"
 
 
@@ -79,77 +66,65 @@ def reference_folds(year: int = 2024, month: int = 1) -> list[Fold]:
                          validate_day=24, test_history_from=23)
 
 
-def fold_spec(spark: SparkSession, folds: list[Fold]) -> DataFrame:
-    rows = [(f.fold_id, f.name, f.label_source, f.label_start, f.label_end, f.hist_start,
-             f.hist_end) for f in folds]
-    return spark.createDataFrame(rows, FOLD_SCHEMA)
-
-
-def _in_range(ts, start, end):
-    return ((start.isNull() | (ts >= start)) & (end.isNull() | (ts < end)))
-
-
-def _bounds(pairs: list[tuple[dt.datetime | None, dt.datetime | None]]):
-    lo = None if any(s is None for s, _ in pairs) else min(s for s, _ in pairs)
-    hi = None if any(e is None for _, e in pairs) else max(e for _, e in pairs)
-    return lo, hi
-
-
-def _prefilter(log: DataFrame, lo, hi) -> DataFrame:
-    ts = F.col(TS)
-    if lo is not None:
-        log = log.where(ts >= ntz_literal(lo))
-    if hi is not None:
-        log = log.where(ts < ntz_literal(hi))
-    return log
-
-
-def _tag(log: DataFrame, spec: DataFrame, start: str, end: str) -> DataFrame:
-    s = F.broadcast(spec.select("fold_id", F.col(start).alias("_s"), F.col(end).alias("_e")))
-    return (log.join(s, _in_range(F.col(TS), F.col("_s"), F.col("_e")), "inner")
-               .drop("_s", "_e"))
-
-
-def label_rows(spark: SparkSession, train_log: DataFrame, score_log: DataFrame | None,
-               folds: list[Fold]) -> DataFrame:
-    """Label role: every (fold_id, log row) whose time is in the label range.
-
-    Scoring-fold rows carry a NULL ``is_trade``.
-    """
-    train_folds = [f for f in folds if f.label_source == "train"]
-    parts = []
-    if train_folds:
-        lo, hi = _bounds([(f.label_start, f.label_end) for f in train_folds])
-        spec = fold_spec(spark, train_folds)
-        parts.append(_tag(_prefilter(train_log, lo, hi), spec, "label_start", "label_end"))
-    score_folds = [f for f in folds if f.label_source == "score"]
-    if score_folds and score_log is not None:
-        lo, hi = _bounds([(f.label_start, f.label_end) for f in score_folds])
-        spec = fold_spec(spark, score_folds)
-        s = score_log
-        if "is_trade" not in s.columns:
-            s = s.withColumn("is_trade", F.lit(None).cast("int"))
-        parts.append(_tag(_prefilter(s, lo, hi), spec, "label_start", "label_end"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out.select("fold_id", *[c for c in out.columns if c != "fold_id"])
-
-
-def history_rows(spark: SparkSession, train_log: DataFrame, folds: list[Fold]) -> DataFrame:
+def _in_range(ts, start: dt.datetime | None, end: dt.datetime | None):
+    cond = ts.isNotNull()
+    if start is not None:
+        cond = cond & (ts >= ntz_literal(start))
+    if end is not None:
+        cond = cond & (ts < ntz_literal(end))
+    return cond
+
+
+def _tag(log: DataFrame, roles: list[tuple[int, Column]]) -> DataFrame:
+    """One row per role that a log row plays, with its ``fold_id`` in front.
+
+    The roles are an inline array of a few conditions, so the log is read
+    once, without a join.  Their union is a plain filter first, so that its
+    bounds can reach the scan."""
+    if not roles:
+        return log.where("false").select(F.lit(0).alias("fold_id"), "*")
+    some = roles[0][1]
+    for _, cond in roles[1:]:
+        some = some | cond
+    ids = F.filter(F.array(*[F.when(cond, F.lit(fid)) for fid, cond in roles]),
+                   lambda x: x.isNotNull())
+    return log.where(some).select(F.explode(ids).alias("fold_id"), *log.columns)
+
+
+def combine_logs(train_log: DataFrame, score_log: DataFrame | None) -> DataFrame:
+    """Both logs as one, with ``log_source`` ('train' or 'score'); scoring
+    rows have a NULL label."""
+    out = train_log.withColumn("log_source", F.lit("train"))
+    if score_log is None:
+        return out
+    if "is_trade" not in score_log.columns:
+        score_log = score_log.withColumn("is_trade", F.lit(None).cast("int"))
+    return out.unionByName(score_log.withColumn("log_source", F.lit("score")),
+                           allowMissingColumns=True)
+
+
+def label_rows(log: DataFrame, folds: list[Fold]) -> DataFrame:
+    """Label role: every (fold_id, log row) whose time is in the label range
+    of a fold with the row's source."""
+    ts, source = F.col(TS), F.col("log_source")
+    roles = [(f.fold_id, (source == f.label_source) & _in_range(ts, f.label_start, f.label_end))
+             for f in folds]
+    return _tag(log, roles).drop("log_source")
+
+
+def history_rows(log: DataFrame, folds: list[Fold]) -> DataFrame:
     """History role: every (fold_id, training-log row) in the history range.
 
     A row plays at most ``history_days`` history roles, so the tagged table
     is a bounded multiple of the input.
     """
-    lo, hi = _bounds([(f.hist_start, f.hist_end) for f in folds])
-    out = _tag(_prefilter(train_log, lo, hi), fold_spec(spark, folds), "hist_start", "hist_end")
-    return out.select("fold_id", *[c for c in out.columns if c != "fold_id"])
+    train = log.where(F.col("log_source") == "train")
+    roles = [(f.fold_id, _in_range(F.col(TS), f.hist_start, f.hist_end)) for f in folds]
+    return _tag(train, roles).drop("log_source")
 
 
-def assign_folds(spark: SparkSession, train_log: DataFrame, score_log: DataFrame | None,
-                 folds: list[Fold] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both roles at once: ``(labels, history)``."""
+def assign_folds(log: DataFrame, folds: list[Fold] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both roles of a log with ``log_source`` (``combine_logs``): ``(labels,
+    history)``."""
     folds = folds or reference_folds()
-    return (label_rows(spark, train_log, score_log, folds),
-            history_rows(spark, train_log, folds))
+    return label_rows(log, folds), history_rows(log, folds)

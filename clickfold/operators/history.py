@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import complement, guarded_ratio
-from clickfold.operators.attach import Keyed, attach_tables, grouping_id, materialize_sets
+from clickfold.operators.attach import Keyed, SetTables, attach_tables, grouping_id
 
 LABEL_COL = "is_trade"
 
@@ -113,13 +113,11 @@ def combined_history(history: DataFrame,
     return agg, cols
 
 
-def split_history(agg: DataFrame, cols: list[str], prefix: str, keys,
-                  group: tuple[str, ...] = ("fold_id",)) -> DataFrame:
-    """One key's table out of ``combined_history``."""
-    gid = grouping_id(cols, {*group, *keys})
+def split_history(part: DataFrame, prefix: str, keys, group: tuple[str, ...] = ("fold_id",)) -> DataFrame:
+    """One key's table out of its set of ``combined_history``."""
     cnt, buy = f"{prefix}_count", f"{prefix}_buy_count"
-    part = (agg.where((F.col("_gid") == gid) & keys_not_null(keys))
-            .select(*group, *keys, F.col("_cnt").alias(cnt), F.col("_buy").alias(buy)))
+    part = part.where(keys_not_null(keys)).select(
+        *group, *keys, F.col("_cnt").alias(cnt), F.col("_buy").alias(buy))
     return part.select(*group, *keys, cnt, buy,
                        guarded_ratio(buy, cnt).alias(f"{prefix}_buy_ratio"),
                        complement(cnt, buy).alias(f"{prefix}_not_buy_count"))
@@ -127,26 +125,14 @@ def split_history(agg: DataFrame, cols: list[str], prefix: str, keys,
 
 def history_aggregates(history: DataFrame,
                        key_table: list[tuple[str, tuple[str, ...]]] | None = None,
-                       group: tuple[str, ...] = ("fold_id",),
-                       materialize: bool = True) -> tuple[dict[str, Keyed], DataFrame]:
-    """Per-key history tables from one pass, with measured row counts.
-
-    With ``materialize`` the combined aggregate is written once to the
-    shared checkpoint folder (``materialize_sets``), each key's table is a
-    filtered read of it, and the row counts of all keys come from one small
-    job.
-    """
+                       group: tuple[str, ...] = ("fold_id",)) -> dict[str, Keyed]:
+    """Per-key history tables from one pass: the combined aggregate is written
+    once, one folder per key set (``SetTables``)."""
     key_table = key_table or HISTORY_KEYS
     agg, cols = combined_history(history, key_table, group)
-    rows: dict[int, int] = {}
-    if materialize:
-        agg, rows = materialize_sets(agg)
-    out = {}
-    for prefix, keys in key_table:
-        gid = grouping_id(cols, {*group, *keys})
-        out[prefix] = Keyed(split_history(agg, cols, prefix, keys, group), [*group, *keys],
-                            rows.get(gid, 0) if materialize else None)
-    return out, agg
+    sets = SetTables(agg, name="history")
+    return {prefix: Keyed(split_history(sets[grouping_id(cols, {*group, *keys})], prefix, keys, group),
+                          [*group, *keys]) for prefix, keys in key_table}
 
 
 def merge_history(labels: DataFrame, history: DataFrame,
@@ -154,14 +140,14 @@ def merge_history(labels: DataFrame, history: DataFrame,
                   group: tuple[str, ...] = ("fold_id",), one_pass: bool = True) -> DataFrame:
     """All history features (J5): one left join per key.
 
-    ``one_pass=True``: one GROUPING SETS scan, materialised and measured, then
-    broadcast joins for tables under the broadcast bound and shuffled joins
-    beyond it (``attach_tables``).  ``False``: one aggregate and one plain
-    left join per key, leaving join choice to adaptive execution.
+    ``one_pass=True``: one GROUPING SETS scan, written once; the engine then
+    knows each table's size when it chooses the joins.  ``False``: one
+    aggregate and one plain left join per key, which adaptive execution
+    chooses as it runs.
     """
     key_table = key_table or HISTORY_KEYS
     if one_pass:
-        tables, _ = history_aggregates(history, key_table, group, materialize=True)
+        tables = history_aggregates(history, key_table, group)
         return attach_tables(labels, [tables[p] for p, _ in key_table])
     out = labels
     for prefix, keys in key_table:

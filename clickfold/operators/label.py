@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import guarded_ratio
-from clickfold.operators.attach import Keyed, attach_tables, grouping_id, materialize_sets
+from clickfold.operators.attach import Keyed, SetTables, attach_tables, grouping_id
 from clickfold.functions.timefmt import hour_of_day
 from clickfold.operators.history import keys_not_null
 
@@ -188,15 +188,31 @@ def hourly_counts(df: DataFrame, counts=None, group=GROUP,
               .join(table, [*group, "_hour"], "left").drop("_hour"))
 
 
+def keyed_counts(df: DataFrame, counts, group=GROUP, source: DataFrame | None = None) -> DataFrame:
+    """Add several per-key counts ``(output, keys, counted column or None)``
+    from one pass over ``source`` (default ``df``): GROUPING SETS, written
+    once, then joined by key."""
+    src = source if source is not None else df
+    cols = list(group)
+    for _, keys, _ in counts:
+        cols += [k for k in keys if k not in cols]
+    counted = sorted({c for _, _, c in counts if c is not None})
+    agg = src.groupingSets([[*group, *keys] for _, keys, _ in counts], *cols).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"_n_{c}") for c in counted],
+        F.grouping_id().alias("_gid"))
+    sets = SetTables(agg, name="counts")
+    tables = []
+    for out, keys, c in counts:
+        part = sets[grouping_id(cols, {*group, *keys})].where(keys_not_null(keys))
+        n = F.col("_n" if c is None else f"_n_{c}")
+        tables.append(Keyed(part.select(*group, *keys, n.alias(out)), [*group, *keys]))
+    return attach_tables(df, tables)
+
+
 def predicted_rank_counts(df: DataFrame, group=GROUP,
                           source: DataFrame | None = None) -> DataFrame:
     """Rows per (user, predicted rank) and (item, predicted rank)."""
-    base = source if source is not None else df
-    for out, keys in PREDICTED_RANK_COUNTS:
-        st = (base.where(keys_not_null(keys)).groupBy(*group, *keys)
-                .agg(F.count(F.lit(1)).alias(out)))
-        df = df.join(st, [*group, *keys], "left")
-    return df
+    return keyed_counts(df, [(out, keys, None) for out, keys in PREDICTED_RANK_COUNTS], group, source)
 
 
 def label_feature_columns(extras: bool = False) -> list[str]:
@@ -222,7 +238,7 @@ def _stat_specs(extras: bool = False):
 
 
 def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP) -> list[Keyed]:
-    """Every stats table of ``key_stats`` from ONE pass, measured.
+    """Every stats table of ``key_stats`` from ONE pass.
 
     A GROUPING SETS aggregate gives ``(set, fold, keys, ts) -> n`` for all
     keys at once; one window partitioned by the set id and all key columns
@@ -232,7 +248,7 @@ def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP) ->
     """
     specs = _stat_specs(extras)
     stats, cols = combined_label_stats(labels, extras, group)
-    table, counts = materialize_sets(stats)
+    sets = SetTables(stats, name="label-stats")
     out = []
     for prefix, keys, cnt, flags in specs:
         gid = grouping_id([*cols, TS], {*group, *keys, TS})
@@ -242,8 +258,8 @@ def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP) ->
         sel += [F.col("_up").alias(f"{prefix}_rank_up"), F.col("_down").alias(f"{prefix}_rank_down")]
         if flags:
             sel += [F.col("_first").alias(f"{prefix}_first"), F.col("_last").alias(f"{prefix}_last")]
-        df = table.where((F.col("_gid") == gid) & keys_not_null(keys)).select(*sel)
-        out.append(Keyed(df, [*group, *keys, TS], counts.get(gid, 0)))
+        df = sets[gid].where(keys_not_null(keys)).select(*sel)
+        out.append(Keyed(df, [*group, *keys, TS]))
     return out
 
 
@@ -281,18 +297,17 @@ def combined_label_stats(labels: DataFrame, extras: bool = False,
 
 
 def label_features(labels: DataFrame, compat: bool = False, extras: bool = False,
-                   group=GROUP, measured: bool = False) -> DataFrame:
+                   group=GROUP, one_pass: bool = False) -> DataFrame:
     """All 38 label-day columns (plus X1-X4 when ``extras``).
 
     One stats table per rank key carries that key's count, both ranks and,
     for user / item / shop / context, both flags: seven joins in all, plus a
-    broadcast join of the hourly table.  ``measured=True`` builds the stats
-    tables in one pass (``label_stats_tables``) and broadcasts those under
-    the broadcast bound (``attach_tables``); otherwise each is its own plan
-    and join choice is left to adaptive execution.
+    broadcast join of the hourly table.  ``one_pass=True`` builds the stats
+    tables in one pass (``label_stats_tables``); otherwise each is its own
+    plan and join choice is left to adaptive execution.
     ``compat=True`` keeps the reference's ``context_last`` defect (always 0).
     """
-    if measured:
+    if one_pass:
         out = attach_tables(labels, label_stats_tables(labels, extras, group))
     else:
         out = labels

@@ -10,23 +10,19 @@ Fit: Minka's fixed point for Beta(alpha, beta) from per-entity
 The three sums are separable by column, so Spark first reduces the entity
 table to three value histograms ``(which, value) -> n`` in one shuffle with
 map-side combine.  For integer counts a histogram has at most
-sqrt(2 * total) distinct values, so each step touches that many rows, not
-one row per entity.  The loop runs on the driver over the collected
-histograms when they are under ``driver_cap`` rows (a size checked before
-collecting); otherwise each step is one Spark aggregate over the
-checkpointed histograms with digamma as a Column expression.
+sqrt(2 * total) distinct values.  All steps then run as one expression over
+the histograms (a fold over the step numbers, with digamma as a Column), so
+there is one path for every size and no loop of jobs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfold.functions.digamma import digamma, digamma_np
-from clickfold.session import cut_lineage
+from clickfold.functions.digamma import digamma
 
 # Histogram tags: clicks, non-clicks, impressions.
 CLK, NON, IMP = "c", "n", "m"
@@ -62,60 +58,51 @@ def value_histograms(counts: DataFrame, imp: str = "imp", clk: str = "clk") -> D
     return tagged.groupBy("which", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _step_np(h: dict, a: float, b: float) -> tuple[float, float]:
-    (vc, nc), (vn, nn), (vm, nm) = h[CLK], h[NON], h[IMP]
-    num_a = float(np.dot(nc, digamma_np(vc + a) - digamma_np(a)))
-    num_b = float(np.dot(nn, digamma_np(vn + b) - digamma_np(b)))
-    den = float(np.dot(nm, digamma_np(vm + a + b) - digamma_np(a + b)))
-    return a * num_a / den, b * num_b / den
+def _gain(hist: Column, base: Column) -> Column:
+    """sum over a histogram of n * (psi(value + base) - psi(base)).
 
-
-def _step_spark(hist: DataFrame, a: float, b: float) -> tuple[float, float]:
-    which, v, n = F.col("which"), F.col("value"), F.col("n").cast("double")
-    la, lb = F.lit(a), F.lit(b)
-
-    def part(tag, arg, base):
-        return F.sum(F.when(which == tag, n * (digamma(v + arg) - digamma(base))))
-
-    row = hist.agg(part(CLK, la, la).alias("na"), part(NON, lb, lb).alias("nb"),
-                   part(IMP, la + lb, la + lb).alias("d")).first()
-    return a * row["na"] / row["d"], b * row["nb"] / row["d"]
+    The one-element transform binds psi(base), so that it is computed once."""
+    return F.get(F.transform(F.array(digamma(base)), lambda psi: F.aggregate(
+        hist, F.lit(0.0), lambda acc, h: acc + h["n"] * (digamma(h["value"] + base) - psi))), F.lit(0))
 
 
 def fit_smoothing(counts: DataFrame, alpha: float = 1.0, beta: float = 1.0,
                   iter_num: int = 1000, epsilon: float = 1e-10, imp: str = "imp",
-                  clk: str = "clk", method: str = "auto",
-                  driver_cap: int = 2_000_000) -> SmoothingFit:
+                  clk: str = "clk") -> SmoothingFit:
     """Iterate the fixed point (B1) until both moves are below ``epsilon``
     or ``iter_num`` steps (B2).  As in the reference, the step that meets the
     tolerance is discarded: the returned values are the last accepted ones.
+    Without entities, the start is returned.
     """
     hist = value_histograms(counts, imp, clk)
-    use_driver = method == "driver"
-    if method == "auto":
-        size = hist.count()
-        use_driver = size <= driver_cap
-    if use_driver:
-        h = {CLK: ([], []), NON: ([], []), IMP: ([], [])}
-        for r in hist.collect():   # bounded: checked against driver_cap above
-            h[r["which"]][0].append(r["value"])
-            h[r["which"]][1].append(r["n"])
-        arrays = {k: (np.asarray(v, dtype=np.float64), np.asarray(n, dtype=np.float64))
-                  for k, (v, n) in h.items()}
-        step = lambda a, b: _step_np(arrays, a, b)
-    else:
-        hist = cut_lineage(hist)
-        step = lambda a, b: _step_spark(hist, a, b)
-    a, b = float(alpha), float(beta)
-    steps, converged = 0, False
-    for _ in range(iter_num):
-        na, nb = step(a, b)
-        if abs(na - a) < epsilon and abs(nb - b) < epsilon:
-            converged = True
-            break
-        a, b = na, nb
-        steps += 1
-    return SmoothingFit(a, b, steps, converged)
+    entry = F.struct(F.col("value"), F.col("n").cast("double").alias("n"))
+    one = hist.agg(*[F.sort_array(F.collect_list(F.when(F.col("which") == w, entry))).alias(w)
+                     for w in (CLK, NON, IMP)])
+
+    def state(a, b, steps, converged, done) -> Column:
+        return F.struct(a.alias("a"), b.alias("b"), steps.cast("int").alias("steps"),
+                        converged.alias("converged"), done.alias("done"))
+
+    def step(s: Column) -> Column:
+        a, b = s["a"], s["b"]
+        sums = F.struct(_gain(F.col(CLK), a).alias("c"), _gain(F.col(NON), b).alias("n"),
+                        _gain(F.col(IMP), a + b).alias("m"))
+        moved = F.transform(F.array(sums), lambda x: F.struct(
+            F.try_divide(a * x["c"], x["m"]).alias("a"), F.try_divide(b * x["n"], x["m"]).alias("b")))
+
+        def accept(to: Column) -> Column:
+            near = (F.abs(to["a"] - a) < epsilon) & (F.abs(to["b"] - b) < epsilon)
+            stop = F.coalesce(near, F.lit(True))    # no entities: nothing to move
+            return F.when(stop, state(a, b, s["steps"], F.coalesce(near, F.lit(False)), F.lit(True))
+                          ).otherwise(state(to["a"], to["b"], s["steps"] + 1, F.lit(False), F.lit(False)))
+
+        return F.get(F.transform(moved, accept), F.lit(0))
+
+    start = state(F.lit(float(alpha)), F.lit(float(beta)), F.lit(0), F.lit(False), F.lit(False))
+    steps = F.sequence(F.lit(1), F.lit(iter_num)) if iter_num > 0 else F.array().cast("array<int>")
+    r = one.select(F.aggregate(steps, start, lambda s, _: F.when(s["done"], s).otherwise(step(s)))
+                   .alias("s")).first()["s"]
+    return SmoothingFit(r["a"], r["b"], r["steps"], r["converged"])
 
 
 def smoothed_rate(counts: DataFrame, fit: SmoothingFit, imp: str = "imp", clk: str = "clk",

@@ -6,6 +6,7 @@ returns a DataFrame whose column names match ``clickfold.plans.oracle``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickfold.functions.categories import parse_categories
+from clickfold.functions.digamma import digamma
 from clickfold.functions.timefmt import timestamp_text
 from clickfold.operators.history import (
     HISTORY_KEYS,
@@ -34,6 +36,7 @@ from clickfold.operators.label import (
     average_rank,
     first_last_flags,
     hourly_counts,
+    keyed_counts,
     label_count,
     label_feature_columns,
     label_ratios,
@@ -42,13 +45,28 @@ from clickfold.operators.label import (
 from clickfold.operators.sampling import balanced_sample
 from clickfold.operators.smoothing import fit_smoothing, rate_counts, smoothed_rate
 from clickfold.plans import model as M
-from clickfold.plans.features import build_features, prepare_derived
-from clickfold.session import ensure_checkpoint_dir
-from clickfold.sources.log import derived_log, order_log, read_log, write_log
+from clickfold.plans.features import (
+    SCORE_START,
+    build_features,
+    feature_table_columns,
+    prepare_derived,
+)
+from clickfold.session import table_path, write_table
+from clickfold.sources.log import (
+    derived_log,
+    order_log,
+    read_log,
+    read_table,
+    split_train_score,
+    write_log,
+)
 from clickfold.sources.sink import read_scores, write_scores
 
 # Fixed values of the smoother run: start point, step cap and tolerance.
 SMOOTH_ALPHA0, SMOOTH_BETA0, SMOOTH_ITER, SMOOTH_EPS = 1.0, 1.0, 1000, 1e-10
+# Boosting rounds of the registered model queries (the library's default is
+# the reference's 700; see README for its time).
+QUERY_ROUNDS = 20
 TRAIN_FOLDS = (1, 2, 3, 4, 5)
 TEST_FOLD = 6
 PARSE_COLS = ("item_category_list_2", "predict_category_property_rank", "item_category_count")
@@ -101,9 +119,7 @@ def _label_count_query(name, keys, counted) -> Query:
 
 def q_label_ratios(spark, sf_dir):
     p = prepare_derived(spark, sf_dir)
-    df = p.labels
-    for name, keys, counted in LABEL_COUNTS[:4]:
-        df = label_count(df, keys, name, counted, source=p.labels)
+    df = keyed_counts(p.labels, LABEL_COUNTS[:4])
     return label_ratios(df).select(*ID, *[o for o, _, _ in LABEL_RATIOS])
 
 
@@ -200,58 +216,102 @@ def q_log_loss(spark, sf_dir):
 def q_write_scores(spark, sf_dir):
     """S3 round trip: test-fold scores written as space-separated text with CR
     line ends into the shared checkpoint folder, then read back."""
-    import uuid
     s = _baseline_scores(spark, sf_dir).where(F.col("fold_id") == TEST_FOLD)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickfold-scores-{uuid.uuid4().hex}"
+    path = table_path(spark, "scores")
     write_scores(s, path)
     return read_scores(spark, path)
 
 
 def _item_counts(spark, sf_dir) -> DataFrame:
-    return rate_counts(order_log(spark, sf_dir), ["item_id"])
+    """Written once: the fit and the smoothed rates both read it."""
+    return write_table(rate_counts(order_log(spark, sf_dir), ["item_id"]), name="rate-counts")
 
 
-def _fit(spark, sf_dir):
-    return fit_smoothing(_item_counts(spark, sf_dir), SMOOTH_ALPHA0, SMOOTH_BETA0,
-                         SMOOTH_ITER, SMOOTH_EPS)
+def _fit(counts):
+    return fit_smoothing(counts, SMOOTH_ALPHA0, SMOOTH_BETA0, SMOOTH_ITER, SMOOTH_EPS)
 
 
 def q_smoothing_fit(spark, sf_dir):
-    fit = _fit(spark, sf_dir)
+    fit = _fit(_item_counts(spark, sf_dir))
     return fit.frame(spark).select(F.round("alpha", 6).alias("alpha"),
                                    F.round("beta", 6).alias("beta"))
 
 
 def q_smoothed_rate(spark, sf_dir):
-    fit = _fit(spark, sf_dir)
-    out = smoothed_rate(_item_counts(spark, sf_dir), fit)
+    counts = _item_counts(spark, sf_dir)
+    out = smoothed_rate(counts, _fit(counts))
     return out.select("item_id", "imp", "clk", F.round("smoothed_rate", 6).alias("smoothed_rate"))
 
 
-def q_train_and_score(spark, sf_dir, rounds: int = M.ROUNDS):
-    feats = feature_table(spark, sf_dir)
-    cols = M.feature_columns(feats)
+def q_digamma(spark, sf_dir):
+    """P20 as a Column over the arguments that line items give."""
+    li = read_table(spark, sf_dir, "lineitem")
+    x = F.round(F.col("l_quantity").cast("double") * (F.col("l_discount").cast("double") + 0.01), 4)
+    return li.select(x.alias("x")).where("x > 0").distinct().select(
+        "x", F.round(digamma("x"), 8).alias("psi"))
+
+
+def _model_parts(spark, sf_dir):
+    feats = write_table(feature_table(spark, sf_dir), name="features")
+    return feats, M.feature_columns(feats)
+
+
+def q_model_columns(spark, sf_dir):
+    """M1: the model matrix's columns in order."""
+    cols = M.matrix_columns(M.model_features(feature_table_columns(prepare_derived(spark, sf_dir))))
+    return spark.createDataFrame(list(enumerate(cols, 1)), "position int, feature string")
+
+
+def q_train_and_score(spark, sf_dir, rounds: int = QUERY_ROUNDS):
+    """M3, M4: fit on the training folds, score the scoring fold.  Scores of
+    boosted trees have no SQL form; the row states what must hold for each."""
+    feats, cols = _model_parts(spark, sf_dir)
     model = M.fit_conversion_model(feats.where(F.col("fold_id").isin(*TRAIN_FOLDS)), cols,
                                    rounds=rounds)
-    return M.score(model, feats.where(F.col("fold_id") == TEST_FOLD), cols)
+    scored = M.score(model, feats.where(F.col("fold_id") == TEST_FOLD), cols)
+    ok = F.col("predicted_score").between(0.0, 1.0)
+    return scored.select("instance_id", F.coalesce(ok, F.lit(False)).alias("score_is_probability"))
+
+
+def q_validate(spark, sf_dir, rounds: int = QUERY_ROUNDS):
+    """M6: fit on folds 1-4, log loss on fold 5.  The labels of these tables
+    are random, so no model can beat the base rate; the row states that the
+    loss is finite and below that of a coin flip."""
+    feats, _ = _model_parts(spark, sf_dir)
+    got = M.validate(feats, TRAIN_FOLDS[:4], TRAIN_FOLDS[4], rounds=rounds)
+    loss = F.col("log_loss")
+    return got.select("n", ((loss > 0) & (loss < math.log(2))).alias("better_than_coin"))
 
 
 def q_native_log_roundtrip(spark, sf_dir):
-    """S1/S2 + P1 on the whole derived log: written in the native text layout
-    (space separated, epoch seconds) to the shared folder, read back with the
-    declared schema, parsed."""
-    import uuid
+    """S1 + P1 on the whole derived log: written in the native text layout
+    (space separated, epoch seconds) with its columns in another order, read
+    back by the header, parsed."""
     log = derived_log(spark, sf_dir, grain="second")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickfold-native-{uuid.uuid4().hex}"
-    write_log(log, path)
-    native = T.StructType([T.StructField(f.name, T.LongType() if f.name == "context_timestamp"
-                                         else f.dataType, True) for f in log.schema.fields])
-    back = parse_categories(read_log(spark, path, tz="UTC", schema=native))
+    path = table_path(spark, "native")
+    write_log(log.select(*sorted(log.columns, reverse=True)), path)
+    back = parse_categories(read_log(spark, path, tz="UTC", schema=_native(log)))
     return back.select("instance_id", timestamp_text("context_timestamp").alias("context_timestamp"),
                        "is_trade", "item_category_list_2", "predict_category_property_rank",
                        "item_category_count")
 
 
+def q_native_score_log(spark, sf_dir):
+    """The scoring log (no label) in the native layout with one more
+    column, which is carried as text."""
+    _, log = split_train_score(derived_log(spark, sf_dir, grain="second"), SCORE_START)
+    path = table_path(spark, "native")
+    write_log(log.select((F.col("instance_id") % 7).alias("extra"), *sorted(log.columns)), path)
+    back = read_log(spark, path, labelled=False, tz="UTC", schema=_native(log))
+    return back.select("instance_id", timestamp_text("context_timestamp").alias("context_timestamp"),
+                       "user_id", "item_category_list", "extra")
+
+
+def _native(log: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.LongType() if f.name == "context_timestamp"
+                                       else f.dataType, True) for f in log.schema.fields])
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "parse_categories": q_parse_categories,
@@ -285,5 +345,9 @@ def queries() -> dict[str, Query]:
     out["smoothing_fit"] = q_smoothing_fit
     out["smoothed_rate"] = q_smoothed_rate
     out["native_log_roundtrip"] = q_native_log_roundtrip
+    out["native_score_log"] = q_native_score_log
+    out["digamma"] = q_digamma
+    out["model_columns"] = q_model_columns
     out["train_and_score"] = q_train_and_score
+    out["validate"] = q_validate
     return out

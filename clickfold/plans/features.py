@@ -15,25 +15,23 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from clickfold.functions.categories import parse_categories
-from clickfold.operators.folds import Fold, assign_folds, reference_folds
+from clickfold.operators.folds import Fold, assign_folds, combine_logs, reference_folds
 from clickfold.operators.history import all_history_columns, merge_history
 from clickfold.operators.label import label_features
 from clickfold.session import cut_lineage
-from clickfold.sources.log import derived_log, split_train_score
+from clickfold.sources.log import derived_log, mark_score_log
 
 # The derived log's calendar (FIXTURES.md section 2): label
-# days 20-24 of January 2024, scoring day 25, training log before day 25.
+# days 20-24 of January 2024, scoring log from day 25 on, training log before it.
 DERIVED_YEAR, DERIVED_MONTH = 2024, 1
-TRAIN_END = dt.datetime(2024, 1, 25)
-SCORE_START, SCORE_END = dt.datetime(2024, 1, 25), dt.datetime(2024, 1, 26)
+SCORE_START = dt.datetime(2024, 1, 25)
 # Earliest history day of the reference folds (train4: [18, 20)).
 LOG_START = dt.datetime(2024, 1, 18)
 
 
 @dataclass
 class Prepared:
-    train_log: DataFrame
-    score_log: DataFrame
+    log: DataFrame          # both logs, with log_source
     labels: DataFrame
     history: DataFrame
     folds: list[Fold]
@@ -49,10 +47,9 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     return df
 
 
-def prepare_logs(train_log: DataFrame, score_log: DataFrame | None, spark: SparkSession,
-                 folds: list[Fold] | None = None, materialize_as: str | None = None,
-                 history_materialize_as: str | None = None) -> Prepared:
-    """Parse both logs (P2-P9) and tag fold roles.
+def prepare_log(log: DataFrame, folds: list[Fold] | None = None, materialize_as: str | None = None,
+                history_materialize_as: str | None = None) -> Prepared:
+    """Parse a log with ``log_source`` (P2-P9) and tag fold roles.
 
     ``materialize_as`` applies to the label rows, which the assembly reads
     three times (stats pass, hourly table, final join).  The history rows
@@ -60,22 +57,27 @@ def prepare_logs(train_log: DataFrame, score_log: DataFrame | None, spark: Spark
     materialised.
     """
     folds = folds or reference_folds()
-    train_log = parse_categories(train_log)
-    score_log = parse_categories(score_log) if score_log is not None else None
-    labels, history = assign_folds(spark, train_log, score_log, folds)
-    labels = materialize(labels, materialize_as)
-    history = materialize(history, history_materialize_as)
-    return Prepared(train_log, score_log, labels, history, folds)
+    log = parse_categories(log)
+    labels, history = assign_folds(log, folds)
+    return Prepared(log, materialize(labels, materialize_as),
+                    materialize(history, history_materialize_as), folds)
+
+
+def prepare_logs(train_log: DataFrame, score_log: DataFrame | None,
+                 folds: list[Fold] | None = None, materialize_as: str | None = None,
+                 history_materialize_as: str | None = None) -> Prepared:
+    """``prepare_log`` for a training and a scoring log of their own."""
+    return prepare_log(combine_logs(train_log, score_log), folds, materialize_as,
+                       history_materialize_as)
 
 
 def prepare_derived(spark: SparkSession, sf_dir: str, grain: str = "hour",
                     materialize_as: str | None = None,
                     history_materialize_as: str | None = None) -> Prepared:
     """The derived log over the driver tables, cut into the reference folds."""
-    log = derived_log(spark, sf_dir, grain=grain, since=LOG_START, until=SCORE_END)
-    train, score = split_train_score(log, TRAIN_END, SCORE_START, SCORE_END)
-    return prepare_logs(train, score, spark, reference_folds(DERIVED_YEAR, DERIVED_MONTH),
-                        materialize_as, history_materialize_as)
+    log = derived_log(spark, sf_dir, grain=grain, since=LOG_START)
+    return prepare_log(mark_score_log(log, SCORE_START), reference_folds(DERIVED_YEAR, DERIVED_MONTH),
+                       materialize_as, history_materialize_as)
 
 
 def build_features(prep: Prepared, compat: bool = False, extras: bool = False,
@@ -83,8 +85,9 @@ def build_features(prep: Prepared, compat: bool = False, extras: bool = False,
     """Label rows + 38 label-day columns + 92 history columns (133 engineered
     in all with the 3 parse columns).  History columns stay NULL for keys
     unseen in the fold's history; they are never filled here."""
-    lab = label_features(prep.labels, compat=compat, extras=extras, measured=one_pass)
-    return merge_history(lab, prep.history, one_pass=one_pass)
+    lab = label_features(prep.labels, compat=compat, extras=extras, one_pass=one_pass)
+    out = merge_history(lab, prep.history, one_pass=one_pass)
+    return out.select(*feature_table_columns(prep, extras))
 
 
 def feature_table_columns(prep: Prepared, extras: bool = False) -> list[str]:

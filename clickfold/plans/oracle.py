@@ -23,13 +23,15 @@ from clickfold.operators.label import (
 TRAIN_FOLDS = (1, 2, 3, 4, 5)
 TEST_FOLD = 6
 LABEL_FEATURES = label_feature_columns()
-# Numeric model columns (M1) of the derived log, for the correlation screen:
-# raw numeric ids kept by M1, two parse columns, label and history features.
+# Model columns (M1) of the derived log, in table order: raw ids kept by M1,
+# parse columns, label and history features; then the unseen indicators.
 _M1_DROP = {"user_rank_down", "user_first", "item_category_list_2_not_buy_count",
             "item_category_list_2_count"}
-RAW_NUMERIC = ("user_gender_id", "context_page_id", "shop_review_num_level")
-CORRELATION_COLUMNS = [c for c in (
-    [*RAW_NUMERIC, "predict_category_property_rank", "item_category_count"] + LABEL_FEATURES
+RAW = ("user_gender_id", "user_occupation_id", "context_page_id", "shop_review_num_level")
+TEXT = ("user_occupation_id", "item_category_list_2")
+MODEL_FEATURES = [c for c in (
+    [*RAW, "item_category_list_2", "predict_category_property_rank", "item_category_count"]
+    + LABEL_FEATURES
     + [f"{p}_{m}" for p, _ in HISTORY_KEYS for m in MEASURES]) if c not in _M1_DROP]
 
 # Derived log, parse columns and fold roles (FIXTURES.md section 2).
@@ -88,7 +90,7 @@ spec(fold_id, lab_lo, lab_hi, his_lo, his_hi, src) AS (VALUES
 trainlog AS (SELECT * FROM plog WHERE context_timestamp < '2024-01-25'),
 scorelog AS (
   SELECT * REPLACE (CAST(NULL AS INT) AS is_trade) FROM plog
-  WHERE context_timestamp > '2024-01-25' AND context_timestamp < '2024-01-26'
+  WHERE context_timestamp > '2024-01-25'
 ),
 lab AS (
   SELECT CAST(s.fold_id AS INT) AS fold_id, t.* FROM trainlog t JOIN spec s
@@ -315,13 +317,14 @@ def feature_sql() -> str:
 
 def correlation_sql() -> str:
     rows = []
-    for c in CORRELATION_COLUMNS:
-        r = f"round(corr(CAST({c} AS DOUBLE), CAST(is_trade AS DOUBLE)), 6)"
+    for c in MODEL_FEATURES:
+        x = f"CAST(concat('0x', substr(md5({c}), 1, 13)) AS BIGINT)" if c in TEXT else c
+        r = f"round(corr(CAST({x} AS DOUBLE), CAST(is_trade AS DOUBLE)), 6)"
         rows.append(f"SELECT '{c}' AS feature, CASE WHEN isnan({r}) THEN NULL ELSE {r} END AS corr "
                     f"FROM ft")
     body = "\nUNION ALL\n".join(rows)
     return f"""
-, ft AS (SELECT * FROM {as_subquery(feature_body(RAW_NUMERIC))} x WHERE fold_id IN {tuple(TRAIN_FOLDS)}),
+, ft AS (SELECT * FROM {as_subquery(feature_body(RAW))} x WHERE fold_id IN {tuple(TRAIN_FOLDS)}),
 cs AS ({body})
 SELECT feature, corr, coalesce(corr >= -0.2, true) AS keep FROM cs"""
 
@@ -425,6 +428,27 @@ SELECT instance_id, context_timestamp, is_trade, item_category_list_2,
 FROM plog"""
 
 
+def native_score_sql() -> str:
+    """The scoring part of the log at second grain, as text was written."""
+    return PRELUDE.replace("strftime(e.ts, '%Y-%m-%d %H:00:00')", "strftime(e.ts, '%Y-%m-%d %H:%M:%S')") + """
+SELECT instance_id, context_timestamp, user_id, item_category_list,
+       CAST(instance_id % 7 AS VARCHAR) AS extra
+FROM plog WHERE context_timestamp >= '2024-01-25'"""
+
+
+def digamma_query_sql() -> str:
+    return f"""
+WITH a AS (SELECT DISTINCT round(CAST(l_quantity AS DOUBLE) * (CAST(l_discount AS DOUBLE) + 0.01), 4) AS x
+           FROM lineitem)
+SELECT x, round({digamma_sql('x')}, 8) AS psi FROM a WHERE x > 0"""
+
+
+def model_columns_sql() -> str:
+    names = MODEL_FEATURES + [f"{p}_unseen" for p, _ in HISTORY_KEYS]
+    rows = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names, 1))
+    return f"SELECT CAST(position AS INT) AS position, feature FROM (VALUES {rows}) t(position, feature)"
+
+
 def oracle_sql() -> dict[str, str]:
     out = {"parse_categories": parse_sql()}
     out.update(fold_sql())
@@ -443,8 +467,14 @@ def oracle_sql() -> dict[str, str]:
     out["balanced_sample"] = balanced_sql()
     out["log_loss"] = log_loss_sql()
     out["write_scores"] = write_scores_sql()
+    out["train_and_score"] = f"SELECT instance_id, true AS score_is_probability FROM lab WHERE fold_id = {TEST_FOLD}"
+    out["validate"] = (f"SELECT count(*) AS n, true AS better_than_coin FROM lab "
+                       f"WHERE fold_id = {TRAIN_FOLDS[4]}")
     full = {k: PRELUDE + v for k, v in out.items()}
     full["native_log_roundtrip"] = native_roundtrip_sql()
+    full["native_score_log"] = native_score_sql()
+    full["digamma"] = digamma_query_sql()
+    full["model_columns"] = model_columns_sql()
     full["smoothing_fit"] = smoothing_fit_sql()
     full["smoothed_rate"] = smoothed_rate_sql()
     return full

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,20 +55,36 @@ SCORE_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in _FIELDS])
 LOG_SCHEMA = T.StructType(SCORE_SCHEMA.fields + [T.StructField("is_trade", T.IntegerType(), True)])
 
 
+#: Columns the engine needs; the others are carried if they are there.
+REQUIRED = ("instance_id", "item_id", "item_category_list", "user_id", "context_id",
+            "context_timestamp", "predict_category_property", "shop_id")
+
+
 def read_log(spark: SparkSession, path: str, fmt: str = "csv", labelled: bool = True,
-             tz: str = "UTC", schema: T.StructType | None = None) -> DataFrame:
+             tz: str = "UTC", schema: T.StructType | None = None,
+             required: tuple[str, ...] = REQUIRED) -> DataFrame:
     """Read a training (S1) or scoring (S2) log.
 
     ``fmt='csv'`` reads the native layout: one space as separator, header row.
-    ``context_timestamp`` becomes a ``timestamp_ntz`` wall clock in ``tz``.
-    Parquet files may already hold a timestamp; then it is kept as is.
+    The header gives the columns and their order: known ones get their
+    declared type, others stay text, and every file's header must be the
+    same.  A missing required column raises.  ``context_timestamp`` becomes a
+    ``timestamp_ntz`` wall clock in ``tz``.  Parquet files may already hold a
+    timestamp; then it is kept as is.
     """
     schema = schema or (LOG_SCHEMA if labelled else SCORE_SCHEMA)
     if fmt == "csv":
-        df = (spark.read.schema(schema).option("sep", " ").option("header", True)
-              .option("mode", "FAILFAST").csv(path))
+        reader = spark.read.option("sep", " ").option("header", True)
+        names = reader.csv(path).columns
+        known = {f.name: f for f in schema.fields}
+        read = T.StructType([known.get(n, T.StructField(n, T.StringType(), True)) for n in names])
+        df = (reader.schema(read).option("enforceSchema", False).option("mode", "FAILFAST")
+              .csv(path))
     else:
         df = spark.read.format(fmt).load(path)
+    missing = [c for c in (*required, *(["is_trade"] if labelled else [])) if c not in df.columns]
+    if missing:
+        raise ValueError(f"the log lacks the columns {', '.join(missing)}")
     ts_type = df.schema["context_timestamp"].dataType
     if isinstance(ts_type, (T.LongType, T.IntegerType, T.DoubleType)):
         df = df.withColumn("context_timestamp", epoch_to_local("context_timestamp", tz))
@@ -98,11 +114,10 @@ def derived_log(spark: SparkSession, sf_dir: str, grain: str = "hour",
     ``since`` / ``until`` bound the raw ``events.ts`` (pushed to the Parquet
     scan) so that fold construction reads only the days it uses.
 
-    Item and shop keys come from a small domain, so a plain sort-merge join
-    on them would put each key's events (1% or 10% of all rows) in one task.
-    ``_used_dimensions`` therefore cuts ``part`` and ``supplier`` down to the
-    keys that occur and broadcasts them when that measured size fits; the
-    customer join is keyed by user and left to the optimizer.
+    The dimensions are left joins that the engine plans: it broadcasts the
+    tables whose files are under its threshold; the others are sort-merge
+    joins between plain exchanges, whose hot keys (few items or shops with
+    very many events) adaptive execution splits.
     """
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     if since is not None:
@@ -115,7 +130,6 @@ def derived_log(spark: SparkSession, sf_dir: str, grain: str = "hour",
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
 
     ev = ev.withColumn("shop_key", F.col("k") % 10)
-    part, supp = _used_dimensions(ev, part, supp)
     j = (ev.join(part, ev.k == part.p_partkey, "left")
            .join(supp, F.col("shop_key") == supp.s_suppkey, "left")
            .join(cust, ev.user_id == cust.c_custkey, "left"))
@@ -148,37 +162,21 @@ def derived_log(spark: SparkSession, sf_dir: str, grain: str = "hour",
     )
 
 
-# Most distinct item keys collected to decide on a broadcast of the used
-# dimension rows (a size check, not a cap on results: above it the plain
-# shuffled join runs).
-USED_KEY_CAP = 10_000
-
-
-def _used_dimensions(ev: DataFrame, part: DataFrame, supp: DataFrame):
-    """Dimension rows whose keys occur in the events, broadcast when the
-    distinct keys -- a partial aggregate of the events, fetched with a hard
-    limit of ``USED_KEY_CAP + 1`` -- prove them small; otherwise the full
-    dimensions for a shuffled join with adaptive skew splitting."""
-    found = [r[0] for r in ev.select("k").where(F.col("k").isNotNull()).distinct()
-             .limit(USED_KEY_CAP + 1).collect()]
-    if len(found) > USED_KEY_CAP:
-        return part, supp
-    used_part = part.where(F.col("p_partkey").isin(sorted(found)))       # pushed to the scan
-    used_supp = supp.where(F.col("s_suppkey").isin(sorted({k % 10 for k in found})))
-    return F.broadcast(used_part), F.broadcast(used_supp)
+def split_train_score(log: DataFrame, score_start: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """Cut one labelled log into a training log (before ``score_start``) and
+    a scoring log (from it on, label withheld)."""
+    ts = F.col("context_timestamp")
+    return (log.where(ts < ntz_literal(score_start)),
+            log.where(ts >= ntz_literal(score_start)).drop("is_trade"))
 
 
-def split_train_score(log: DataFrame, train_end: dt.datetime, score_start: dt.datetime,
-                      score_end: dt.datetime | None) -> tuple[DataFrame, DataFrame]:
-    """Cut one labelled log into a training log (``ts < train_end``) and a
-    scoring log (``[score_start, score_end)``, label withheld)."""
-    ts = F.col("context_timestamp")
-    train = log.where(ts < _ts(train_end))
-    cond = ts >= _ts(score_start)
-    if score_end is not None:
-        cond = cond & (ts < _ts(score_end))
-    score = log.where(cond).drop("is_trade")
-    return train, score
+def mark_score_log(log: DataFrame, score_start: dt.datetime) -> DataFrame:
+    """One labelled log as both logs in one frame (one scan): ``log_source``
+    is 'score', and the label NULL, from ``score_start`` on."""
+    scored = F.col("context_timestamp") >= ntz_literal(score_start)
+    return log.withColumns({
+        "log_source": F.when(scored, F.lit("score")).otherwise(F.lit("train")),
+        "is_trade": F.when(~scored, F.col("is_trade"))})
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +195,3 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp_ntz").alias("context_timestamp"),
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_trade"),
     )
-
-
-def _ts(value) -> Column:
-    return ntz_literal(value)

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from clickfold.operators.folds import assign_folds, reference_folds, sliding_folds
+from clickfold.operators.folds import assign_folds, combine_logs, reference_folds, sliding_folds
 from clickfold.plans.features import prepare_derived
 from tests.conftest import SF_SMALL
 
@@ -14,7 +14,7 @@ def test_day_edges(spark):
     log = spark.createDataFrame([(1, "2018-09-23 00:00:00", 0), (2, "2018-09-22 23:59:59", 1)],
                                 "instance_id long, ts string, is_trade int") \
         .withColumn("context_timestamp", F.to_timestamp_ntz("ts"))
-    labels, history = assign_folds(spark, log, None, folds)
+    labels, history = assign_folds(combine_logs(log, None), folds)
     lab = {(r["fold_id"], r["instance_id"]) for r in labels.collect()}
     his = {(r["fold_id"], r["instance_id"]) for r in history.collect()}
     assert (1, 1) in lab and (1, 1) not in his        # day 23 is train1's label day
@@ -45,6 +45,31 @@ def test_fold_counts_sf0001(spark):
     assert p.labels.where("fold_id = 6").where(F.col("is_trade").isNotNull()).count() == 0
 
 
+def test_whole_scoring_log_is_scored(spark):
+    """The scoring fold is open-ended: every event from day 25 on is in it,
+    and its hours are counted over several days."""
+    from clickfold.functions.timefmt import hour_of_day
+    from clickfold.operators.label import hourly_counts
+    p = prepare_derived(spark, SF_SMALL)
+    test = p.labels.where("fold_id = 6")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert test.count() == ev.where("ts >= timestamp_ntz'2024-01-25 00:00:00'").count()
+    assert test.select(F.to_date("context_timestamp")).distinct().count() > 1
+    got = hourly_counts(test).select(hour_of_day("context_timestamp").alias("h"),
+                                     "item_count_hour").distinct().collect()
+    want = {r["h"]: r["n"] for r in test.groupBy(hour_of_day("context_timestamp").alias("h"))
+            .agg(F.count("item_id").alias("n")).collect()}
+    assert {r["h"]: r["item_count_hour"] for r in got} == want
+
+
+def test_combined_logs_keep_their_columns(spark):
+    a = spark.createDataFrame([(1, 5, 1)], "instance_id long, x int, is_trade int")
+    b = spark.createDataFrame([(2, "z")], "instance_id long, y string")
+    got = {r["instance_id"]: r.asDict() for r in combine_logs(a, b).collect()}
+    assert got[1]["log_source"] == "train" and got[1]["y"] is None
+    assert got[2]["log_source"] == "score" and got[2]["is_trade"] is None
+
+
 def test_folds_do_not_depend_on_session_zone(spark):
     p = prepare_derived(spark, SF_SMALL)
     base = sorted((r["fold_id"], r["instance_id"]) for r in p.labels.collect())

@@ -42,19 +42,19 @@ def test_history_is_leak_free(spark):
     from clickfold.plans.features import prepare_logs
     from clickfold.operators.folds import reference_folds
     from clickfold.sources.log import derived_log, split_train_score
-    from clickfold.plans.features import SCORE_END, SCORE_START, TRAIN_END
+    from clickfold.plans.features import SCORE_START
     import datetime as dt
     log = derived_log(spark, SF_SMALL)
-    train, score = split_train_score(log, TRAIN_END, SCORE_START, SCORE_END)
+    train, score = split_train_score(log, SCORE_START)
     folds = reference_folds()
-    p1 = prepare_logs(train, score, spark, folds)
+    p1 = prepare_logs(train, score, folds)
     # Flip is_trade on day 23 (train1's label day) only.
     from clickfold.functions.timefmt import ntz_literal
     d23 = (F.col("context_timestamp") >= ntz_literal(dt.datetime(2024, 1, 23))) \
         & (F.col("context_timestamp") < ntz_literal(dt.datetime(2024, 1, 24)))
     flipped = train.withColumn("is_trade", F.when(d23, 1 - F.col("is_trade"))
                                .otherwise(F.col("is_trade")))
-    p2 = prepare_logs(flipped, score, spark, folds)
+    p2 = prepare_logs(flipped, score, folds)
     keys = [(p, k) for p, k in HISTORY_KEYS if p in ("item", "user", "user_item", "shop")]
     a = merge_history(p1.labels.where("fold_id = 1"), p1.history, keys, one_pass=False)
     b = merge_history(p2.labels.where("fold_id = 1"), p2.history, keys, one_pass=False)

@@ -84,7 +84,7 @@ def test_label_features_row_count_and_identities(spark):
     from clickfold.plans.features import prepare_derived
     from tests.conftest import SF_SMALL
     p = prepare_derived(spark, SF_SMALL)
-    out = label_features(p.labels, measured=True)
+    out = label_features(p.labels, one_pass=True)
     assert out.count() == p.labels.count()
     bad = out.where(
         (F.col("user_rank_up") + F.col("user_rank_down") != F.col("user_count_label") + 1)
@@ -97,14 +97,14 @@ def test_extras_match_stand_alone_operators(spark):
     from clickfold.plans.features import prepare_derived
     from tests.conftest import SF_SMALL
     p = prepare_derived(spark, SF_SMALL)
-    full = label_features(p.labels, extras=True, measured=True)
+    full = label_features(p.labels, extras=True, one_pass=True)
     pref, keys = CATEGORY_RANK_KEY
     alone = predicted_rank_counts(average_rank(p.labels, keys, pref))
     cols = ["fold_id", "instance_id", f"{pref}_rank_up", f"{pref}_rank_down",
             "user_predict_category", "item_predict_category"]
     assert rows(full, *cols) == rows(alone, *cols)
-    measured = label_features(p.labels, measured=True)
-    plain = label_features(p.labels, measured=False)
+    measured = label_features(p.labels, one_pass=True)
+    plain = label_features(p.labels, one_pass=False)
     assert rows(measured, *measured.columns) == rows(plain, *measured.columns)
 
 

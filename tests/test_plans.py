@@ -1,5 +1,7 @@
-"""Plan properties: no Python UDF, no Cartesian product, fold tags are a
-broadcast of the small spec, filters reach the Parquet scan."""
+"""Plan properties: no Python UDF, no Cartesian product, one scan of the log
+per role, filters reach the Parquet scan, joins without broadcasts."""
+
+import pytest
 
 from clickfold.plans import catalog
 from tests.conftest import SF_SMALL
@@ -15,16 +17,65 @@ def test_feature_plan_has_no_udf_or_cartesian(spark):
         assert bad not in plan
 
 
-def test_fold_tag_is_broadcast_and_pushed_down(spark):
-    plan = _plan(catalog.q_fold_labels(spark, SF_SMALL))
-    assert "BroadcastNestedLoopJoin" in plan and "BuildRight" in plan
+def _scans(plan: str, table: str) -> int:
+    return len([x for x in plan.splitlines() if "FileScan" in x and f"{table}.parquet" in x])
+
+
+@pytest.mark.parametrize("name", ["fold_labels", "rank_user", "fold_history"])
+def test_log_is_read_once_without_a_nested_loop(spark, name):
+    plan = _plan(catalog.queries()[name](spark, SF_SMALL))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "PythonUDF" not in plan
+    # rank_user joins the ranks of the label rows back to them.
+    assert _scans(plan, "events") == (2 if name == "rank_user" else 1)
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
 
 
+def test_label_ratios_read_the_log_for_the_rows_only(spark):
+    plan = _plan(catalog.queries()["label_ratios"](spark, SF_SMALL))
+    assert _scans(plan, "events") == 1 and "NestedLoop" not in plan
+
+
+def test_building_a_log_query_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    catalog.queries()["hist_user_shop"](spark, SF_SMALL)
+    # Reading a Parquet file's schema is the only job allowed (one per table).
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 10
+
+
 def test_rank_query_shuffles_preaggregated_rows(spark):
     plan = _plan(catalog.queries()["rank_user"](spark, SF_SMALL))
-    assert "CartesianProduct" not in plan
-    assert "HashAggregate" in plan and "Window" in plan
+    window = plan[plan.index("Window"):]
+    exchange = window.index("Exchange hashpartitioning")
+    assert "HashAggregate" in window[:window.index("FileScan")]
+    assert "partial_count" in window[exchange:]
+
+
+@pytest.mark.parametrize("name", ["hist_user_gender", "label_ratios", "predicted_rank_counts"])
+def test_large_table_joins_give_the_same_rows(spark, name):
+    """Without broadcasts, as for tables of any size."""
+    want = sorted(map(tuple, catalog.queries()[name](spark, SF_SMALL).collect()), key=repr)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = catalog.queries()[name](spark, SF_SMALL)
+        got = sorted(map(tuple, df.collect()), key=repr)
+        assert "SortMergeJoin" in _plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == want
+
+
+def test_feature_table_without_broadcasts(spark):
+    cols = catalog.feature_output_columns()
+    want = sorted(map(tuple, catalog.q_feature_table(spark, SF_SMALL).select(*cols).collect()), key=repr)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = sorted(map(tuple, catalog.q_feature_table(spark, SF_SMALL).select(*cols).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == want
 
 
 def test_label_stats_pass_has_two_shuffles_for_all_keys(spark):

@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import types as T
 
 from clickfold.operators.folds import reference_folds
-from clickfold.plans.features import SCORE_END, SCORE_START, TRAIN_END
+from clickfold.plans.features import SCORE_START
 from clickfold.plans.run import run_flow
 from clickfold.sources.log import derived_log, read_log, split_train_score, write_log
 from clickfold.sources.sink import read_scores
@@ -16,7 +16,7 @@ from tests.conftest import SF_SMALL
 def test_native_files_to_scores(spark):
     d = tempfile.mkdtemp(prefix="clickfold-flow-")
     log = derived_log(spark, SF_SMALL, grain="second")
-    train, score = split_train_score(log, TRAIN_END, SCORE_START, SCORE_END)
+    train, score = split_train_score(log, SCORE_START)
     write_log(train, os.path.join(d, "train"))
     write_log(score, os.path.join(d, "score"))
 
@@ -25,7 +25,7 @@ def test_native_files_to_scores(spark):
                                            else f.dataType, True) for f in schema.fields])
 
     tr = read_log(spark, os.path.join(d, "train"), schema=native(train.schema))
-    sc = read_log(spark, os.path.join(d, "score"), schema=native(score.schema))
+    sc = read_log(spark, os.path.join(d, "score"), labelled=False, schema=native(score.schema))
     out = os.path.join(d, "ans")
     run_flow(spark, tr, sc, out, reference_folds(2024, 1), rounds=3,
              model_dir=os.path.join(d, "model"))

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickfold.sources.log import read_log
@@ -17,16 +18,23 @@ HEADER = ("instance_id item_id item_category_list item_property_list item_brand_
           "shop_score_delivery shop_score_description is_trade")
 
 
-def test_read_native_log_with_zone(spark):
-    d = tempfile.mkdtemp(prefix="clickfold-test-")
-    path = os.path.join(d, "train.txt")
+VALUES = dict(zip(HEADER.split(), ["11", "22", "1;2", "3;4", "33", "44", "3", "3", "5", "7", "55", "0",
+                                   "1", "2", "3", "66", "1537632000", "4", "2:-1;5:6", "77", "4",
+                                   "0.5", "5", "0.25", "0.75", "1.0", "0"]))
+
+
+def _file(names, rows=(VALUES,), folder=None):
+    folder = folder or tempfile.mkdtemp(prefix="clickfold-test-")
+    path = os.path.join(folder, f"log-{len(os.listdir(folder))}.txt")
     with open(path, "w") as fh:
-        fh.write(HEADER + "\n")
-        fh.write("108641 7908 7908382889764678758;5799347067982556520 2072967855524022579;1 "
-                 "1975590437749032870 3948283326616421003 3 3 13 17 24779788309075 0 1003 "
-                 "2005 3003 282924576738839389 1537632000 4006 "
-                 "5799347067982556520:-1;509660095530134768:-1 6765930309048922341 4 "
-                 "1.0 5002 1.0 1.0 1.0 0\n")
+        fh.write(" ".join(names) + "\n")
+        for r in rows:
+            fh.write(" ".join(r[n] for n in names) + "\n")
+    return path
+
+
+def test_read_native_log_with_zone(spark):
+    path = _file(HEADER.split())
     utc = read_log(spark, path, tz="UTC")
     bj = read_log(spark, path, tz="Asia/Shanghai")
     ts_utc = utc.select(F.date_format("context_timestamp", "yyyy-MM-dd HH:mm:ss")).first()[0]
@@ -34,7 +42,61 @@ def test_read_native_log_with_zone(spark):
     assert ts_utc == "2018-09-22 16:00:00"
     assert ts_bj == "2018-09-23 00:00:00"
     r = utc.first()
-    assert r["instance_id"] == 108641 and r["is_trade"] == 0 and r["shop_review_num_level"] == 4
+    assert r["instance_id"] == 11 and r["is_trade"] == 0 and r["shop_review_num_level"] == 4
+
+
+def test_columns_are_bound_by_the_header(spark):
+    names = sorted(HEADER.split(), reverse=True)
+    r = read_log(spark, _file(names)).first().asDict()
+    assert r["instance_id"] == 11 and r["item_id"] == 22 and r["shop_id"] == 77
+    assert r["shop_score_service"] == 0.25
+
+
+def test_more_and_fewer_columns(spark):
+    """Unknown columns are carried as text; optional ones may be missing."""
+    names = ["note", *[n for n in HEADER.split() if n != "item_price_level"]]
+    df = read_log(spark, _file(names, [{**VALUES, "note": "0012"}]))
+    assert df.columns == names and df.first()["note"] == "0012"
+    with pytest.raises(ValueError, match="item_id"):
+        read_log(spark, _file([n for n in HEADER.split() if n != "item_id"]))
+    score = [n for n in HEADER.split() if n != "is_trade"]
+    with pytest.raises(ValueError, match="is_trade"):
+        read_log(spark, _file(score))
+    assert "is_trade" not in read_log(spark, _file(score), labelled=False).columns
+
+
+def test_files_with_other_headers_raise(spark):
+    folder = tempfile.mkdtemp(prefix="clickfold-test-")
+    _file(HEADER.split(), folder=folder)
+    _file(sorted(HEADER.split()), folder=folder)
+    with pytest.raises(Exception):
+        read_log(spark, folder).collect()
+
+
+def test_dimension_keys_negative_and_many(spark):
+    """The derived log takes any item key: no cap, and keys as Spark's own %
+    gives them."""
+    import json
+    from clickfold.sources.log import derived_log
+    d = tempfile.mkdtemp(prefix="clickfold-dims-")
+    keys = list(range(-15_000, 15_000))
+    spark.createDataFrame([(i, "2024-01-20 10:00:00", 1, "view", json.dumps({"k": k}))
+                           for i, k in enumerate(keys)],
+                          "event_id long, ts string, user_id long, event_type string, props string") \
+        .withColumn("ts", F.to_timestamp_ntz("ts")).write.parquet(f"{d}/events.parquet")
+    spark.createDataFrame([(k, f"b{k}", "t", 2) for k in (-3, 7, 14_999)],
+                          "p_partkey long, p_brand string, p_type string, p_size int") \
+        .write.parquet(f"{d}/part.parquet")
+    spark.createDataFrame([(-3, 5, 10.0), (7, 6, 20.0)],
+                          "s_suppkey long, s_nationkey int, s_acctbal double") \
+        .write.parquet(f"{d}/supplier.parquet")
+    spark.createDataFrame([(1, "seg")], "c_custkey long, c_mktsegment string") \
+        .write.parquet(f"{d}/customer.parquet")
+    log = {r["item_id"]: r for r in derived_log(spark, d).collect()}
+    assert len(log) == len(keys)
+    assert log[-3]["item_city_id"] == 5 and log[-3]["item_brand_id"] == "b-3"
+    assert log[-13]["item_city_id"] == 5 and log[7]["item_city_id"] == 6 == log[14_997]["item_city_id"]
+    assert log[14_999]["item_brand_id"] == "b14999" and log[4]["item_city_id"] is None
 
 
 def test_scores_round_trip_with_cr(spark):
