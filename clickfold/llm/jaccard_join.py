@@ -76,6 +76,15 @@ def _word_ids(words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(known.__getitem__, words), _U, len(words))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers byte plane by byte plane, which compresses better."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(b: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
@@ -126,7 +135,7 @@ class Cuts:
         keys = []
         for level in range(low, high + 1):
             d = self.differences(self.starts[level + 1] - 1)
-            spare = d // 6
+            spare = d // 4
             parts = d + 1 + spare
             for seed in range(SEEDS + 1):
                 if seed == 0:
@@ -233,7 +242,7 @@ def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
             at = np.flatnonzero(np.diff(slot, prepend=-1))
             ends = np.append(at[1:], len(slot))
             slots = slot[at].tolist()
-            rows = [(s, k[i:j].tobytes(), v[i:j].tobytes()) for s, i, j in zip(slots, at, ends)]
+            rows = [(s, _planes(k[i:j]), _planes(v[i:j])) for s, i, j in zip(slots, at, ends)]
             for e in np.array_split(edges, max(1, len(edges) // 4096)):
                 if len(e):
                     rows.append((int(e[0, 0]) % SLICES, None, e.tobytes()))
@@ -265,8 +274,8 @@ def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
                     yield flush()
                     keys, nodes = [], []
                 held = slot
-                keys.append(np.frombuffer(k, _U))
-                nodes.append(np.frombuffer(v, np.int64))
+                keys.append(_from_planes(k, _U))
+                nodes.append(_from_planes(v, np.int64))
         if keys:
             yield flush()
 
@@ -422,17 +431,18 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     # Large blocks: what is outside the largest component against everything.
     large = members.where("parts > 1")
     if not large.isEmpty():
-        now = components(links).withColumnRenamed("component", "now")
-        large = write_table(large.join(now, "node", "left").withColumn(
-            "now", F.coalesce("now", "node")), name="large")
-        main = (large.groupBy("component", "now").agg(F.count(F.lit(1)).alias("c"))
+        now = write_table(components(links).withColumnRenamed("component", "now"), name="now")
+        named = F.coalesce("now", "node")
+        main = (large.select("component", "node").join(now, "node", "left")
+                .groupBy("component", named.alias("now")).agg(F.count(F.lit(1)).alias("c"))
                 .groupBy("component").agg(F.max(F.struct("c", F.negate("now").alias("m"))).alias("x"),
                                           F.sum("c").alias("all"))
                 .select("component", F.negate(F.col("x.m")).alias("main"),
                         (F.col("all") - F.col("x.c")).alias("rest"))
                 .where("rest > 0")
                 .withColumn("rest_parts", F.ceil(F.col("rest") / CROSS).cast("long")))
-        large = large.join(write_table(main, name="main"), "component")
+        main = write_table(main, name="main")
+        large = (large.join(main, "component").join(now, "node", "left").withColumn("now", named))
         wide = F.ceil(F.col("docs") / CROSS).cast("long")
         base = ["component", "node", "text", F.col("now").alias("grp")]
         outside = F.col("now") != F.col("main")

@@ -91,6 +91,9 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
     })
     df = _repeat_words(df.drop("_t", "_l"))
+    # A row number never is negative.  Being undetermined, it keeps filters on
+    # the measurements above them; pushed below, each use would repeat them.
+    df = df.withColumn("n_words", F.when(F.monotonically_increasing_id() >= 0, F.col("n_words")))
     return df.select("doc_id", *MEASURES, *(["_row"] if carry else []))
 
 
@@ -118,12 +121,8 @@ def apply_policy(book: DataFrame, policy: str | int) -> DataFrame:
 
 
 def keep(docs: DataFrame, policy: str | int = "v2") -> DataFrame:
-    """The documents that pass, with all their columns.
-
-    The row number only keeps the optimizer from pushing the condition below
-    the measurements, where it would repeat them for every use."""
-    book = ledger(docs, carry=True).withColumn("_n", F.monotonically_increasing_id())
-    return book.where(passes(policy) & (F.col("_n") >= 0)).select("_row.*")
+    """The documents that pass, with all their columns."""
+    return ledger(docs, carry=True).where(passes(policy)).select("_row.*")
 
 
 def ablations(book: DataFrame, policy: str | int = "v2",
