@@ -18,7 +18,6 @@ columns there are.
 from __future__ import annotations
 
 import re
-import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,16 +60,14 @@ class Model:
         return z / z.sum(axis=-1, keepdims=True)
 
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile("[A-Za-z]")
 
 
 def has_letter(text: str | None) -> bool:
     """Whether the text has a character of a Unicode letter category."""
     if not text:
         return False
-    if _LETTER.search(text):
-        return True
-    return any(unicodedata.category(c)[0] == "L" for c in set(text))
+    return bool(_LETTER.search(text)) or any(c.isalpha() for c in set(text))
 
 
 _FOLD = np.zeros(0x110000, np.uint32)
@@ -92,10 +89,10 @@ def _fold_table() -> np.ndarray:
 def ngram_counts(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashed n-grams of a text and how often each occurs."""
     x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    x = _fold_table()[x]
+    x = np.concatenate([[32], _fold_table()[x], [32]]).astype(np.uint64)
     keep = np.ones(len(x), bool)
     keep[1:] = (x[1:] != 32) | (x[:-1] != 32)
-    x = np.concatenate([[32], x[keep], [32]]).astype(np.uint64)
+    x = x[keep]
     one = x * np.uint64(0x9E3779B97F4A7C15)
     two = (one[:-1] ^ (one[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + one[1:]
     three = (two[:-1] ^ (two[:-1] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + one[2:]
