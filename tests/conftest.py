@@ -10,9 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from clickfold.session import local_session
+    from clickfold.session import drop_tables, local_session
     s = local_session("*", 8, app="clickfold-tests")
     yield s
+    drop_tables(s)
     s.stop()
 
 
