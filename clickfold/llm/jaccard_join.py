@@ -23,8 +23,9 @@ that are left are compared exactly unless they are connected already.
 
 *Large blocks* are dealt to sub-blocks, to each of which some pivots of the
 whole block are added.  What then is not in the block's largest component is
-compared with every sub-block of it, so that a large group of near copies
-costs no all-pairs comparison and no link is lost.
+compared with the sub-blocks of the levels of size that can link with it, so
+that a large group of near copies costs no all-pairs comparison and no link
+is lost.
 
 Cases: NULL or blank text has the empty set and links with nothing; a text
 shorter than a shingle is one shingle; repeated rows and rows with the same
@@ -36,6 +37,8 @@ names.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,7 +51,7 @@ from clickfold.session import write_table
 # Memory and layout parameters; none of them changes a result.
 VOCABULARY = 500_000        # word hashes a worker remembers
 HOT_CHUNK = 1_500_000       # shingles looked at together for frequent ones
-HOT_SHARE = 400             # frequent: in one of so many documents of a chunk
+HOT_COUNT = 5               # frequent: in so many different sets of a chunk
 HOT_LIMIT = 200_000         # most frequent shingles that are broadcast (8 bytes each)
 SEEDS = 6                   # cuts tried before empty parts count as content
 BLOCK = 128                 # documents of a sub-block
@@ -169,7 +172,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 
         def frequent():
             h, n = np.unique(np.concatenate(list(chunk.values())), return_counts=True)
-            keep = n >= max(5, len(chunk) // HOT_SHARE)
+            keep = n >= HOT_COUNT
             return h[keep], n[keep]
 
         def hot_rows(h, n):
@@ -416,7 +419,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     inside = inside.join(sizes, "component")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     members = write_table(inside.join(texts, "node").select(
-        "node", "component", "docs", "parts", "text",
+        "node", "component", "docs", "parts", "size", "text",
         F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("spot")), name="block_texts")
 
     # Each sub-block by itself, with some pivots of its block.
@@ -433,30 +436,39 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     if not large.isEmpty():
         now = write_table(components(links).withColumnRenamed("component", "now"), name="now")
         named = F.coalesce("now", "node")
-        main = (large.select("component", "node").join(now, "node", "left")
-                .groupBy("component", named.alias("now")).agg(F.count(F.lit(1)).alias("c"))
-                .groupBy("component").agg(F.max(F.struct("c", F.negate("now").alias("m"))).alias("x"),
-                                          F.sum("c").alias("all"))
-                .select("component", F.negate(F.col("x.m")).alias("main"),
-                        (F.col("all") - F.col("x.c")).alias("rest"))
-                .where("rest > 0")
-                .withColumn("rest_parts", F.ceil(F.col("rest") / CROSS).cast("long")))
+        # Linked sets are in the same or neighbouring levels of size.
+        level = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9)
+        large = large.withColumn("level", level.cast("long"))
+        narrow = write_table(large.select("component", "node", "level").join(now, "node", "left")
+                             .select("component", "node", "level", named.alias("now")), name="narrow")
+        main = (narrow.groupBy("component", "now").agg(F.count(F.lit(1)).alias("c"))
+                .groupBy("component").agg(F.max(F.struct("c", F.negate("now").alias("m"))).alias("x"))
+                .select("component", F.negate(F.col("x.m")).alias("main")))
         main = write_table(main, name="main")
-        large = (large.join(main, "component").join(now, "node", "left").withColumn("now", named))
-        wide = F.ceil(F.col("docs") / CROSS).cast("long")
-        base = ["component", "node", "text", F.col("now").alias("grp")]
         outside = F.col("now") != F.col("main")
-        column = F.pmod(F.shiftright("spot", 7), F.col("rest_parts"))
-        row = F.pmod(F.shiftright("spot", 7), wide)
+        levels = write_table(
+            narrow.join(main, "component").groupBy("component", "level").agg(
+                F.ceil(F.count(F.lit(1)) / CROSS).cast("long").alias("wide"),
+                F.ceil(F.count_if(outside) / CROSS).cast("long").alias("rest")), name="levels")
+        large = (large.join(main, "component").join(now, "node", "left").withColumn("now", named)
+                 .join(levels, ["component", "level"]))
+        beside = levels.select("component", F.col("level").alias("near"), F.col("wide").alias("near_wide"),
+                               F.col("rest").alias("near_rest"))
+        large = large.withColumn("near", F.explode(F.array(
+            F.col("level") - 1, F.col("level"), F.col("level") + 1))).join(beside, ["component", "near"])
+        place = F.shiftright("spot", 7)
+        base = ["component", "node", "text", F.col("now").alias("grp")]
         mine = large.where(outside).select(
-            *base, F.lit(True).alias("wanted"), column.alias("part"),
-            F.explode(F.sequence(F.lit(0).cast("long"), wide - 1)).alias("other"))
-        all_of = large.select(
-            *base, F.lit(False).alias("wanted"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_parts") - 1)).alias("part"),
-            row.alias("other"))
-        cross = write_table(_tree_join(mine.unionByName(all_of), ["component", "part", "other"],
-                                       width, percent), name="cross_links")
+            *base, F.lit(True).alias("wanted"), F.col("level").alias("of"),
+            F.pmod(place, F.col("rest")).alias("part"), F.col("near").alias("to"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("near_wide") - 1)).alias("other"))
+        all_of = large.where("near_rest > 0").select(
+            *base, F.lit(False).alias("wanted"), F.col("near").alias("of"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("near_rest") - 1)).alias("part"),
+            F.col("level").alias("to"), F.pmod(place, F.col("wide")).alias("other"))
+        cross = write_table(_tree_join(mine.unionByName(all_of),
+                                       ["component", "of", "part", "to", "other"], width, percent),
+                            name="cross_links")
         links = links.unionByName(cross)
     linked = components(links).withColumnRenamed("node", "class_id")
     named = write_table(classes.join(linked, "class_id", "left").select(
