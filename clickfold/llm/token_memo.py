@@ -23,7 +23,7 @@ import struct
 LONG_PIECE = 48
 #: Remembered pieces per generation (about 200 bytes each); a worker keeps two
 #: generations and moves a piece that is used again to the newer one.
-MEMO_SIZE = 500_000
+MEMO_SIZE = 300_000
 
 _PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_WHITE = re.compile(r"[^\S \n]")
