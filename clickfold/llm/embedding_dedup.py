@@ -13,7 +13,9 @@ cells, and each cell compares its home vectors with all that came, on its
 own.  A pair is counted once for each of its ends, in the home cell of the
 other, so no pair is emitted: a cell returns a count per vector and the links
 that connect it.  If d(x, p_j) + radius(j) <= r the whole cell is linked and
-needs no comparison.  Home vectors of a large cell are dealt to chunks.
+needs no comparison.  Both sides of a cell are dealt to chunks by their real
+sizes, and a task compares one home chunk with one visitor chunk; a label
+without pivots is one cell, at home and visiting with all its vectors.
 
 Equal vectors (same label, same components) are one class with a count, so
 copies are compared once.
@@ -37,14 +39,16 @@ from clickfold.llm.common import components
 from clickfold.session import write_table
 
 # Layout parameters; none of them changes a result.
-CELL = 512              # home vectors aimed at per cell, and the most in a chunk
-MAX_PIVOTS = 2048       # pivots in all: the bound of what is broadcast
+CELL = 512              # home vectors aimed at per cell
+HOME_CELLS = 2          # home vectors aimed at per chunk, in cells
+VISITOR_CELLS = 8       # visitors aimed at per chunk, in cells
+MAX_PIVOTS = 2048       # pivots of a label; in all there is about one for CELL classes
 SLACK = 1e-9            # rounding allowed for when cells are ruled out or in
 BLOCK_ROWS = 256
+PACK_ROWS = 20_000
 
 
-def _unit(rows: list) -> np.ndarray:
-    v = np.array(rows, np.float64)
+def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1))[:, None]
 
 
@@ -73,23 +77,16 @@ def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _pivots(classes: DataFrame) -> dict[tuple, np.ndarray]:
-    """Pivots per (label, dim) with more than one cell's worth of classes; at
-    most about MAX_PIVOTS in all."""
+    """Pivots per (label, dim) with more than one cell's worth of classes: one
+    for CELL classes, at most about MAX_PIVOTS a label."""
     sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-    wanted = F.ceil(F.col("n") / CELL)
+    wanted = F.least(F.ceil(F.col("n") / CELL), F.lit(MAX_PIVOTS))
     sizes = sizes.where(F.col("n") > CELL).withColumn("k", wanted)
-    total = sizes.agg(F.sum("k")).first()[0] or 0
-    if not total:
-        return {}
-    # k of n classes by the hash of the vector; the limit bounds the broadcast.
-    share = F.col("k") / F.col("n") * min(1.0, MAX_PIVOTS / total)
+    # About k of n classes, by the hash of the vector.
     h = F.pmod(F.xxhash64("digest"), F.lit(1 << 30))
-    rows = (classes.join(sizes, ["label", "dim"]).where(h < share * (1 << 30))
-            .orderBy(h, "digest").limit(MAX_PIVOTS).select("label", "dim", "digest", "v").collect())
-    found: dict[tuple, list] = {}
-    for r in sorted(rows, key=lambda r: r["digest"]):
-        found.setdefault((r["label"], r["dim"]), []).append(r["v"])
-    return {k: _unit(v) for k, v in found.items()}
+    rows = (classes.join(sizes, ["label", "dim"]).where(h < F.col("k") / F.col("n") * (1 << 30))
+            .select("label", "dim", "digest", "v").orderBy("digest").toArrow().combine_chunks())
+    return {key: u for batch in rows.to_batches() for key, _, u in _by_group(batch)}
 
 
 def _distances(u: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -104,7 +101,7 @@ def _by_group(batch):
         groups.setdefault(key, []).append(i)
     vectors = batch.column("v")
     for key, at in groups.items():
-        yield key, at, _unit(vectors.take(pa.array(at)).to_pylist())
+        yield key, at, _unit(vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), -1))
 
 
 def _homes(classes: DataFrame, pivots) -> DataFrame:
@@ -127,76 +124,93 @@ def _homes(classes: DataFrame, pivots) -> DataFrame:
 
 
 def _dealt(homes: DataFrame, pivots, cells: dict, radius: float) -> DataFrame:
-    """Every class once per chunk of a cell into which it may have links:
-    ``(label, dim, cell, chunk)``, ``own`` if it is at home there; and, as
-    cell -1, the cells that it is linked with as a whole."""
+    """Every class once per cell into which it may have links: ``(label, dim,
+    cell)``, ``own`` if it is at home there; and, as cell -1, the cells that
+    it is linked with as a whole."""
     sc = homes.sparkSession.sparkContext
     shared = sc.broadcast((pivots, cells))
-    out = ("id long, copies long, label string, dim int, v array<double>, cell long, chunk int, "
-           "own boolean, whole array<long>, sure long")
+    out = ("id long, copies long, label string, dim int, v array<double>, cell long, own boolean, "
+           "whole array<long>, sure long")
 
     def run(batches):
         pivot, cell = shared.value
         for batch in batches:
-            ids, copies = (batch.column(c).to_pylist() for c in ("id", "copies"))
-            homes_, spots = batch.column("home").to_pylist(), batch.column("spot").to_pylist()
-            vectors = batch.column("v").to_pylist()
-            rows = []
-            for (label, dim), at, u in _by_group(batch):
-                key = (label, dim)
+            homes_ = batch.column("home").to_numpy()
+            for key, at, u in _by_group(batch):
+                at = np.array(at)
                 if key not in pivot:
-                    for i in at:
-                        rows.append((ids[i], copies[i], label, dim, vectors[i], 0, -1, True, None, 0))
+                    yield from pack(batch, at, np.zeros(len(at), np.int64), np.ones(len(at), bool))
                     continue
                 p, c = pivot[key], cell[key]
-                d = _distances(u, p)
-                home = np.array([homes_[i] for i in at])
-                mine = d[np.arange(len(at)), home][:, None]
-                gap = _distances(p, p)[home]
-                half = (d * d - mine * mine) / np.maximum(2 * gap, 1e-12)
-                near = ((d <= radius + c["radius"] + SLACK) & (d - mine <= 2 * radius + SLACK)
-                        & ((half <= radius + SLACK) | (gap < 1e-6)) & (c["n"] > 0))
-                whole = (d + c["radius"] <= radius - SLACK) & (c["n"] > 0)
-                near[np.arange(len(at)), home] = True
-                whole[np.arange(len(at)), home] = False
-                for k, i in enumerate(at):
-                    sure = np.flatnonzero(whole[k])
-                    if len(sure):
-                        rows.append((ids[i], copies[i], label, dim, None, -1, 0, False,
-                                     c["first"][sure].tolist(), int(c["copies"][sure].sum())))
-                    for j in np.flatnonzero(near[k] & ~whole[k]):
-                        chunks = int(c["chunks"][j])
-                        own = spots[i] % chunks if j == home[k] else -1
-                        for chunk in range(chunks):
-                            rows.append((ids[i], copies[i], label, dim, vectors[i], int(j), chunk,
-                                         chunk == own, None, 0))
-                    if len(rows) > 20_000:
-                        yield from pack(rows)
-                        rows = []
-            yield from pack(rows)
-
-    def pack(rows):
-        if rows:
-            c = list(zip(*rows))
-            types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.float64()),
-                     pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.int64()]
+                for s in range(0, len(at), BLOCK_ROWS):
+                    rows, x = at[s:s + BLOCK_ROWS], u[s:s + BLOCK_ROWS]
+                    home, k = homes_[rows], np.arange(len(rows))
+                    d = _distances(x, p)
+                    mine = d[k, home][:, None]
+                    gap = _distances(p[home], p)
+                    half = (d * d - mine * mine) / np.maximum(2 * gap, 1e-12)
+                    near = ((d <= radius + c["radius"] + SLACK) & (d - mine <= 2 * radius + SLACK)
+                            & ((half <= radius + SLACK) | (gap < 1e-6)) & (c["n"] > 0))
+                    whole = (d + c["radius"] <= radius - SLACK) & (c["n"] > 0)
+                    near[k, home] = True
+                    whole[k, home] = False
+                    who, to = np.nonzero(near & ~whole)
+                    yield from pack(batch, rows[who], to, to == home[who])
+                    some = np.flatnonzero(whole.any(1))
+                    yield from pack(batch, rows[some], np.full(len(some), -1), np.zeros(len(some), bool),
+                                    [c["first"][whole[i]].tolist() for i in some],
+                                    [int(c["copies"][whole[i]].sum()) for i in some])
+
+    def pack(batch, rows, cell, own, whole=None, sure=None):
+        for s in range(0, len(rows), PACK_ROWS):
+            e = s + PACK_ROWS
+            at = pa.array(rows[s:e])
+            n = len(at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(c, types)],
+                [*[batch.column(c).take(at) for c in ("id", "copies", "label", "dim")],
+                 pa.nulls(n, pa.list_(pa.float64())) if whole else batch.column("v").take(at),
+                 pa.array(cell[s:e], pa.int64()), pa.array(own[s:e]),
+                 pa.array(whole[s:e] if whole else [None] * n, pa.list_(pa.int64())),
+                 pa.array(sure[s:e] if sure else [0] * n, pa.int64())],
                 [x.split()[0] for x in out.split(", ")])
 
     return homes.mapInArrow(run, out)
 
 
+def _chunk_pairs(dealt: DataFrame) -> DataFrame:
+    """The classes of each cell once per pair of a home chunk and a visitor
+    chunk in which they take part: ``visits``, ``own`` or both.  A pair of a
+    visitor and a home class meets in exactly one pair of chunks."""
+    cut = dealt.where("cell >= 0").select("label", "dim", "cell", "id", "copies", "v", "own")
+    key = ["label", "dim", "cell"]
+    sizes = cut.groupBy(*key).agg(
+        F.ceil(F.count_if("own") / F.lit(HOME_CELLS * CELL)).cast("long").alias("_h"),
+        F.ceil(F.count(F.lit(1)) / F.lit(VISITOR_CELLS * CELL)).cast("long").alias("_w"))
+    cut = cut.join(write_table(sizes, name="sizes"), key).withColumns({
+        "_i": F.pmod(F.xxhash64("id"), F.col("_h")), "_j": F.pmod(F.xxhash64("id", F.lit(1)), F.col("_w"))})
+
+    def pair(home, visitor, visits, own):
+        return F.struct(home.alias("home_chunk"), visitor.alias("visitor_chunk"),
+                        visits.alias("visits"), own.alias("own"))
+
+    zero = F.lit(0).cast("long")
+    visiting = F.transform(F.sequence(zero, F.col("_h") - 1), lambda c: pair(
+        c, F.col("_j"), F.lit(True), F.col("own") & (c == F.col("_i"))))
+    at_home = F.transform(F.filter(F.sequence(zero, F.col("_w") - 1), lambda c: F.col("own") & (c != F.col("_j"))),
+                          lambda c: pair(F.col("_i"), c, F.lit(False), F.lit(True)))
+    return cut.select(*key, "id", "copies", "v", F.explode(F.concat(visiting, at_home)).alias("_p")).select(
+        *key, "_p.*", "id", "copies", "v")
+
+
 def _join_chunk(least: float):
     def run(key, table):
-        """Links of each class with the home classes of the chunk."""
+        """Links of each visitor with the home classes of the chunk."""
         order = np.argsort(table["id"].to_numpy(), kind="stable")
         table = table.take(order)
         ids, copies = table["id"].to_numpy(), table["copies"].to_numpy()
-        own = np.flatnonzero(table["own"].to_numpy(zero_copy_only=False))
+        own, visitors = (np.flatnonzero(table[c].to_numpy(zero_copy_only=False)) for c in ("own", "visits"))
         flat = table["v"].combine_chunks()
-        u = flat.values.to_numpy().reshape(len(ids), -1)
-        u = u / np.sqrt((u * u).sum(1))[:, None]
+        u = _unit(flat.values.to_numpy().reshape(len(ids), -1))
         counts = np.zeros(len(ids), np.int64)
         up = np.arange(len(ids))
 
@@ -206,9 +220,9 @@ def _join_chunk(least: float):
                 i = up[i]
             return i
 
-        for at in range(0, len(ids), BLOCK_ROWS):
-            hit = cosines(u[at:at + BLOCK_ROWS], u[own]) >= least
-            rows = np.arange(at, min(at + BLOCK_ROWS, len(ids)))
+        for at in range(0, len(visitors), BLOCK_ROWS):
+            rows = visitors[at:at + BLOCK_ROWS]
+            hit = cosines(u[rows], u[own]) >= least
             hit[rows[:, None] == own[None, :]] = False
             counts[rows] = hit @ copies[own]
             for i, js in zip(rows[hit.any(1)], hit[hit.any(1)]):
@@ -235,21 +249,8 @@ def dedup(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     pivots = _pivots(classes)
     homes = write_table(_homes(classes, pivots), name="homes")
     cells = _cells(homes, pivots)
-    dealt = write_table(_dealt(homes.withColumn("spot", F.pmod(F.xxhash64("id"), F.lit(1 << 30))),
-                               pivots, cells, radius), name="dealt")
-    # Cells without pivots (small labels, or more labels than pivots) are
-    # chunked by their size, too: chunk -1 stands for "not dealt yet".
-    plain = dealt.where("chunk = -1")
-    sizes = plain.groupBy("label", "dim").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(4 * CELL)).cast("long").alias("chunks"))
-    spot = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    plain = (plain.join(write_table(sizes, name="plain"), ["label", "dim"])
-             .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-             .withColumn("own", F.col("_c") == spot).withColumn("chunk", F.col("_c").cast("int"))
-             .drop("_c", "chunks"))
-    cut = dealt.where("chunk >= 0 AND cell >= 0").unionByName(plain)
-    found = write_table(cut.select("label", "dim", "cell", "chunk", "id", "copies", "own", "v")
-                        .groupBy("label", "dim", "cell", "chunk")
+    dealt = write_table(_dealt(homes, pivots, cells, radius), name="dealt")
+    found = write_table(_chunk_pairs(dealt).groupBy("label", "dim", "cell", "home_chunk", "visitor_chunk")
                         .applyInArrow(_join_chunk(least), "id long, n long, to long"), name="found")
     sure = dealt.where("cell = -1")
     counts = (found.select("id", "n").unionByName(sure.select("id", F.col("sure").alias("n")))
@@ -273,11 +274,10 @@ def dedup(vectors: DataFrame, least: float = 0.93) -> DataFrame:
 
 
 def _cells(homes: DataFrame, pivots) -> dict:
-    """Per (label, dim) and cell: home classes, their vectors, radius, chunks
-    and the id of one class (as many rows as there are pivots)."""
+    """Per (label, dim) and cell: home classes, their vectors, radius and the
+    id of one class (as many rows as there are pivots)."""
     empty = {k: dict(n=np.zeros(len(p), np.int64), copies=np.zeros(len(p), np.int64),
-                     radius=np.zeros(len(p)), first=np.zeros(len(p), np.int64),
-                     chunks=np.ones(len(p), np.int64)) for k, p in pivots.items()}
+                     radius=np.zeros(len(p)), first=np.zeros(len(p), np.int64)) for k, p in pivots.items()}
     if not pivots:
         return empty
     rows = homes.groupBy("label", "dim", "home").agg(
@@ -287,7 +287,6 @@ def _cells(homes: DataFrame, pivots) -> dict:
         c = empty[(r["label"], r["dim"])]
         for name in ("n", "copies", "radius", "first"):
             c[name][r["home"]] = r[name]
-        c["chunks"][r["home"]] = -(-r["n"] // (2 * CELL))
     return empty
 
 

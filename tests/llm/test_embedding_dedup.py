@@ -81,3 +81,33 @@ def test_cases(spark):
     assert [x for x in found if x[0] is not None] == [x for x in want if x[0] is not None]
     assert sorted(x[1] for x in found if x[0] is None) == [0, 3]
     assert D.dedup(df.where("1 = 0")).count() == 0
+
+
+@pytest.mark.parametrize("most", [2048, 0])
+def test_no_task_holds_a_whole_label(spark, monkeypatch, tmp_path, most):
+    """One label in which no bound rules out a cell (or without pivots): both
+    sides of a cell are cut, so a task holds far less than the label."""
+    join = D._join_chunk
+
+    def recorded(least):
+        run, folder = join(least), str(tmp_path)
+
+        def sized(key, table):
+            import uuid
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(table.num_rows))
+            return run(key, table)
+
+        return sized
+
+    monkeypatch.setattr(D, "CELL", 4)
+    monkeypatch.setattr(D, "MAX_PIVOTS", most)
+    monkeypatch.setattr(D, "_join_chunk", recorded)
+    r = random.Random(5)
+    rows = [(i, [r.gauss(0, 1) for _ in range(64)], 1) for i in range(240)]
+    rows += [(1000 + i, [x + r.gauss(0, 0.05) for x in rows[i][1]], 1) for i in range(60)]
+    df = spark.createDataFrame([(*x, 0, "x") for x in rows], SCHEMA)
+    got = D.dedup(df).collect()
+    assert sorted(((x["vec_id"], x["n_links"], x["component_id"]) for x in got), key=repr) == brute(rows)
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert max(sizes) < 100 < len(rows)
