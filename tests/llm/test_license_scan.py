@@ -84,3 +84,33 @@ def test_cases(spark):
     assert out.count() == len(files)
     assert [r["license"] for r in out.where("path = '/o/1.txt' AND license IS NOT NULL").collect()] == ["GPL-3.0"] * 2
     assert L.scan(frame(spark, files).where("1 = 0")).count() == 0
+
+
+MPL_HEADER = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+int x;
+"""
+GPL2_HEADER = """# This program is free software; you can redistribute it and/or
+# modify it under the terms of the GNU General Public License
+# as published by the Free Software Foundation; either version 2
+# of the License, or (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+
+
+def test_headers_over_several_lines_and_sentences(spark):
+    want = {
+        "/a/mpl.c": (MPL_HEADER + prose(2, 60), "MPL-2.0"),
+        "/b/page.txt": (f"{prose(3, 40)}. Licensed under CC BY-NC 4.0. {prose(4, 40)}", "CC-BY-NC-4.0"),
+        "/c/LICENSE": ("Apache License\nVersion 2.0, January 2004\n" + prose(5, 40), "Apache-2.0"),
+        "/d/gpl.py": (GPL2_HEADER + prose(6, 60), "GPL-2.0"), "/e/COPYING": (GPL2_HEADER, "GPL-2.0"),
+        "/f/COPYING": ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n" + prose(7, 40), "GPL-2.0"),
+        "/g/COPYING": ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n" + prose(8, 40), "GPL-3.0"),
+        "/h/none.txt": (prose(9, 60), None)}
+    files = [(p, t) for p, (t, _) in want.items()] + [(f"/bulk/{i}.txt", prose(20 + i, 40)) for i in range(30)]
+    found = {r["path"]: r["own_license"] for r in L.scan(frame(spark, files)).collect()}
+    assert {p: found[p] for p in want} == {p: name for p, (_, name) in want.items()}
