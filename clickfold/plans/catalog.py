@@ -64,9 +64,8 @@ from clickfold.sources.sink import read_scores, write_scores
 
 # Fixed values of the smoother run: start point, step cap and tolerance.
 SMOOTH_ALPHA0, SMOOTH_BETA0, SMOOTH_ITER, SMOOTH_EPS = 1.0, 1.0, 1000, 1e-10
-# Boosting rounds of the registered model queries (the library's default is
-# the reference's 700; see README for its time).
-QUERY_ROUNDS = 20
+# Boosting rounds of the registered model queries: the reference's.
+QUERY_ROUNDS = M.ROUNDS
 TRAIN_FOLDS = (1, 2, 3, 4, 5)
 TEST_FOLD = 6
 PARSE_COLS = ("item_category_list_2", "predict_category_property_rank", "item_category_count")

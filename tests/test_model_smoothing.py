@@ -151,3 +151,19 @@ def test_text_ids_encode_above_missing_sentinel(spark):
     df = spark.createDataFrame([(str(i) + "x",) for i in range(200)] + [(None,)], "c string")
     vals = [r[0] for r in df.select(F.coalesce(M.as_number(df, "c"), F.lit(M.MISSING))).collect()]
     assert min(v for v in vals if v != M.MISSING) >= 0 and vals.count(M.MISSING) == 1
+
+
+def test_registered_model_queries_fit_all_rounds():
+    import inspect
+    from clickfold.plans import catalog
+    for name in ("train_and_score", "validate"):
+        assert inspect.signature(catalog.queries()[name]).parameters["rounds"].default == M.ROUNDS == 700
+
+
+def test_validate_gives_the_base_rates_loss(spark):
+    data = [(i, fold, int(i % 4 == 0), float(i % 4)) for fold in (1, 2) for i in range(80)]
+    feats = spark.createDataFrame(data, "instance_id long, fold_id int, is_trade int, x double")
+    r = M.validate(feats, (1,), 2, rounds=10, min_child=2, subsample=1.0, colsample="all").first()
+    assert r["n"] == 80
+    assert r["base_log_loss"] == pytest.approx(-(0.25 * math.log(0.25) + 0.75 * math.log(0.75)))
+    assert r["log_loss"] < r["base_log_loss"]
