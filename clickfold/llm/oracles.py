@@ -135,6 +135,22 @@ FROM n GROUP BY conv_id
 """
 
 
+OP11 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+         FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) AS a FROM win) WHERE a < doc_id),
+cut AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(CASE WHEN g IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
+         list_transform(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(g, k)),
+                        lambda k: w[k]), ' ') END, '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard": OP1, "op5_embedding_dedup": OP5, "op7_quality_rules": OP7,
-            "op8_source_mixing": OP8, "op9_chat_format": OP9}
+            "op8_source_mixing": OP8, "op9_chat_format": OP9,
+            "op11_substring_dedup": OP11}

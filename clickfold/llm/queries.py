@@ -20,6 +20,7 @@ from clickfold.llm import (
     language_id,
     license_scan,
     oracles,
+    passage_dedup,
     quality_rules,
     source_mixing,
     token_files,
@@ -105,6 +106,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = passage_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
