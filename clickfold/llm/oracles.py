@@ -135,6 +135,23 @@ FROM n GROUP BY conv_id
 """
 
 
+#: CTEs ``crc(t)`` and an expression over it: the CRC-32 of a string's UTF-8
+#: bytes, by the usual table of 256 remainders made from its polynomial.
+_CRC_TABLE = """
+crc AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+    CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i)))
+"""
+
+
+def _crc(text: str, table: str) -> str:
+    return f"""xor(4294967295, list_reduce(
+      list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(octet_length(encode({text}))),
+        lambda k: CAST('0x' || substr(hex(encode({text})), 2 * k + 1, 2) AS BIGINT))),
+      lambda x, y: xor(x >> 8, {table}[CAST(xor(x, y) & 255 AS BIGINT) + 1])))"""
+
+
 OP11 = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t
@@ -150,7 +167,38 @@ FROM d LEFT JOIN cut USING (doc_id)
 """
 
 
+OP12 = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+             {_crc("CAST(doc_id AS VARCHAR)", "t")} AS h FROM documents, crc),
+e AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g,
+             CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+u AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i:
+        CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) END AS w FROM f),
+q AS (SELECT doc_id, n, w, unnest(range(1, n // 4 + 1)) AS q FROM u),
+m AS (SELECT doc_id, n, q, list_concat([-1], list_filter(range(n - q), lambda i: w[i + 1] <> w[i + q + 1]),
+                                       [n - q]) AS x FROM q),
+s AS (SELECT doc_id, q, unnest(x[:-2]) + 1 AS i, unnest(x[2:]) + q AS j FROM m),
+r AS (SELECT doc_id, i AS start, j - i AS length, min(q) AS period FROM s
+      WHERE j - i >= greatest(6, 4 * q) GROUP BY 1, 2, 3),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC,
+                                   start, period) AS k FROM r),
+t AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), ''
+                                                    ORDER BY start, period) AS lines FROM r GROUP BY 1),
+gone AS (SELECT doc_id, list(DISTINCT i) AS g FROM (
+  SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM r) GROUP BY 1)
+SELECT u.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+       1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(CASE WHEN g IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
+         list_transform(list_filter(range(n), lambda k: NOT list_contains(g, k)), lambda k: w[k + 1]),
+         ' ') END, '')) AS collapsed_sha256
+FROM u LEFT JOIN t USING (doc_id) LEFT JOIN (SELECT * FROM b WHERE k = 1) USING (doc_id)
+LEFT JOIN gone USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard": OP1, "op5_embedding_dedup": OP5, "op7_quality_rules": OP7,
             "op8_source_mixing": OP8, "op9_chat_format": OP9,
-            "op11_substring_dedup": OP11}
+            "op11_substring_dedup": OP11, "op12_periodic_runs": OP12}

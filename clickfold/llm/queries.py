@@ -21,12 +21,13 @@ from clickfold.llm import (
     license_scan,
     oracles,
     passage_dedup,
+    periodic_runs,
     quality_rules,
     source_mixing,
     token_files,
     url_filter,
 )
-from clickfold.llm.common import ship_package
+from clickfold.llm.common import ship_package, words
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +112,35 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with every tenth text made periodic from a word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", "text", h.alias("h"))
+    tenth = F.coalesce(F.col("h") % 10 == 0, F.lit(False))
+    n = docs.where(tenth).select("doc_id", words(F.col("text")).alias("w"),
+                                 F.expr("h div 10").alias("g"))
+    n = n.withColumn("n", F.size("w")).where("n > 0")
+    n = n.withColumn("a", F.expr("int(g % n)"))
+    n = n.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    text = F.expr("""concat_ws(' ', slice(w, 1, a), slice(flatten(array_repeat(
+        slice(w, a + 1, p), int((n - a) div p) + 1)), 1, n - a))""")
+    return docs.where(~tenth).select("doc_id", "text").unionAll(
+        docs.where(tenth).where(F.size(words(F.col("text"))) == 0).select("doc_id", "text")).unionAll(
+        n.select("doc_id", text.alias("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = periodic_runs.find_runs(_planted(_table(spark, sf_dir, "documents")))
+    lines = F.expr("""concat_ws('', transform(runs, r -> concat(
+        string(r.start), ',', string(r.length), ',', string(r.period), '\n')))""")
+    d = d.withColumn("r", F.when(F.col("best").isNotNull(),
+                                 F.get(F.col("runs"), F.col("best").cast("int"))))
+    return d.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "r.start", "r.length", "r.period",
+        F.expr("1000 * r.length div r.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
