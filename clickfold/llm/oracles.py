@@ -198,7 +198,38 @@ LEFT JOIN gone USING (doc_id)
 """
 
 
+_LETTERS = "[A-Za-z\u00c0-\u00ff]+"
+
+OP13 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, w, count(*) AS c FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                           '{_LETTERS}')) AS w FROM documents) GROUP BY 1, 2),
+h AS (SELECT w, c, {_crc("doc_id || ':' || w", "t")} AS h FROM r, crc),
+e AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2)
+             ELSE w END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM e WHERE length(word) >= 6 GROUP BY 1
+      HAVING sum(c) >= 5),
+x AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT a.word, b.word AS near, b.n FROM x a JOIN x b ON a.k = b.k AND a.i = b.i AND a.word <> b.word
+      UNION SELECT x.word, v.word, v.n FROM x JOIN v ON x.k = v.word
+      UNION SELECT v.word, x.word, x.n FROM x JOIN v ON x.k = v.word),
+b AS (SELECT word, count(*) AS n_near, max(n) AS top FROM p GROUP BY 1),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN top >= 5 * v.n THEN top END AS form_n,
+             (SELECT min(near) FROM p WHERE p.word = v.word AND p.n = top AND top >= 5 * v.n) AS form
+      FROM v LEFT JOIN b USING (word)),
+walk AS (SELECT word, word AS there, 0 AS k FROM f
+         UNION ALL SELECT walk.word, f.form, k + 1 FROM walk JOIN f ON f.word = walk.there
+         WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n
+FROM f JOIN (SELECT word, arg_max(there, k) AS root FROM walk GROUP BY 1) USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard": OP1, "op5_embedding_dedup": OP5, "op7_quality_rules": OP7,
             "op8_source_mixing": OP8, "op9_chat_format": OP9,
-            "op11_substring_dedup": OP11, "op12_periodic_runs": OP12}
+            "op11_substring_dedup": OP11, "op12_periodic_runs": OP12,
+            "op13_spelling_variants": OP13}

@@ -24,6 +24,7 @@ from clickfold.llm import (
     periodic_runs,
     quality_rules,
     source_mixing,
+    spelling_variants,
     token_files,
     url_filter,
 )
@@ -141,6 +142,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling_variants.word_counts(_table(spark, sf_dir, "documents"), damage=199)
+    return spelling_variants.variants(counts)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

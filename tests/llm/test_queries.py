@@ -9,7 +9,7 @@ TABLES = ("documents", "embeddings", "conversations", "pages", "labels")
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
 
 
