@@ -6,7 +6,6 @@ returns a DataFrame whose column names match ``clickfold.plans.oracle``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +47,6 @@ from clickfold.plans import model as M
 from clickfold.plans.features import (
     SCORE_START,
     build_features,
-    feature_table_columns,
     prepare_derived,
 )
 from clickfold.session import table_path, write_table
@@ -167,14 +165,15 @@ def q_stack_folds(spark, sf_dir):
 
 
 def feature_table(spark, sf_dir, compat: bool = False,
-                  materialize_labels: str | None = None) -> DataFrame:
+                  materialize_labels: str | None = None,
+                  only: tuple[int, ...] | None = None) -> DataFrame:
     """The whole assembly.  History rows feed one GROUPING SETS pass; label
     rows feed three (stats pass, hourly table, final join) and are re-read
     column-pruned by each rather than checkpointed (a row checkpoint would
     write every column and serve every read whole).  Pass
     ``materialize_labels="checkpoint"`` when the log source is expensive to
     recompute."""
-    p = prepare_derived(spark, sf_dir, materialize_as=materialize_labels)
+    p = prepare_derived(spark, sf_dir, materialize_as=materialize_labels, only=only)
     return build_features(p, compat=compat)
 
 
@@ -187,8 +186,7 @@ def q_feature_table(spark, sf_dir):
 
 
 def q_correlation_screen(spark, sf_dir):
-    feats = feature_table(spark, sf_dir).where(F.col("fold_id").isin(*TRAIN_FOLDS))
-    return M.correlation_screen(feats)
+    return M.correlation_screen(feature_table(spark, sf_dir, only=TRAIN_FOLDS))
 
 
 def q_balanced_sample(spark, sf_dir):
@@ -250,36 +248,34 @@ def q_digamma(spark, sf_dir):
         "x", F.round(digamma("x"), 8).alias("psi"))
 
 
-def _model_parts(spark, sf_dir):
-    feats = write_table(feature_table(spark, sf_dir), name="features")
+def _model_parts(spark, sf_dir, only=None):
+    feats = write_table(feature_table(spark, sf_dir, only=only), name="features")
     return feats, M.feature_columns(feats)
 
 
 def q_model_columns(spark, sf_dir):
-    """M1: the model matrix's columns in order."""
-    cols = M.matrix_columns(M.model_features(feature_table_columns(prepare_derived(spark, sf_dir))))
-    return spark.createDataFrame(list(enumerate(cols, 1)), "position int, feature string")
+    """M1: the columns of the training matrix in order, and how many of its
+    rows have a value there."""
+    feats = feature_table(spark, sf_dir, only=TRAIN_FOLDS)
+    mat = M.model_matrix(feats, M.feature_columns(feats), keep=())
+    row = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"),
+                             F.count(c).alias("n_present")) for i, c in enumerate(mat.columns, 1)])
+    return mat.agg(row.alias("a")).select(F.inline("a"))
 
 
 def q_train_and_score(spark, sf_dir, rounds: int = QUERY_ROUNDS):
-    """M3, M4: fit on the training folds, score the scoring fold.  Scores of
-    boosted trees have no SQL form; the row states what must hold for each."""
+    """M3, M4: fit on the training folds, score the scoring fold."""
     feats, cols = _model_parts(spark, sf_dir)
     model = M.fit_conversion_model(feats.where(F.col("fold_id").isin(*TRAIN_FOLDS)), cols,
                                    rounds=rounds)
-    scored = M.score(model, feats.where(F.col("fold_id") == TEST_FOLD), cols)
-    ok = F.col("predicted_score").between(0.0, 1.0)
-    return scored.select("instance_id", F.coalesce(ok, F.lit(False)).alias("score_is_probability"))
+    return M.score(model, feats.where(F.col("fold_id") == TEST_FOLD), cols)
 
 
 def q_validate(spark, sf_dir, rounds: int = QUERY_ROUNDS):
-    """M6: fit on folds 1-4, log loss on fold 5.  The labels of these tables
-    are random, so no model can beat the base rate; the row states that the
-    loss is finite and below that of a coin flip."""
-    feats, _ = _model_parts(spark, sf_dir)
-    got = M.validate(feats, TRAIN_FOLDS[:4], TRAIN_FOLDS[4], rounds=rounds)
-    loss = F.col("log_loss")
-    return got.select("n", ((loss > 0) & (loss < math.log(2))).alias("better_than_coin"))
+    """M6: fit on folds 1-4, log loss on fold 5 next to that of the training
+    folds' base rate."""
+    feats, _ = _model_parts(spark, sf_dir, only=TRAIN_FOLDS)
+    return M.validate(feats, TRAIN_FOLDS[:4], TRAIN_FOLDS[4], rounds=rounds)
 
 
 def q_native_log_roundtrip(spark, sf_dir):

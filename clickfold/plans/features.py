@@ -73,11 +73,13 @@ def prepare_logs(train_log: DataFrame, score_log: DataFrame | None,
 
 def prepare_derived(spark: SparkSession, sf_dir: str, grain: str = "hour",
                     materialize_as: str | None = None,
-                    history_materialize_as: str | None = None) -> Prepared:
-    """The derived log over the driver tables, cut into the reference folds."""
+                    history_materialize_as: str | None = None,
+                    only: tuple[int, ...] | None = None) -> Prepared:
+    """The derived log over the driver tables, cut into the reference folds
+    (or ``only`` some of them: the others are never built)."""
     log = derived_log(spark, sf_dir, grain=grain, since=LOG_START)
-    return prepare_log(mark_score_log(log, SCORE_START), reference_folds(DERIVED_YEAR, DERIVED_MONTH),
-                       materialize_as, history_materialize_as)
+    folds = [f for f in reference_folds(DERIVED_YEAR, DERIVED_MONTH) if only is None or f.fold_id in only]
+    return prepare_log(mark_score_log(log, SCORE_START), folds, materialize_as, history_materialize_as)
 
 
 def build_features(prep: Prepared, compat: bool = False, extras: bool = False,

@@ -444,9 +444,17 @@ SELECT x, round({digamma_sql('x')}, 8) AS psi FROM a WHERE x > 0"""
 
 
 def model_columns_sql() -> str:
-    names = MODEL_FEATURES + [f"{p}_unseen" for p, _ in HISTORY_KEYS]
-    rows = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names, 1))
-    return f"SELECT CAST(position AS INT) AS position, feature FROM (VALUES {rows}) t(position, feature)"
+    counts = []
+    for c in MODEL_FEATURES:
+        number = f"TRY_CAST({c} AS DOUBLE)"
+        counts += ([(c, f"count({number})"), (f"{c}_code", f"count(CASE WHEN {number} IS NULL THEN {c} END)")]
+                   if c in TEXT else [(c, f"count({c})")])
+    rows = "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INT) AS position, '{c}' AS feature, {n} AS n_present FROM ft"
+        for i, (c, n) in enumerate(counts, 1))
+    return f"""
+, ft AS (SELECT * FROM {as_subquery(feature_body(RAW))} x WHERE fold_id IN {tuple(TRAIN_FOLDS)})
+{rows}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -467,14 +475,11 @@ def oracle_sql() -> dict[str, str]:
     out["balanced_sample"] = balanced_sql()
     out["log_loss"] = log_loss_sql()
     out["write_scores"] = write_scores_sql()
-    out["train_and_score"] = f"SELECT instance_id, true AS score_is_probability FROM lab WHERE fold_id = {TEST_FOLD}"
-    out["validate"] = (f"SELECT count(*) AS n, true AS better_than_coin FROM lab "
-                       f"WHERE fold_id = {TRAIN_FOLDS[4]}")
+    out["model_columns"] = model_columns_sql()
     full = {k: PRELUDE + v for k, v in out.items()}
     full["native_log_roundtrip"] = native_roundtrip_sql()
     full["native_score_log"] = native_score_sql()
     full["digamma"] = digamma_query_sql()
-    full["model_columns"] = model_columns_sql()
     full["smoothing_fit"] = smoothing_fit_sql()
     full["smoothed_rate"] = smoothed_rate_sql()
     return full

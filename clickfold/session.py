@@ -8,6 +8,7 @@ such as ``spark.checkpoint.dir`` from the session instead of assuming them.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -123,6 +124,30 @@ def _read_schema(df: DataFrame, partition_by: str | None):
     return type(df.schema)(fields)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of intermediate data behind its last reader."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    known = _written.get(spark.sparkContext.applicationId, [])
+    if path in known:
+        known.remove(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers (once per
+    application), for clusters and sessions on which it is not installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    at = tempfile.mkdtemp(prefix="clickfold-code-")
+    sc.addPyFile(shutil.make_archive(f"{at}/clickfold_core", "zip", root, "clickfold"))
+    _shipped.add(sc.applicationId)
+
+
 def drop_tables(spark: SparkSession) -> int:
     """Delete every table this process wrote for the session's application.
 

@@ -23,7 +23,8 @@ def test_oracle_keys_subset():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     own = {n for n in q if not n.startswith("op") and n != "pipeline"}
-    assert own <= set(o) and len(own) == 66
+    # Scores of boosted trees have no SQL form: tests/test_boosting.py has a plain version.
+    assert own - set(o) == {"train_and_score", "validate"} and len(own) == 66
 
 
 @pytest.mark.parametrize("name", SAMPLE)

@@ -146,11 +146,13 @@ def test_saved_model_scores_like_the_fitted_one(spark):
     assert a == b
 
 
-def test_text_ids_encode_above_missing_sentinel(spark):
-    from pyspark.sql import functions as F
-    df = spark.createDataFrame([(str(i) + "x",) for i in range(200)] + [(None,)], "c string")
-    vals = [r[0] for r in df.select(F.coalesce(M.as_number(df, "c"), F.lit(M.MISSING))).collect()]
-    assert min(v for v in vals if v != M.MISSING) >= 0 and vals.count(M.MISSING) == 1
+def test_text_columns_are_numbers_or_codes(spark):
+    df = spark.createDataFrame([("12", 1), ("a1", 2), (None, 3), ("a1", 4), ("1.5", 5)], "c string, n long")
+    got = M.model_matrix(df, ["c", "n"], keep=()).orderBy("n").collect()
+    assert [r["c"] for r in got] == [12.0, None, None, None, 1.5]
+    codes = [r["c_code"] for r in got]
+    assert codes[0] is codes[2] is codes[4] is None and codes[1] == codes[3] >= 0
+    assert [r["n"] for r in got] == [1.0, 2.0, 3.0, 4.0, 5.0]
 
 
 def test_registered_model_queries_fit_all_rounds():
@@ -163,7 +165,7 @@ def test_registered_model_queries_fit_all_rounds():
 def test_validate_gives_the_base_rates_loss(spark):
     data = [(i, fold, int(i % 4 == 0), float(i % 4)) for fold in (1, 2) for i in range(80)]
     feats = spark.createDataFrame(data, "instance_id long, fold_id int, is_trade int, x double")
-    r = M.validate(feats, (1,), 2, rounds=10, min_child=2, subsample=1.0, colsample="all").first()
+    r = M.validate(feats, (1,), 2, rounds=10, min_child=2, subsample=1.0, colsample=1.0).first()
     assert r["n"] == 80
     assert r["base_log_loss"] == pytest.approx(-(0.25 * math.log(0.25) + 0.75 * math.log(0.75)))
     assert r["log_loss"] < r["base_log_loss"]
