@@ -2,8 +2,10 @@
 
 from clickfold.operators.folds import (
     Fold,
+    Panes,
     assign_folds,
     combine_logs,
+    history_panes,
     history_rows,
     label_rows,
     reference_folds,
@@ -34,7 +36,7 @@ from clickfold.operators.sampling import balanced_sample
 from clickfold.operators.smoothing import fit_smoothing, rate_counts, smoothed_rate
 
 __all__ = [
-    "Fold", "assign_folds", "combine_logs", "history_rows", "label_rows", "reference_folds",
+    "Fold", "Panes", "assign_folds", "combine_logs", "history_panes", "history_rows", "label_rows", "reference_folds",
     "sliding_folds", "HISTORY_KEYS", "attach_history", "entity_history", "merge_history",
     "natural_left_join", "stack_folds", "average_rank", "first_last_flags", "hourly_counts",
     "key_stats", "label_count", "label_features", "label_ratios", "predicted_rank_counts",

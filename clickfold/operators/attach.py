@@ -1,25 +1,32 @@
 """Attach many keyed feature tables to one row table.
 
 A one-pass aggregate over several key sets (GROUPING SETS) is written once,
-one folder per set.  Each set is then a table of its own files, so the engine
-knows its size when it plans a join: it broadcasts what its own threshold
-allows and joins the rest by sort-merge, with adaptive skew splitting.
+one folder per set.  Each set is then a table of its own files, so its size
+is known when the joins are planned.  Tables that the session's own broadcast
+threshold allows are joined one by one (the engine broadcasts them).  All
+others meet the rows in ONE narrow join: every row sends a short (table, key,
+row number) per table, these meet all tables stacked into one, and what they
+find is gathered by row number.  So the wide rows are shuffled once, not once
+per table, and adaptive execution splits hot keys in the narrow join.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickfold.session import table_path
+from clickfold.session import table_path, write_table
 
 
 @dataclass
 class Keyed:
+    """A table that is unique on ``keys``; ``size``: bytes of its files."""
     df: DataFrame
     keys: list[str]
+    size: int | None = None
 
 
 class SetTables:
@@ -33,23 +40,81 @@ class SetTables:
         # Rows of a set together in few files; large sets are split adaptively.
         combined.hint("rebalance", gid_col).write.partitionBy(gid_col).parquet(self._path)
         root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path)
-        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-        self._present = {f.getPath().getName() for f in files}
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._sizes = {f.getPath().getName(): system.getContentSummary(f.getPath()).getLength()
+                       for f in system.listStatus(root) if f.isDirectory()}
 
     def __getitem__(self, gid: int) -> DataFrame:
         folder = f"{self._gid}={gid}"
-        if folder not in self._present:
+        if folder not in self._sizes:
             return self._spark.createDataFrame([], self._schema)
         return self._spark.read.schema(self._schema).parquet(f"{self._path}/{folder}")
 
+    def size(self, gid: int) -> int:
+        return self._sizes.get(f"{self._gid}={gid}", 0)
+
+
+def broadcast_threshold(spark) -> int:
+    """The session's ``autoBroadcastJoinThreshold`` in bytes (-1: never)."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    digits = text.rstrip("bkmgt")
+    return int(digits) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[len(digits):][:1], 0)
+
 
 def attach_tables(rows: DataFrame, tables: list[Keyed], how: str = "left") -> DataFrame:
-    """Left-join every table on its keys."""
+    """Left-join every table on its keys; NULL keys find nothing.
+
+    Tables of unknown size, or within the broadcast threshold, are plain
+    joins; if two or more are larger, these go through ``narrow_join``.
+    """
+    limit = broadcast_threshold(rows.sparkSession)
+    large = [t for t in tables if t.size is not None and t.size > limit]
+    if how == "left" and len(large) > 1:
+        rows = narrow_join(rows, large)
+        tables = [t for t in tables if t not in large]
     for t in tables:
         rows = rows.join(t.df, t.keys, how)
     return rows
 
 
+def _key_text(number: int, df: DataFrame, keys: list[str]) -> Column:
+    """A table's number and its key values as one text, each with its length,
+    so that different keys never give the same text; NULL if one is NULL."""
+    parts = [F.lit(f"{number}")]
+    for k in keys:
+        text = F.col(k).cast("string")
+        parts += [F.lit(":"), F.length(text).cast("string"), F.lit(":"), text]
+    return F.concat(*parts)
+
+
+def narrow_join(rows: DataFrame, tables: list[Keyed], name: str = "rows") -> DataFrame:
+    """Left-join all ``tables`` in one join of (table and key, row number).
+
+    The rows are written once with a number, which stays whatever is lost.
+    Values travel as doubles (counts and flags are exact up to 2**53) and get
+    their types back.
+    """
+    columns = rows.columns
+    numbered = write_table(rows.withColumn("_row", F.monotonically_increasing_id()), name=name)
+    values = [[c for c in t.df.columns if c not in t.keys] for t in tables]
+    stacked, wanted = None, []
+    for i, (t, names) in enumerate(zip(tables, values)):
+        one = t.df.select(_key_text(i, t.df, t.keys).alias("_key"), F.array(
+            *[F.col(c).cast("double") for c in names]).alias("_values"))
+        stacked = one if stacked is None else stacked.unionAll(one)
+        wanted.append(F.struct(F.lit(i).alias("_set"), _key_text(i, numbered, t.keys).alias("_key")))
+    probes = numbered.select("_row", F.inline(F.filter(F.array(*wanted), lambda p: p["_key"].isNotNull())))
+    # The sides are large by construction: a sort-merge join, split where skewed.
+    met = probes.hint("merge").join(stacked, "_key").select("_row", "_set", "_values")
+    found, types = [], {f.name: f.dataType for t in tables for f in t.df.schema.fields}
+    for i, names in enumerate(values):
+        for j, c in enumerate(names):
+            found.append(F.max(F.when(F.col("_set") == i, F.get("_values", F.lit(j)))).alias(c))
+    gathered = met.repartition("_row").groupBy("_row").agg(*found)
+    out = numbered.join(gathered.hint("merge"), "_row", "left")
+    return out.select(*columns, *[F.col(c).cast(types[c]).alias(c) for names in values for c in names])
+
+
 def grouping_id(cols: list[str], present) -> int:
     """Spark's ``grouping_id()``: bit i (from the left) is 1 when ``cols[i]``
     is aggregated away in the set."""

@@ -123,6 +123,36 @@ def history_rows(log: DataFrame, folds: list[Fold]) -> DataFrame:
     return _tag(train, roles).drop("log_source")
 
 
+@dataclass(frozen=True)
+class Panes:
+    """History role without copies: training-log rows, each once, with the
+    ``pane`` its time falls in.  A pane is a stretch of time between two
+    neighbouring range limits, so every fold's history is a sum of panes."""
+    df: DataFrame
+    folds: dict[int, list[int]]     # fold_id: its panes
+
+    @property
+    def count(self) -> int:
+        return 1 + max((k for own in self.folds.values() for k in own), default=-1)
+
+
+def history_panes(log: DataFrame, folds: list[Fold]) -> Panes:
+    """Cut the training log at all limits of the folds' history ranges."""
+    first, last = dt.datetime.min, dt.datetime.max
+    ranges = {f.fold_id: (f.hist_start or first, f.hist_end or last) for f in folds}
+    limits = sorted({t for r in ranges.values() for t in r})
+    cuts = list(zip(limits, limits[1:]))
+    used = [c for c in cuts if any(a <= c[0] and c[1] <= b for a, b in ranges.values())]
+    ts, pane, some = F.col(TS), F.lit(None).cast("int"), F.lit(False)
+    for k, (a, b) in enumerate(used):
+        inside = _in_range(ts, None if a == first else a, None if b == last else b)
+        pane, some = F.when(inside, F.lit(k)).otherwise(pane), some | inside
+    df = log.where((F.col("log_source") == "train") & some).drop("log_source")
+    return Panes(df.withColumn("pane", pane),
+                 {i: [k for k, c in enumerate(used) if a <= c[0] and c[1] <= b]
+                  for i, (a, b) in ranges.items()})
+
+
 def assign_folds(log: DataFrame, folds: list[Fold] | None = None) -> tuple[DataFrame, DataFrame]:
     """Both roles of a log with ``log_source`` (``combine_logs``): ``(labels,
     history)``."""

@@ -6,15 +6,23 @@ counts history rows and purchases per ``(fold_id, *keys)`` in a single
 per task before the shuffle), then derives the guarded ratio and the
 complement.  NULL keys are filtered first: "unseen in history" is the NULL
 produced by the later left join.
+
+Given ``Panes``, rows are counted once per key and pane, in one row per key,
+and the overlapping folds add up their panes; given fold-tagged rows (one
+copy per fold), they are counted per fold.  The results are the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfold.functions.arith import complement, guarded_ratio
 from clickfold.operators.attach import Keyed, SetTables, attach_tables, grouping_id
+from clickfold.operators.folds import Panes
 
 LABEL_COL = "is_trade"
 
@@ -64,11 +72,41 @@ def keys_not_null(keys) -> F.Column:
     return cond
 
 
-def entity_history(history: DataFrame, keys, prefix: str,
+def _pane_sums(panes: Panes) -> list[Column]:
+    """Per pane the rows (``_c<pane>``) and purchases (``_b<pane>``)."""
+    out = []
+    for k in range(panes.count):
+        here = F.col("pane") == k
+        out += [F.count(F.when(here, F.lit(1))).alias(f"_c{k}"),
+                F.sum(F.when(here, F.col(LABEL_COL).cast("long"))).alias(f"_b{k}")]
+    return out
+
+
+def _fold_sums(sums: DataFrame, panes: Panes, cols: list[str]) -> DataFrame:
+    """``fold_id, *cols, _cnt, _buy`` from one row of pane sums per key."""
+    rows = []
+    for fold, own in panes.folds.items():
+        if own:
+            buys = [F.col(f"_b{k}") for k in own]
+            buy = reduce(add, [F.coalesce(b, F.lit(0).cast("long")) for b in buys])
+            rows.append(F.struct(F.lit(fold).alias("fold_id"),
+                                 reduce(add, [F.col(f"_c{k}") for k in own]).alias("_cnt"),
+                                 F.when(F.coalesce(*buys).isNotNull(), buy).alias("_buy")))
+    if not rows:
+        zero = F.lit(0).cast("long")
+        rows.append(F.struct(F.lit(0).alias("fold_id"), zero.alias("_cnt"), zero.alias("_buy")))
+    seen = F.filter(F.array(*rows), lambda r: r["_cnt"] > 0)
+    return sums.select(F.inline(seen), *cols).select("fold_id", *cols, "_cnt", "_buy")
+
+
+def entity_history(history: DataFrame | Panes, keys, prefix: str,
                    group: tuple[str, ...] = ("fold_id",)) -> DataFrame:
     """``(fold_id, *keys) -> {prefix}_count, _buy_count, _buy_ratio, _not_buy_count``."""
     keys = list(keys)
     cnt, buy = f"{prefix}_count", f"{prefix}_buy_count"
+    if isinstance(history, Panes):
+        sums = history.df.where(keys_not_null(keys)).groupBy(*keys).agg(*_pane_sums(history))
+        return split_history(_fold_sums(sums, history, keys), prefix, keys, group)
     agg = (history.where(keys_not_null(keys))
            .groupBy(*group, *keys)
            .agg(F.count(F.lit(1)).alias(cnt),
@@ -78,7 +116,7 @@ def entity_history(history: DataFrame, keys, prefix: str,
                       complement(cnt, buy).alias(f"{prefix}_not_buy_count"))
 
 
-def attach_history(labels: DataFrame, history: DataFrame, keys, prefix: str,
+def attach_history(labels: DataFrame, history: DataFrame | Panes, keys, prefix: str,
                    group: tuple[str, ...] = ("fold_id",)) -> DataFrame:
     """Left-join one history table into the label rows.
 
@@ -90,7 +128,7 @@ def attach_history(labels: DataFrame, history: DataFrame, keys, prefix: str,
     return labels.join(agg, [*group, *keys], "left")
 
 
-def combined_history(history: DataFrame,
+def combined_history(history: DataFrame | Panes,
                      key_table: list[tuple[str, tuple[str, ...]]] | None = None,
                      group: tuple[str, ...] = ("fold_id",)) -> tuple[DataFrame, list[str]]:
     """Every key set's (count, purchases) from ONE scan: a GROUPING SETS
@@ -102,9 +140,14 @@ def combined_history(history: DataFrame,
     which equals filtering them before grouping.
     """
     key_table = key_table or HISTORY_KEYS
-    cols = list(group)
+    paned = isinstance(history, Panes)
+    cols = [] if paned else list(group)
     for _, keys in key_table:
         cols += [k for k in keys if k not in cols]
+    if paned:
+        agg = history.df.groupingSets([list(keys) for _, keys in key_table], *cols).agg(
+            *_pane_sums(history), F.grouping_id().alias("_gid"))
+        return _fold_sums(agg, history, [*cols, "_gid"]), cols
     sets = [[*group, *keys] for _, keys in key_table]
     agg = (history.groupingSets(sets, *cols)
            .agg(F.count(F.lit(1)).alias("_cnt"),
@@ -123,19 +166,21 @@ def split_history(part: DataFrame, prefix: str, keys, group: tuple[str, ...] = (
                        complement(cnt, buy).alias(f"{prefix}_not_buy_count"))
 
 
-def history_aggregates(history: DataFrame,
+def history_aggregates(history: DataFrame | Panes,
                        key_table: list[tuple[str, tuple[str, ...]]] | None = None,
                        group: tuple[str, ...] = ("fold_id",)) -> dict[str, Keyed]:
     """Per-key history tables from one pass: the combined aggregate is written
     once, one folder per key set (``SetTables``)."""
     key_table = key_table or HISTORY_KEYS
     agg, cols = combined_history(history, key_table, group)
-    sets = SetTables(agg, name="history")
-    return {prefix: Keyed(split_history(sets[grouping_id(cols, {*group, *keys})], prefix, keys, group),
-                          [*group, *keys]) for prefix, keys in key_table}
+    sets, out = SetTables(agg, name="history"), {}
+    for prefix, keys in key_table:
+        gid = grouping_id(cols, {*group, *keys})
+        out[prefix] = Keyed(split_history(sets[gid], prefix, keys, group), [*group, *keys], sets.size(gid))
+    return out
 
 
-def merge_history(labels: DataFrame, history: DataFrame,
+def merge_history(labels: DataFrame, history: DataFrame | Panes,
                   key_table: list[tuple[str, tuple[str, ...]]] | None = None,
                   group: tuple[str, ...] = ("fold_id",), one_pass: bool = True) -> DataFrame:
     """All history features (J5): one left join per key.

@@ -203,9 +203,10 @@ def keyed_counts(df: DataFrame, counts, group=GROUP, source: DataFrame | None =
     sets = SetTables(agg, name="counts")
     tables = []
     for out, keys, c in counts:
-        part = sets[grouping_id(cols, {*group, *keys})].where(keys_not_null(keys))
+        gid = grouping_id(cols, {*group, *keys})
+        part = sets[gid].where(keys_not_null(keys))
         n = F.col("_n" if c is None else f"_n_{c}")
-        tables.append(Keyed(part.select(*group, *keys, n.alias(out)), [*group, *keys]))
+        tables.append(Keyed(part.select(*group, *keys, n.alias(out)), [*group, *keys], sets.size(gid)))
     return attach_tables(df, tables)
 
 
@@ -259,7 +260,7 @@ def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP) ->
         if flags:
             sel += [F.col("_first").alias(f"{prefix}_first"), F.col("_last").alias(f"{prefix}_last")]
         df = sets[gid].where(keys_not_null(keys)).select(*sel)
-        out.append(Keyed(df, [*group, *keys, TS]))
+        out.append(Keyed(df, [*group, *keys, TS], sets.size(gid)))
     return out
 
 
@@ -315,6 +316,14 @@ def label_features(labels: DataFrame, compat: bool = False, extras: bool = False
             st = key_stats(labels, keys, prefix, counted=cnt, ranks=True, flags=flags,
                            group=group)
             out = out.join(st, [*group, *keys, TS], "left")
+    return finish_label_features(out, labels, compat, extras, group)
+
+
+def finish_label_features(out: DataFrame, labels: DataFrame, compat: bool = False,
+                          extras: bool = False, group=GROUP) -> DataFrame:
+    """Flags, ratios and hourly counts for rows that carry the stats tables;
+    other columns of ``out`` stay."""
+    more = [c for c in out.columns if c not in labels.columns]
     for prefix, keys in FLAG_KEYS:
         out = _fill_flags(out, prefix, zero_last=compat and prefix == "context")
     out = label_ratios(out)
@@ -322,5 +331,5 @@ def label_features(labels: DataFrame, compat: bool = False, extras: bool = False
     out = hourly_counts(out, hourly, group, source=labels)
     if extras:
         out = predicted_rank_counts(out, group, source=labels)
-    base = [c for c in labels.columns]
-    return out.select(*base, *label_feature_columns(extras))
+    mine = label_feature_columns(extras)
+    return out.select(*labels.columns, *mine, *[c for c in more if c not in mine])

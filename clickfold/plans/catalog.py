@@ -93,7 +93,7 @@ def q_fold_history(spark, sf_dir):
 def _hist_query(prefix, keys) -> Query:
     def q(spark, sf_dir):
         p = prepare_derived(spark, sf_dir)
-        return attach_history(p.labels, p.history, keys, prefix).select(
+        return attach_history(p.labels, p.panes, keys, prefix).select(
             *ID, *history_columns(prefix))
     q.__name__ = f"q_hist_{prefix}"
     return q
@@ -102,7 +102,7 @@ def _hist_query(prefix, keys) -> Query:
 def _standalone_query(prefix, keys) -> Query:
     def q(spark, sf_dir):
         p = prepare_derived(spark, sf_dir)
-        agg = entity_history(p.history, keys, prefix)
+        agg = entity_history(p.panes, keys, prefix)
         return agg.withColumn("context_timestamp", timestamp_text("context_timestamp"))
     return q
 
@@ -199,7 +199,7 @@ def _baseline_scores(spark, sf_dir) -> DataFrame:
     """Deterministic predictor: the item's purchase ratio in the fold's
     history (0 when unseen)."""
     p = prepare_derived(spark, sf_dir)
-    df = attach_history(p.labels, p.history, ("item_id",), "item")
+    df = attach_history(p.labels, p.panes, ("item_id",), "item")
     return df.select(*ID, "is_trade",
                      F.coalesce(F.col("item_buy_ratio"), F.lit(0.0)).alias("predicted_score"))
 

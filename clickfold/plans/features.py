@@ -15,9 +15,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from clickfold.functions.categories import parse_categories
-from clickfold.operators.folds import Fold, assign_folds, combine_logs, reference_folds
-from clickfold.operators.history import all_history_columns, merge_history
-from clickfold.operators.label import label_features
+from clickfold.operators.folds import (
+    Fold,
+    Panes,
+    assign_folds,
+    combine_logs,
+    history_panes,
+    reference_folds,
+)
+from clickfold.operators.attach import attach_tables
+from clickfold.operators.history import all_history_columns, history_aggregates, merge_history
+from clickfold.operators.label import finish_label_features, label_features, label_stats_tables
 from clickfold.session import cut_lineage
 from clickfold.sources.log import derived_log, mark_score_log
 
@@ -33,7 +41,8 @@ LOG_START = dt.datetime(2024, 1, 18)
 class Prepared:
     log: DataFrame          # both logs, with log_source
     labels: DataFrame
-    history: DataFrame
+    history: DataFrame      # a copy of a row per fold
+    panes: Panes            # the same history without copies
     folds: list[Fold]
 
 
@@ -60,7 +69,7 @@ def prepare_log(log: DataFrame, folds: list[Fold] | None = None, materialize_as:
     log = parse_categories(log)
     labels, history = assign_folds(log, folds)
     return Prepared(log, materialize(labels, materialize_as),
-                    materialize(history, history_materialize_as), folds)
+                    materialize(history, history_materialize_as), history_panes(log, folds), folds)
 
 
 def prepare_logs(train_log: DataFrame, score_log: DataFrame | None,
@@ -87,8 +96,12 @@ def build_features(prep: Prepared, compat: bool = False, extras: bool = False,
     """Label rows + 38 label-day columns + 92 history columns (133 engineered
     in all with the 3 parse columns).  History columns stay NULL for keys
     unseen in the fold's history; they are never filled here."""
-    lab = label_features(prep.labels, compat=compat, extras=extras, one_pass=one_pass)
-    out = merge_history(lab, prep.history, one_pass=one_pass)
+    if one_pass:    # all tables of both families meet the label rows together
+        tables = label_stats_tables(prep.labels, extras) + list(history_aggregates(prep.panes).values())
+        out = finish_label_features(attach_tables(prep.labels, tables), prep.labels, compat, extras)
+    else:
+        lab = label_features(prep.labels, compat=compat, extras=extras, one_pass=False)
+        out = merge_history(lab, prep.panes, one_pass=False)
     return out.select(*feature_table_columns(prep, extras))
 
 

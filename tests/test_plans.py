@@ -98,3 +98,40 @@ def test_history_pass_is_one_aggregate(spark):
     plan = agg._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert "Expand" in plan
+
+
+def test_large_sets_meet_the_label_rows_in_one_narrow_join(spark):
+    """Without broadcasts: one join of short rows, and few shuffles of rows."""
+    from clickfold.operators.attach import attach_tables
+    from clickfold.operators.history import history_aggregates
+    from clickfold.operators.label import label_stats_tables
+    from clickfold.plans.features import prepare_derived
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        p = prepare_derived(spark, SF_SMALL)
+        tables = label_stats_tables(p.labels) + list(history_aggregates(p.panes).values())
+        assert len(tables) == 30
+        plan = _plan(attach_tables(p.labels, tables))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 2
+    # probes and stacked tables, gathered rows, and the label rows themselves
+    assert plan.count("Exchange hashpartitioning") <= 5, plan
+
+
+def test_narrow_join_equals_plain_joins(spark):
+    from clickfold.operators.attach import Keyed, narrow_join
+    rows = spark.createDataFrame([(1, "a:1", None, 5), (1, "a:1", None, 5), (2, None, "b", 6), (3, "a", ":1a", 7)],
+                                 "k long, s string, t string, x int")
+    one = spark.createDataFrame([("a:1", ":1", 1, 1.5), ("a", ":1a", 2, None)],
+                                "s string, t string, n int, d double")
+    two = spark.createDataFrame([(1, 2**40, True), (3, None, False), (9, 1, True)], "k long, m long, f boolean")
+    tables = [Keyed(one.drop("t"), ["s"]), Keyed(two.select("k", "m"), ["k"]),
+              Keyed(one.select("s", "t", one.n.alias("both")), ["s", "t"])]
+    want = rows
+    for t in tables:
+        want = want.join(t.df, t.keys, "left")
+    got = narrow_join(rows, tables).select(*want.columns)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
