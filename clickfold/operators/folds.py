@@ -75,6 +75,23 @@ def _in_range(ts, start: dt.datetime | None, end: dt.datetime | None):
     return cond
 
 
+def _on_days(log: DataFrame, ranges: list[tuple[str, dt.datetime | None, dt.datetime | None]]) -> DataFrame:
+    """The folders of a landed log (``sources.log.land_log``) that some
+    ``(source, start, end)`` needs; any other log stays as it is.  The
+    condition is on partition columns alone, so other folders are not listed."""
+    if not {"log_source", "log_day"} <= set(log.columns):
+        return log
+    some = F.lit(False)
+    for source, start, end in ranges:
+        here = F.col("log_source") == source
+        if start is not None:
+            here = here & (F.col("log_day") >= F.lit(start.date()))
+        if end is not None:
+            here = here & (F.col("log_day") <= F.lit((end - dt.timedelta(microseconds=1)).date()))
+        some = some | here
+    return log.where(some).drop("log_day")
+
+
 def _tag(log: DataFrame, roles: list[tuple[int, Column]]) -> DataFrame:
     """One row per role that a log row plays, with its ``fold_id`` in front.
 
@@ -106,6 +123,7 @@ def combine_logs(train_log: DataFrame, score_log: DataFrame | None) -> DataFrame
 def label_rows(log: DataFrame, folds: list[Fold]) -> DataFrame:
     """Label role: every (fold_id, log row) whose time is in the label range
     of a fold with the row's source."""
+    log = _on_days(log, [(f.label_source, f.label_start, f.label_end) for f in folds])
     ts, source = F.col(TS), F.col("log_source")
     roles = [(f.fold_id, (source == f.label_source) & _in_range(ts, f.label_start, f.label_end))
              for f in folds]
@@ -118,6 +136,7 @@ def history_rows(log: DataFrame, folds: list[Fold]) -> DataFrame:
     A row plays at most ``history_days`` history roles, so the tagged table
     is a bounded multiple of the input.
     """
+    log = _on_days(log, [("train", f.hist_start, f.hist_end) for f in folds])
     train = log.where(F.col("log_source") == "train")
     roles = [(f.fold_id, _in_range(F.col(TS), f.hist_start, f.hist_end)) for f in folds]
     return _tag(train, roles).drop("log_source")
@@ -138,6 +157,7 @@ class Panes:
 
 def history_panes(log: DataFrame, folds: list[Fold]) -> Panes:
     """Cut the training log at all limits of the folds' history ranges."""
+    log = _on_days(log, [("train", f.hist_start, f.hist_end) for f in folds])
     first, last = dt.datetime.min, dt.datetime.max
     ranges = {f.fold_id: (f.hist_start or first, f.hist_end or last) for f in folds}
     limits = sorted({t for r in ranges.values() for t in r})

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from clickfold.functions.categories import parse_categories
 from clickfold.functions.digamma import digamma
 from clickfold.functions.timefmt import timestamp_text
+from clickfold.operators.folds import reference_folds
 from clickfold.operators.history import (
     HISTORY_KEYS,
     all_history_columns,
@@ -32,27 +33,38 @@ from clickfold.operators.label import (
     LABEL_RATIOS,
     PREDICTED_RANK_COUNTS,
     RANK_KEYS,
+    SKETCH_ERROR,
     average_rank,
     first_last_flags,
     hourly_counts,
+    hourly_distinct_estimates,
+    hourly_sketches,
+    hourly_table,
     keyed_counts,
     label_count,
     label_feature_columns,
     label_ratios,
+    long_label_folds,
     predicted_rank_counts,
 )
 from clickfold.operators.sampling import balanced_sample
 from clickfold.operators.smoothing import fit_smoothing, rate_counts, smoothed_rate
 from clickfold.plans import model as M
 from clickfold.plans.features import (
+    DERIVED_MONTH,
+    DERIVED_YEAR,
     SCORE_START,
     build_features,
     prepare_derived,
+    prepare_log,
 )
 from clickfold.session import table_path, write_table
 from clickfold.sources.log import (
     derived_log,
+    land_log,
+    mark_score_log,
     order_log,
+    read_landed_log,
     read_log,
     read_table,
     split_train_score,
@@ -126,10 +138,29 @@ def q_hourly_counts(spark, sf_dir):
     return hourly_counts(p.labels, cols).select(*ID, *[o for o, _ in cols])
 
 
+def q_hourly_distinct(spark, sf_dir):
+    """L11-L16 as counts of distinct values per hour of day."""
+    p = prepare_derived(spark, sf_dir)
+    return hourly_counts(p.labels, distinct=True).select(*ID, *[o for o, _ in HOURLY_COUNTS])
+
+
+def q_hourly_distinct_sketch(spark, sf_dir):
+    """The exact distinct counts next to the day sketches' estimates: whether
+    each estimate is within the sketches' stated error."""
+    p = prepare_derived(spark, sf_dir)
+    exact = hourly_table(p.labels, distinct=True)
+    est = hourly_distinct_estimates(hourly_sketches(p.log), p.folds)
+    names = [o for o, _ in HOURLY_COUNTS]
+    both = exact.join(est.select("fold_id", "_hour", *[F.col(o).alias(f"_{o}") for o in names]),
+                      ["fold_id", "_hour"], "left")
+    near = [(F.abs(F.col(f"_{o}") - F.col(o)) <= SKETCH_ERROR * F.col(o)).alias(f"{o}_near") for o in names]
+    return both.select("fold_id", F.col("_hour").alias("hour"), *names, *near)
+
+
 def _rank_query(prefix, keys) -> Query:
     def q(spark, sf_dir):
         p = prepare_derived(spark, sf_dir)
-        return average_rank(p.labels, keys, prefix).select(
+        return average_rank(p.labels, keys, prefix, spans=long_label_folds(p.folds)).select(
             *ID, f"{prefix}_rank_up", f"{prefix}_rank_down")
     return q
 
@@ -137,7 +168,8 @@ def _rank_query(prefix, keys) -> Query:
 def _flag_query(prefix, keys, zero_last=False) -> Query:
     def q(spark, sf_dir):
         p = prepare_derived(spark, sf_dir)
-        return first_last_flags(p.labels, keys, prefix, zero_last=zero_last).select(
+        return first_last_flags(p.labels, keys, prefix, zero_last=zero_last,
+                                spans=long_label_folds(p.folds)).select(
             *ID, f"{prefix}_first", f"{prefix}_last")
     return q
 
@@ -302,6 +334,17 @@ def q_native_score_log(spark, sf_dir):
                        "user_id", "item_category_list", "extra")
 
 
+def q_landed_fold_labels(spark, sf_dir):
+    """Both logs landed by source and day, then cut into folds that
+    read only the folders of their days."""
+    log = mark_score_log(derived_log(spark, sf_dir), SCORE_START)
+    path = table_path(spark, "landed")
+    land_log(log, path)
+    p = prepare_log(read_landed_log(spark, path), reference_folds(DERIVED_YEAR, DERIVED_MONTH))
+    return p.labels.select(*ID, timestamp_text("context_timestamp").alias("context_timestamp"),
+                           "is_trade")
+
+
 def _native(log: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.LongType() if f.name == "context_timestamp"
                                        else f.dataType, True) for f in log.schema.fields])
@@ -323,6 +366,8 @@ def queries() -> dict[str, Query]:
             name, keys, counted)
     out["label_ratios"] = q_label_ratios
     out["hourly_counts"] = q_hourly_counts
+    out["hourly_distinct"] = q_hourly_distinct
+    out["hourly_distinct_sketch"] = q_hourly_distinct_sketch
     for prefix, keys in RANK_KEYS:
         out[f"rank_{prefix}"] = _rank_query(prefix, keys)
     out["rank_user_category"] = _rank_query(*CATEGORY_RANK_KEY)
@@ -341,6 +386,7 @@ def queries() -> dict[str, Query]:
     out["smoothed_rate"] = q_smoothed_rate
     out["native_log_roundtrip"] = q_native_log_roundtrip
     out["native_score_log"] = q_native_score_log
+    out["landed_fold_labels"] = q_landed_fold_labels
     out["digamma"] = q_digamma
     out["model_columns"] = q_model_columns
     out["train_and_score"] = q_train_and_score

@@ -25,7 +25,12 @@ from clickfold.operators.folds import (
 )
 from clickfold.operators.attach import attach_tables
 from clickfold.operators.history import all_history_columns, history_aggregates, merge_history
-from clickfold.operators.label import finish_label_features, label_features, label_stats_tables
+from clickfold.operators.label import (
+    finish_label_features,
+    label_features,
+    label_stats_tables,
+    long_label_folds,
+)
 from clickfold.session import cut_lineage
 from clickfold.sources.log import derived_log, mark_score_log
 
@@ -96,11 +101,13 @@ def build_features(prep: Prepared, compat: bool = False, extras: bool = False,
     """Label rows + 38 label-day columns + 92 history columns (133 engineered
     in all with the 3 parse columns).  History columns stay NULL for keys
     unseen in the fold's history; they are never filled here."""
+    spans = long_label_folds(prep.folds)
     if one_pass:    # all tables of both families meet the label rows together
-        tables = label_stats_tables(prep.labels, extras) + list(history_aggregates(prep.panes).values())
+        tables = label_stats_tables(prep.labels, extras, spans=spans) + list(history_aggregates(prep.panes).values())
         out = finish_label_features(attach_tables(prep.labels, tables), prep.labels, compat, extras)
     else:
-        lab = label_features(prep.labels, compat=compat, extras=extras, one_pass=False)
+        lab = label_features(prep.labels, compat=compat, extras=extras, one_pass=False,
+                             spans=spans)
         out = merge_history(lab, prep.panes, one_pass=False)
     return out.select(*feature_table_columns(prep, extras))
 

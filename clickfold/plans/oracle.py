@@ -183,6 +183,20 @@ FROM lab l JOIN hr h ON h.fold_id = l.fold_id
  AND h.hh = CAST(substr(l.context_timestamp, 12, 2) AS INT)"""
 
 
+def hourly_distinct_sql(sketch: bool = False) -> str:
+    aggs = ", ".join(f"count(DISTINCT {c}) AS {o}" for o, c in HOURLY_COUNTS)
+    hours = f"SELECT fold_id, CAST(substr(context_timestamp, 12, 2) AS INT) AS hour, {aggs}"
+    if sketch:
+        near = ", ".join(f"true AS {o}_near" for o, _ in HOURLY_COUNTS)
+        return f"{hours}, {near} FROM lab GROUP BY ALL"
+    outs = ", ".join(f"h.{o}" for o, _ in HOURLY_COUNTS)
+    return f"""
+, hr AS ({hours} FROM lab GROUP BY ALL)
+SELECT l.fold_id, l.instance_id, {outs}
+FROM lab l JOIN hr h ON h.fold_id = l.fold_id
+ AND h.hour = CAST(substr(l.context_timestamp, 12, 2) AS INT)"""
+
+
 def rank_select(prefix: str, keys) -> str:
     """Average of row_number over each tie group, both directions."""
     k = ", ".join(keys)
@@ -465,6 +479,9 @@ def oracle_sql() -> dict[str, str]:
     out.update(label_count_sql())
     out["label_ratios"] = label_ratio_sql()
     out["hourly_counts"] = hourly_sql()
+    out["hourly_distinct"] = hourly_distinct_sql()
+    out["hourly_distinct_sketch"] = hourly_distinct_sql(sketch=True)
+    out["landed_fold_labels"] = out["fold_labels"]
     out.update(rank_sql())
     out.update(flag_sql())
     out["predicted_rank_counts"] = predicted_rank_sql()

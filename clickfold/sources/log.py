@@ -102,6 +102,24 @@ def write_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:
     out.write.mode(mode).option("sep", " ").option("header", True).csv(path)
 
 
+#: Partition columns of a landed log.
+LOG_SOURCE, LOG_DAY = "log_source", "log_day"
+
+
+def land_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Land a log (``combine_logs`` / ``mark_score_log``) as Parquet, one
+    folder per source and day, so that folds read the folders of their days
+    only.  Days become few files; a very large day is split adaptively, and
+    rows without a time get a folder of their own."""
+    out = log.withColumn(LOG_DAY, F.to_date("context_timestamp"))
+    out.hint("rebalance", LOG_SOURCE, LOG_DAY).write.mode(mode).partitionBy(LOG_SOURCE, LOG_DAY).parquet(path)
+
+
+def read_landed_log(spark: SparkSession, path: str) -> DataFrame:
+    """A landed log; fold construction prunes it by ``log_day``."""
+    return spark.read.parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

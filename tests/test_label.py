@@ -1,6 +1,7 @@
 """Golden tables `rank_ties`, `flags`, `context_flags_compat` and label-day
 counts (FIXTURES.md section 3)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickfold.operators.label import (
@@ -116,3 +117,75 @@ def test_feature_table_compat_only_changes_context_last(spark):
     assert {r[0] for r in b.select("context_last").distinct().collect()} == {0}
     cols = [c for c in feature_output_columns() if c != "context_last"]
     assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_hot_key_of_many_days_is_spread(spark):
+    """A key with 10**6 seconds: right positions, one task per day at most."""
+    import datetime as dt
+
+    from clickfold.operators.label import key_stats
+    n = 10**6
+    df = spark.range(n).select(
+        F.lit(1).alias("fold_id"), F.lit(7).alias("k"), F.col("id").alias("rid"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)")
+        .alias("context_timestamp"))
+    old = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        st = key_stats(df, ["k"], "k", counted=("n_all", "rid"), flags=True)
+        got = st.withColumn("p", F.spark_partition_id()).agg(
+            F.countDistinct("p").alias("tasks"), F.count("*").alias("n"),
+            F.sum((F.col("k_rank_up") + F.col("k_rank_down") != n + 1).cast("int")).alias("bad"),
+            F.sum((F.col("k_rank_up") != F.timestamp_diff(
+                "SECOND", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"), F.col("context_timestamp")) + 1)
+                .cast("int")).alias("off"),
+            F.sum("k_first").alias("first"), F.sum("k_last").alias("last"), F.min("n_all").alias("all")).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old[0])
+        spark.conf.set("spark.sql.adaptive.enabled", old[1])
+    assert (got["n"], got["bad"], got["off"], got["first"], got["last"], got["all"]) == (n, 0, 0, 1, 1, n)
+    assert got["tasks"] > 4
+
+
+def test_days_outside_long_folds_need_no_second_level(spark):
+    import datetime as dt
+
+    from clickfold.operators.folds import Fold, sliding_folds
+    from clickfold.operators.label import long_label_folds
+    folds = sliding_folds(dt.date(2018, 9, 1), [23, 22], 2, validate_day=24, test_history_from=23)
+    folds.append(Fold(9, "two days", "train", dt.datetime(2018, 9, 1), dt.datetime(2018, 9, 3), None, None))
+    df = spark.createDataFrame([(f.fold_id,) for f in folds], "fold_id int")
+    assert sorted(r[0] for r in df.where(long_label_folds(folds)).collect()) == [3, 4, 9]
+
+
+def test_hourly_distinct_sketches_merge_days(spark):
+    """Sketches of days, made once, give each fold's distinct counts."""
+    import datetime as dt
+
+    from clickfold.operators.folds import assign_folds, combine_logs, sliding_folds
+    from clickfold.operators.label import (
+        SKETCH_ERROR,
+        hourly_distinct_estimates,
+        hourly_sketches,
+        hourly_table,
+    )
+    folds = sliding_folds(dt.date(2024, 1, 1), [3, 2], 1, validate_day=4, test_history_from=3)
+    log = spark.range(60_000).selectExpr(
+        "id AS instance_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id % 168) "
+        "AS context_timestamp", "int(id % 2) AS is_trade", "id % 9000 AS item_id", "string(id % 70) AS s",
+        "IF(id % 3 = 0, NULL, 1) AS few")
+    both = combine_logs(log, log.where("instance_id % 2 = 0").drop("is_trade"))
+    cols = [("a", "item_id"), ("b", "s"), ("c", "few")]
+    labels, _ = assign_folds(both, folds)
+    want = {(r["fold_id"], r["_hour"]): r for r in hourly_table(labels, cols, distinct=True).collect()}
+    got = hourly_distinct_estimates(hourly_sketches(both, cols), folds, cols).collect()
+    assert len(got) == len(want) == 24 * 3 + 12
+    for r in got:
+        w = want[r["fold_id"], r["_hour"]]
+        for c in "abc":
+            assert abs(r[c] - w[c]) <= SKETCH_ERROR * w[c], (r, w)
+    half = sliding_folds(dt.date(2024, 1, 1), [3], 1)
+    cut = [type(half[0])(1, "x", "train", dt.datetime(2024, 1, 3, 12), None, None, None)]
+    with pytest.raises(ValueError):
+        hourly_distinct_estimates(hourly_sketches(both, cols), cut, cols)

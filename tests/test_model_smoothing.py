@@ -169,3 +169,24 @@ def test_validate_gives_the_base_rates_loss(spark):
     assert r["n"] == 80
     assert r["base_log_loss"] == pytest.approx(-(0.25 * math.log(0.25) + 0.75 * math.log(0.75)))
     assert r["log_loss"] < r["base_log_loss"]
+
+
+def test_one_pass_correlation_equals_numpy(spark):
+    """Missing values on either side, large ids, constants, several tasks."""
+    import random
+
+    import numpy as np
+    r = random.Random(2)
+    data = []
+    for i in range(3000):
+        y = None if i % 17 == 0 else r.randrange(2)
+        data.append((y, r.gauss(0, 1) + (y or 0), None if r.random() < 0.4 else 2.0**25 + r.randrange(9),
+                     5, None, r.randrange(3) + 1e9 * (y or 0)))
+    df = spark.createDataFrame(data, "is_trade int, a double, b double, c int, d double, e double").repartition(5)
+    got = {x["feature"]: x["corr"] for x in M.correlation_screen(df, ["a", "b", "c", "d", "e"]).collect()}
+    for j, name in ((1, "a"), (2, "b"), (5, "e")):
+        pairs = [(x[0], x[j]) for x in data if x[0] is not None and x[j] is not None]
+        y, x = np.array(pairs).T
+        assert got[name] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=2e-6)
+    assert got["c"] is None and got["d"] is None
+    assert M.correlation_screen(df.where("1 = 0"), ["a"]).first()["corr"] is None

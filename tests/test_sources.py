@@ -110,3 +110,29 @@ def test_scores_round_trip_with_cr(spark):
     assert raw.startswith(b"instance_id predicted_score\r")
     assert b"\n" not in raw
     assert rows(read_scores(spark, out), "instance_id", "predicted_score") == [(1, 0.25), (2, 0.125)]
+
+
+def test_landed_log_prunes_folders_of_other_days(spark, tmp_path):
+    import datetime as dt
+
+    from clickfold.operators.folds import assign_folds, history_panes, sliding_folds
+    from clickfold.operators.folds import combine_logs as both
+    from clickfold.sources.log import land_log, read_landed_log
+    log = spark.range(40 * 24).selectExpr(
+        "id AS instance_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) "
+        "AS context_timestamp", "int(id % 2) AS is_trade")
+    none = spark.createDataFrame([(-1, None, 1)], "instance_id long, context_timestamp timestamp_ntz, is_trade int")
+    folds = sliding_folds(dt.date(2024, 1, 1), [9, 8], 2, test_history_from=30)
+    plain = both(log.unionAll(none), log.where("instance_id > 700").drop("is_trade"))
+    land_log(plain, str(tmp_path / "log"))
+    landed = read_landed_log(spark, str(tmp_path / "log"))
+    for a, b in zip(assign_folds(plain, folds), assign_folds(landed, folds)):
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+    a, b = history_panes(plain, folds), history_panes(landed, folds)
+    assert a.folds == b.folds and sorted(map(tuple, a.df.collect())) == sorted(map(tuple, b.df.select(*a.df.columns).collect()))
+    labels = assign_folds(landed, folds[:2])[0]
+    plan = labels._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "log_day" in plan[plan.index("PartitionFilters"):]
+    days = {f.split("log_day=")[1].split("/")[0] for f in labels.select("instance_id", "context_timestamp").where("1=1")
+            .selectExpr("input_file_name() AS f").distinct().toPandas()["f"]}
+    assert days == {"2024-01-08", "2024-01-09"}
