@@ -130,7 +130,8 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(coalesce(sum(end_) FILTER (role = 'assistant' OR pos = turns), 0) AS BIGINT) AS formatted_chars
+  CAST(coalesce(sum(end_) FILTER (role = 'assistant' OR pos = turns), 0) AS BIGINT) AS formatted_chars,
+  CAST(count(*) FILTER (role = 'assistant' OR pos = turns) AS BIGINT) AS n_examples
 FROM n GROUP BY conv_id
 """
 

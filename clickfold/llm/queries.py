@@ -100,7 +100,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", ok), (-7, 1, "assistant", ok)],
                                   "conv_id long, turn long, role string, text string")
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(extra)))
+    return chat_format.read_back(*chat_format.format_conversations(turns.unionByName(extra)))
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
