@@ -13,6 +13,12 @@ version terms in the candidate.  A template has no term outside the templates,
 so no cosine exceeds the share of known terms in a candidate's norm;
 candidates below ``least`` by that bound are not compared.
 
+An SPDX line names its license itself: its (first) identifier is compared as
+an identifier, not by cosine, and holds for the file, whether a template knows
+it or not; its ending (``-only``, ``-or-later``, ``+``) is left out.  A
+template of a license that goes by a proper name (``NAMES``) wins only where
+the candidate has that name.
+
 A licence file covers its directory and all below it.  Files without a
 license of their own take that of the nearest directory above them, found by
 joining the ancestors of each directory with the directories of licence
@@ -44,6 +50,13 @@ SENTENCE_END = r"(?<=[.:!?])\s+|\n[^\p{L}\p{N}]*\n"
 LICENCE_WORD = "(?i)licen[sc]|copyright|spdx|public domain|permission|redistribut"
 LICENCE_FILE = "(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
 
+#: The identifier of an SPDX line, and the whole expression.
+SPDX_ID = r"(?i)spdx-license-identifier:[ \t]*\(?[ \t]*([a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?)"
+SPDX_LINE = r"(?i)spdx-license-identifier:[ \t]*\S*(?:[ \t]+(?:OR|AND|WITH)[ \t]+\S+)*"
+#: The term without which a license is not named.
+NAMES = {"Apache-2.0": "apache", "GPL-2.0": "gnu", "GPL-3.0": "gnu", "LGPL-2.1": "lesser",
+         "LGPL-3.0": "lesser", "AGPL-3.0": "affero", "MPL-2.0": "mozilla"}
+
 # Notices, file headers and headings of public licenses, several
 # per license and version, and the full text of short ones.
 TEMPLATES = (
@@ -51,19 +64,15 @@ TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use "
                    "this file except in compliance with the License. You may obtain a copy of the "
                    "License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
             "software and associated documentation files (the Software), to deal in the Software "
             "without restriction"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
                 "terms of the GNU General Public License as published by the Free Software "
                 "Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without "
                      "modification, are permitted provided that the following conditions are met"),
@@ -106,23 +115,18 @@ TEMPLATES = (
     ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the "
                  "terms of the GNU Lesser General Public License as published by the Free Software "
                  "Foundation; either version 2.1 of the License, or (at your option) any later version."),
-    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1"),
     ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the "
                  "terms of the GNU Lesser General Public License as published by the Free Software "
                  "Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0"),
     ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
                  "terms of the GNU Affero General Public License as published by the Free Software "
                  "Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0"),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
                 "If a copy of the MPL was not distributed with this file, You can obtain one at "
                 "https://mozilla.org/MPL/2.0/."),
-    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
 )
 
 #: Terms: runs of ASCII letters, digits and inner dots, in lower case.
@@ -148,8 +152,7 @@ def term_idf(files: DataFrame, templates=TEMPLATES) -> tuple[dict[str, float], f
     """idf of the templates' terms over all files, and that of an unseen term.
     At most one row per term of the templates reaches the driver."""
     terms = vocabulary(templates)
-    held = F.filter(F.array_distinct(_terms(F.coalesce("text", F.lit("")))),
-                    lambda t: F.array_contains(F.lit(terms), t))
+    held = F.filter(F.array_distinct(_terms(F.coalesce("text", F.lit("")))), lambda t: t.isin(terms))
     n = files.count()
     seen = {r["t"]: r["n"] for r in files.select(F.explode(held).alias("t")).groupBy("t").agg(
         F.count(F.lit(1)).alias("n")).collect()}
@@ -190,6 +193,14 @@ def _best(files: DataFrame, idf: dict[str, float], unseen: float, least: float,
     weights = F.create_map(*[x for t in idf for x in (
         F.lit(t), F.array(F.lit(idf[t]), *[F.lit(v.get(t, 0.0)) for v in vectors]))])
     look = F.col("_whole") | F.col("_t").rlike(LICENCE_WORD)
+    # Texts with an SPDX line: its identifier, and the text without the line.
+    has = F.lower("_t").contains("spdx-license-identifier")
+    said = F.regexp_replace(F.regexp_extract("_t", SPDX_ID, 1), "(?i)(-only|-or-later|[+])$", "")
+    names = {name.lower(): name for name, _ in templates}
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    said = F.when(has & (said != ""), F.coalesce(F.try_element_at(known, F.lower(said)), said))
+    files = files.withColumn("_said", said).withColumn(
+        "_t", F.when(has, F.regexp_replace("_t", SPDX_LINE, " ")).otherwise(F.col("_t")))
     df = files.withColumns({"_l": F.when(look, F.split("_t", "\n")),
                             "_e": F.when(look, F.split("_t", SENTENCE_END))})
     lines = F.filter("_l", lambda x: F.col("_whole") | x.rlike(LICENCE_WORD))
@@ -206,7 +217,8 @@ def _best(files: DataFrame, idf: dict[str, float], unseen: float, least: float,
         return F.transform(r, lambda at, k: F.struct(
             F.get(s, at).alias("t"),
             (1 + F.log((F.coalesce(F.get(r, k + 1), F.size(s)) - at).cast("double"))).alias("tf"),
-            F.try_element_at(weights, F.get(s, at)).alias("w")))
+            # Most terms are in no template: a set look-up before the map's search.
+            F.when(F.get(s, at).isin(list(idf)), F.try_element_at(weights, F.get(s, at))).alias("w")))
 
     def weight(x):
         return x["tf"] * F.coalesce(F.get(x["w"], F.lit(0)), F.lit(unseen))
@@ -225,8 +237,12 @@ def _best(files: DataFrame, idf: dict[str, float], unseen: float, least: float,
         def dot(k):
             return F.aggregate(known, F.lit(0.0), lambda a, x: a + weight(x) * F.get(x["w"], F.lit(k + 1)))
 
+        def score(k):
+            cosine, name = F.round(dot(k) / norm, 9), NAMES.get(templates[k][0])
+            return cosine if name is None else F.when(F.exists(known, lambda x: x["t"] == name), cosine)
+
         found = F.array_max(F.array(*[F.struct(
-            F.round(dot(k) / norm, 9).alias("score"),
+            score(k).alias("score"),
             F.size(F.array_intersect(F.transform(known, lambda x: x["t"]), versions[k])).alias("versions"),
             F.lit(name).alias("license")) for k, (name, _) in enumerate(templates)]))
         return F.when((c["all"] > 0) & (square(known) >= (least - 1e-6) ** 2 * c["all"]), found)
@@ -234,10 +250,11 @@ def _best(files: DataFrame, idf: dict[str, float], unseen: float, least: float,
     df = df.withColumn("_b", F.transform("_w", cosines))
     df = df.withColumn("_p", F.array_max(F.slice("_b", F.lit(1), F.col("_n")))).withColumn("_b", F.array_max("_b"))
     found = F.col("_b.score") >= least
-    return df.withColumns({"own_license": F.when(found, F.col("_b.license")),
-                           "own_score": F.when(found, F.col("_b.score")),
-                           "plain_score": F.coalesce("_p.score", F.lit(0.0))}).drop(
-        "_c", "_n", "_s", "_r", "_w", "_b", "_p", "_t", "_whole")
+    one = F.when(F.col("_said").isNotNull(), F.lit(1.0))
+    return df.withColumns({"own_license": F.coalesce("_said", F.when(found, F.col("_b.license"))),
+                           "own_score": F.coalesce(one, F.when(found, F.col("_b.score"))),
+                           "plain_score": F.coalesce(one, F.col("_p.score"), F.lit(0.0))}).drop(
+        "_c", "_n", "_s", "_r", "_w", "_b", "_p", "_t", "_whole", "_said")
 
 
 def _directory(path: Column) -> Column:

@@ -39,7 +39,7 @@ def brute(files):
             v, norm = vector(seg)
             for name, tpl in L.TEMPLATES:
                 w, wn = vector(tpl)
-                if norm:
+                if norm and L.NAMES.get(name, next(iter(v))) in v:
                     best = max(best, (round(sum(x * w.get(t, 0) for t, x in v.items()) / norm / wn, 9), name))
         own.append(best[1] if best[0] >= L.LEAST else None)
         if is_file and own[-1]:
@@ -114,3 +114,16 @@ def test_headers_over_several_lines_and_sentences(spark):
     files = [(p, t) for p, (t, _) in want.items()] + [(f"/bulk/{i}.txt", prose(20 + i, 40)) for i in range(30)]
     found = {r["path"]: r["own_license"] for r in L.scan(frame(spark, files)).collect()}
     assert {p: found[p] for p in want} == {p: name for p, (_, name) in want.items()}
+
+
+def test_spdx_lines_are_compared_as_identifiers(spark):
+    want = {"MIT": "MIT", "ISC": "ISC", "Zlib": "Zlib", "EPL-2.0": "EPL-2.0", "BSD-2-Clause": "BSD-2-Clause",
+            "Unlicense": "Unlicense", "GPL-2.0-or-later": "GPL-2.0", "AGPL-3.0-only": "AGPL-3.0",
+            "CC-BY-SA-4.0": "CC-BY-SA-4.0", "LicenseRef-Proprietary": "LicenseRef-Proprietary",
+            "gpl-3.0+": "GPL-3.0", "(Apache-2.0 OR MIT)": "Apache-2.0", "MPL-2.0.": "MPL-2.0"}
+    files = [(f"/s/{i}.c", f"// SPDX-License-Identifier: {x}\n{prose(i, 30)}") for i, x in enumerate(want)]
+    files += [("/t/none.c", "// SPDX-License-Identifier:\nint x;"),
+              ("/t/epl.txt", "This work is licensed under the Eclipse Public License, version 2.")]
+    found = {r["path"]: r["own_license"] for r in L.scan(frame(spark, files)).collect()}
+    assert [found[f"/s/{i}.c"] for i in range(len(want))] == list(want.values())
+    assert found["/t/none.c"] is None and found["/t/epl.txt"] is None
