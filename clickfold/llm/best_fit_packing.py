@@ -36,13 +36,13 @@ from clickfold.session import write_table
 SIZE = 4096
 END_ID = 1
 
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID,
-                 size: int = SIZE) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, ids`` (little-endian unsigned
-    32-bit) of every piece of every document."""
+                 size: int = SIZE, with_ids: bool = True) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` and, ``with_ids``, ``ids``
+    (little-endian unsigned 32-bit) of every piece of every document."""
     end = struct.pack("<I", end_id)
 
     def cut(batches):
@@ -53,14 +53,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID,
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at:at + 4 * size]
-                    rows.append((d, k, at // 4, len(part) // 4, zlib.crc32(part), part))
+                    row = (d, k, at // 4, len(part) // 4, zlib.crc32(part))
+                    rows.append((*row, part) if with_ids else row)
             cols = list(zip(*rows))
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(cols)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, types)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, _PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        cut, _PIECES + ", ids binary" * with_ids)
 
 
 def _complement(left: np.ndarray, gap: int) -> list[int] | None:
@@ -199,6 +201,5 @@ def sequences(packed: DataFrame) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, size: int = SIZE,
                    with_ids: bool = False) -> DataFrame:
     """Tokenise, cut and pack documents; ``with_ids`` keeps each piece's ids."""
-    cols = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    pieces = write_table(token_pieces(docs, tokenizer, end_id, size).select(*cols), name="pieces")
+    pieces = write_table(token_pieces(docs, tokenizer, end_id, size, with_ids), name="pieces")
     return pack(pieces, size)
