@@ -19,6 +19,8 @@ import re
 import string
 import struct
 
+import numpy as np
+
 #: Pieces longer than this are encoded but not remembered.
 LONG_PIECE = 48
 #: Remembered pieces per generation (about 200 bytes each); a worker keeps two
@@ -31,17 +33,35 @@ _OTHER_WHITE = re.compile(r"[^\S \n]")
 _NOT_SIMPLE = ("  ", "\n\n", " \n", "\n ", "\0")
 #: Begins the names of special tokens, whose case matters.
 _MARK = "<|"
+#: Ends a word in both vocabularies (an apostrophe may go on with it).
+_PUNCTUATION = ".,;:!?#*$%&|"
+#: Stands for ids to come; no vocabulary has this id.
+_MISSING = b"\xff" * 4
+#: Words that are encoded together.
+GROUP = 256
 _memos: dict[str, "Memo"] = {}
 
 
+class _Seen(dict):
+    """Ids by piece; a piece that is not there is noted and marked."""
+
+    def __init__(self):
+        self.missing: list[str] = []
+
+    def __missing__(self, piece: str) -> bytes:
+        self.missing.append(piece)
+        self[piece] = _MISSING
+        return _MISSING
+
+
 class Memo:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.seen = _Seen()
+        self.older = _Seen()
         one, two = (self._encode([t])[0] for t in ("ab", " \n ab \n"))
         self.drops_white = one == two
         fold = self.tokenizer.normalizer
@@ -61,24 +81,87 @@ class Memo:
         batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x)}I", *x.ids) for x in batch]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of pieces that are one word each, many to a call of the library."""
+        groups = [words[i:i + GROUP] for i in range(0, len(words), GROUP)]
+        glue = " " if self.drops_white else ""
+        # Unlike encode_batch_fast, this call numbers the words.
+        batch = self.tokenizer.encode_batch([glue.join(g) for g in groups],
+                                            add_special_tokens=False)
+        out = []
+        for group, x in zip(groups, batch):
+            at = np.array(x.word_ids, np.float64)      # None: not a number
+            ends = np.append(np.flatnonzero(np.diff(at)) + 1, len(at))
+            if len(ends) != len(group) or not np.isfinite(at).all():
+                out += self._encode(group)             # some piece is several words
+                continue
+            ids, start = struct.pack(f"<{len(at)}I", *x.ids), 0
+            for end in (4 * ends).tolist():
+                out.append(ids[start:end])
+                start = end
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Give pieces that ``seen`` only marks as missing their ids.
+
+        A piece is a word and the ASCII punctuation behind it, which are
+        encoded apart: the vocabularies' patterns end a word there.
+        """
+        seen, older, skip = self.seen, self.older, 0 if self.drops_white else 1
+        words, others, split = [], [], []
+
+        def want(x: str) -> None:
+            ids = older.get(x)
+            if ids is not None:
+                seen[x] = ids
+            elif x[skip:].isalpha() and (not skip or x[0] == " "):
+                words.append(x)
+            else:
+                others.append(x)
+
+        for p in pieces:
+            head = p.rstrip(_PUNCTUATION)
+            if p in older or len(head) == len(p) or not head[-1:].isalpha():
+                want(p)
+                continue
+            split.append((p, head, p[len(head):]))
+            for x in split[-1][1:]:
+                if x not in seen:
+                    seen[x] = _MISSING
+                    want(x)
+        seen.update(zip(words, self._encode_words(words)))
+        seen.update(zip(others, self._encode(others)))
+        for p, head, tail in split:
+            seen[p] = seen[head] + seen[tail]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         whole = set() if self.drops_white else {t for t in texts if t and _OTHER_WHITE.search(t)}
-        cut = [self._cut(t) if t and t not in whole else [] for t in texts]
-        if len(self.seen) > MEMO_SIZE:
-            self.seen, self.older = {}, self.seen
-        missing = set().union(*cut).difference(self.seen)
-        known = missing & self.older.keys()
-        self.seen.update((p, self.older[p]) for p in known)
-        new = list(missing - known)
-        self.seen.update(zip(new, self._encode(new)))
         full = dict(zip(whole, self._encode(list(whole))))
-        get = self.seen.__getitem__
-        out = [full[t] if t in full else b"".join(map(get, pieces))
-               for t, pieces in zip(texts, cut)]
+        if len(self.seen) > MEMO_SIZE:
+            self.seen, self.older = _Seen(), self.seen
+        seen = self.seen
+        get, again, out = seen.__getitem__, [], []
+        for t in texts:
+            if not t or t in full:
+                out.append(full[t] if t else b"")
+                continue
+            pieces = self._cut(t)
+            ids = b"".join(map(get, pieces))
+            if _MISSING in ids:
+                again.append((len(out), pieces))
+            out.append(ids)
+        new, seen.missing = seen.missing, []
+        try:
+            self._learn(new)
+        except BaseException:
+            self.seen, self.older = _Seen(), _Seen()   # no mark may stay
+            raise
+        for i, pieces in again:
+            out[i] = b"".join(map(get, pieces))
         for p in new:
             if len(p) > LONG_PIECE:
-                del self.seen[p]
+                del seen[p]
         return out
 
 
