@@ -25,14 +25,17 @@ that are left are compared exactly unless they are connected already.
 whole block are added.  What then is not in the block's largest component is
 compared with the sub-blocks of the levels of size that can link with it, so
 that a large group of near copies costs no all-pairs comparison and no link
-is lost.
+is lost.  Trees of bitmaps alone (half a byte per shingle) go first; whole
+texts are sent only for the documents of pairs that these leave.
 
 Cases: NULL or blank text has the empty set and links with nothing; a text
-shorter than a shingle is one shingle; repeated rows and rows with the same
-text are one class (rows with a NULL doc_id take part through their text but
-cannot name a component); an empty table gives an empty result; only
-``doc_id`` and ``text`` are read, other columns are ignored, whatever their
-names.
+shorter than a shingle is one shingle; rows with equal sets are one class,
+whatever their doc_ids: two texts under one doc_id are two documents, and a
+row with a NULL doc_id links like any other but names no component (one
+without any doc_id has a NULL name); a very long text is one row of a task;
+of equal sets and components the smallest doc_id stands, then the smallest
+hash of the text; an empty table gives an empty result; only ``doc_id`` and
+``text`` are read, other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -161,9 +164,15 @@ class Cuts:
         return np.concatenate(keys)
 
 
+def _row_key() -> list:
+    """``doc_id`` and ``txt``: what tells documents apart."""
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("txt")]
+
+
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, digest`` per document, and rows with ``hot`` (shingles that
-    are frequent among different sets of a chunk, with counts)."""
+    """``doc_id, txt, n, digest`` per document (``txt`` is a hash of its text),
+    and rows with ``hot`` (shingles that are frequent among different sets of
+    a chunk, with counts)."""
     def run(batches):
         import xxhash
 
@@ -178,8 +187,9 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         def hot_rows(h, n):
             k = len(h)
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
-                 pa.array(h.astype(np.int64)), pa.array(n)], ["doc_id", "n", "digest", "hot", "seen"])
+                [*(pa.nulls(k, pa.int64()) for _ in range(3)), pa.nulls(k, pa.binary()),
+                 pa.array(h.astype(np.int64)), pa.array(n)],
+                ["doc_id", "txt", "n", "digest", "hot", "seen"])
 
         for batch, texts in text_batches(batches):
             sizes, digests = [], []
@@ -197,20 +207,22 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
                         size = 0
             k = len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())],
-                ["doc_id", "n", "digest", "hot", "seen"])
+                [batch.column("doc_id"), batch.column("txt"), pa.array(sizes, pa.int64()),
+                 pa.array(digests, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())],
+                ["doc_id", "txt", "n", "digest", "hot", "seen"])
         if chunk:
             yield hot_rows(*frequent())
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, digest binary, hot long, seen long")
+    return docs.select(*_row_key(), "text").mapInArrow(
+        run, "doc_id long, txt long, n long, digest binary, hot long, seen long")
 
 
 def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
-    """Edges ``a, b`` that connect all documents with a common key.
+    """Edges ``a, b`` that connect all classes with a common key, a class by
+    the first 64 bits of its set's digest (two classes that agree in these
+    meet in a block and are told apart there).
 
-    Tasks join documents with a common key at once and send each key once, to
+    Tasks join classes with a common key at once and send each key once, to
     one of SLICES groups, as packed arrays; so a key that very many documents
     share comes once from each batch.
     """
@@ -227,17 +239,18 @@ def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
         return keys[new], nodes[new], edges[edges[:, 0] != edges[:, 1]]
 
     def pack(batches):
+        import xxhash
+
         own = shared.value
         for batch, texts in text_batches(batches, 8_000_000):
             keys, nodes = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
-            seen = set()
-            for d, t in zip(batch.column("doc_id").to_pylist(), texts):
-                if d is None or (t, d) in seen:
-                    continue
-                seen.add((t, d))
-                k = own.keys(shingles(t, width))
-                keys.append(k)
-                nodes.append(np.full(len(k), d, np.int64))
+            for t in set(texts):
+                h = shingles(t, width)
+                k = own.keys(h)
+                if len(k):
+                    d = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes())[:8], ">i8")
+                    keys.append(k)
+                    nodes.append(np.full(len(k), d[0], np.int64))
             k, v, edges = stars(np.concatenate(keys), np.concatenate(nodes))
             slot = (k >> _U(54)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
@@ -282,29 +295,46 @@ def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
         if keys:
             yield flush()
 
-    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    packed = docs.select("text").mapInArrow(
         pack, "slot long, keys binary, nodes binary")
     return (packed.repartition("slot").sortWithinPartitions("slot")
             .mapInArrow(meet, "a long, b long").where("a != b"))
 
 
+def map_bits(wanted: float) -> int:
+    """A power of two from 256 to 16,384."""
+    return 1 << int(np.clip(np.ceil(np.log2(max(wanted, 1))), 8, 14))
+
+
+def bitmap(s: np.ndarray, bits: int) -> np.ndarray:
+    """A set as ``bits`` bits; that of half the bits is the OR of the halves."""
+    out = np.zeros(bits // 64, _U)
+    at = s & _U(bits - 1)
+    np.bitwise_or.at(out, (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
+    return out
+
+
+def fold(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of several lengths, all brought to the shortest."""
+    least = min(map(len, maps))
+    return np.stack([np.bitwise_or.reduce(m.reshape(-1, least), axis=0) for m in maps])
+
+
+def smallest(s: np.ndarray) -> tuple[int, int]:
+    return (s[0], s[min(1, len(s) - 1)]) if len(s) else (0, 0)
+
+
 class Tree:
     """Levels of bitmaps over sets, from the documents up."""
 
     FAN = 8
 
-    def __init__(self, sets: list[np.ndarray]):
-        n = np.array([len(s) for s in sets], np.int64)
+    def __init__(self, maps: np.ndarray, n: np.ndarray, first: np.ndarray, second: np.ndarray):
+        """``maps``: a bitmap per set; ``n``: the sizes; ``first``, ``second``:
+        the smallest hashes, which bring similar sets together."""
         step = np.log(np.maximum(n, 1)) // np.log(1.12)
-        first = np.array([s[0] if len(s) else 0 for s in sets], _U)
-        second = np.array([s[min(1, len(s) - 1)] if len(s) else 0 for s in sets], _U)
         self.order = np.lexsort((second, first, step))
-        bits = 1 << int(np.clip(np.ceil(np.log2(4 * max(np.median(n), 1))), 8, 14))
-        maps = np.zeros((len(sets), bits // 64), _U)
-        for row, i in enumerate(self.order):
-            at = sets[i] >> _U(64 - bits.bit_length() + 1)
-            np.bitwise_or.at(maps[row], (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
-        n = n[self.order]
+        maps, n = maps[self.order], n[self.order]
         level = (maps, n, n, n - np.bitwise_count(maps).sum(1, dtype=np.int64))
         self.levels = [level]
         while len(level[0]) > self.FAN:
@@ -313,6 +343,13 @@ class Tree:
                      np.maximum.reduceat(level[2], cut), np.maximum.reduceat(level[3], cut))
             self.levels.append(level)
 
+    @classmethod
+    def of(cls, sets: list[np.ndarray]) -> Tree:
+        n = np.array([len(s) for s in sets], np.int64)
+        bits = map_bits(4 * np.median(n))
+        ends = np.array([smallest(s) for s in sets], _U)
+        return cls(np.stack([bitmap(s, bits) for s in sets]), n, ends[:, 0], ends[:, 1])
+
     def _prune(self, k: int, a: np.ndarray, b: np.ndarray, percent: int):
         maps, low, high, spill = self.levels[k]
         ok = (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a])
@@ -355,7 +392,7 @@ def forest(sets: list[np.ndarray], percent: int, group: list | None = None,
     same group are connected already; ``wanted``: at least one of a pair."""
     if len(sets) < 2:
         return []
-    a, b = Tree(sets).pairs(percent)
+    a, b = Tree.of(sets).pairs(percent)
     if wanted is not None:
         ok = wanted[a] | wanted[b]
         a, b = a[ok], b[ok]
@@ -389,38 +426,79 @@ def _tree_join(blocks: DataFrame, keys: list[str], width: int, percent: int) ->
     return blocks.groupBy(*keys).applyInArrow(run, "a long, b long")
 
 
+def _signatures(members: DataFrame, width: int) -> DataFrame:
+    """``node, sign``: the two smallest hashes of a set and its bitmap, of two
+    to four bits per shingle."""
+    def run(batches):
+        for batch, texts in text_batches(batches):
+            signs = []
+            for t in texts:
+                s = shingles(t, width)
+                signs.append(np.array(smallest(s), _U).tobytes()
+                             + bitmap(s, map_bits(2 * len(s))).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(signs, pa.binary())],
+                                             ["node", "sign"])
+
+    return members.select("node", "text").mapInArrow(run, "node long, sign binary")
+
+
+def _screen(blocks: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """The rows of ``keys, node, size, sign, grp, wanted`` that have a partner
+    in their group (not of the same ``grp``, one of them wanted) which the tree
+    of bitmaps does not exclude; each once, however many partners it has."""
+    def run(key, table):
+        signs = [np.frombuffer(x, _U) for x in table["sign"].to_pylist()]
+        ends = np.array([x[:2] for x in signs])
+        tree = Tree(fold([x[2:] for x in signs]), table["size"].to_numpy(), ends[:, 0], ends[:, 1])
+        a, b = tree.pairs(percent)
+        grp, wanted = (np.array(table[c].to_pylist()) for c in ("grp", "wanted"))
+        ok = (grp[a] != grp[b]) & (wanted[a] | wanted[b])
+        return table.select([*keys, "node", "grp", "wanted"]).take(
+            np.unique(np.concatenate([a[ok], b[ok]])))
+
+    fields = {f.name: f.dataType.simpleString() for f in blocks.schema.fields}
+    return blocks.groupBy(*keys).applyInArrow(
+        run, ", ".join(f"{c} {fields[c]}" for c in [*keys, "node", "grp", "wanted"]))
+
+
 def _hot_shingles(described: DataFrame) -> np.ndarray:
     rows = (described.where("hot IS NOT NULL").groupBy("hot").agg(F.sum("seen").alias("s"))
             .orderBy(F.desc("s"), "hot").limit(HOT_LIMIT).select("hot").toArrow())
     return np.sort(rows["hot"].to_numpy().astype(np.int64).view(_U))
 
 
-def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id``: the class is the
-    smallest doc_id with an equal set, the component the smallest doc_id that
-    links reach (the document itself included)."""
+def linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, txt, n, digest`` per row of ``docs``; ``class_id``, the
+    smallest doc_id with an equal set, and ``head``, the row (``doc_id, txt``)
+    that stands for all that links reach (both NULL for an empty set)."""
     described = write_table(describe(docs, width), name="sets")
-    own = described.where("hot IS NULL").select("doc_id", "n", "digest")
-    classes = write_table(
-        own.where("digest IS NOT NULL").groupBy("digest")
-        .agg(F.min("doc_id").alias("class_id"), F.max("n").alias("size")), name="classes")
+    own = described.where("hot IS NULL").select("doc_id", "txt", "n", "digest")
+    # A class stands by its row with the smallest doc_id (NULL last) and text.
+    stand = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "txt")
+    classes = own.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min(stand).alias("stand"), F.max("n").alias("size"))
+    # Numbered as they are written: unique, and fixed from then on.
+    classes = write_table(classes.withColumn("node", F.monotonically_increasing_id()), name="classes")
     cuts = Cuts(percent, _hot_shingles(described))
 
-    # Blocks: components of the candidates, then only one document of a class.
+    # Blocks: components of the candidates.
     blocks = write_table(components(_candidate_edges(docs, width, cuts)), name="blocks")
-    stands = classes.where("class_id IS NOT NULL").select(
-        F.col("class_id").alias("node"), "size", "digest")
-    inside = write_table(blocks.join(stands, "node"), name="members")
+    short = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
+    inside = write_table(
+        classes.withColumn("short", short).join(blocks.withColumnRenamed("node", "short"), "short")
+        .select("node", "component", "size", "stand.doc_id", "stand.txt"), name="members")
     sizes = write_table(
         inside.groupBy("component").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("all"))
         .where("docs > 1")
         .withColumn("parts", F.ceil(F.greatest(F.col("docs") / BLOCK, F.col("all") / BLOCK_SHINGLES))
                     .cast("long")), name="block_sizes")
     inside = inside.join(sizes, "component")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    members = write_table(inside.join(texts, "node").select(
-        "node", "component", "docs", "parts", "size", "text",
-        F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("spot")), name="block_texts")
+    texts = docs.select(*_row_key(), "text").withColumnsRenamed({"doc_id": "_d", "txt": "_t"})
+    members = write_table(
+        inside.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("txt") == F.col("_t")))
+        .select("node", "component", "docs", "parts", "size", "text",
+                F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("spot"))
+        .dropDuplicates(["node"]), name="block_texts")
 
     # Each sub-block by itself, with some pivots of its block.
     pivot = (F.col("parts") > 1) & (F.col("spot") * F.col("docs") < PIVOTS << 30)
@@ -457,7 +535,9 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         large = large.withColumn("near", F.explode(F.array(
             F.col("level") - 1, F.col("level"), F.col("level") + 1))).join(beside, ["component", "near"])
         place = F.shiftright("spot", 7)
-        base = ["component", "node", "text", F.col("now").alias("grp")]
+        signs = write_table(_signatures(members.where("parts > 1"), width), name="signatures")
+        large = large.drop("text").join(signs, "node")
+        base = ["component", "node", "size", "sign", F.col("now").alias("grp")]
         mine = large.where(outside).select(
             *base, F.lit(True).alias("wanted"), F.col("level").alias("of"),
             F.pmod(place, F.col("rest")).alias("part"), F.col("near").alias("to"),
@@ -466,24 +546,45 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
             *base, F.lit(False).alias("wanted"), F.col("near").alias("of"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("near_rest") - 1)).alias("part"),
             F.col("level").alias("to"), F.pmod(place, F.col("wide")).alias("other"))
-        cross = write_table(_tree_join(mine.unionByName(all_of),
-                                       ["component", "of", "part", "to", "other"], width, percent),
-                            name="cross_links")
+        group = ["component", "of", "part", "to", "other"]
+        left = write_table(_screen(mine.unionByName(all_of), group, percent), name="screened")
+        cross = write_table(_tree_join(left.join(members.select("node", "text"), "node"),
+                                       group, width, percent), name="cross_links")
         links = links.unionByName(cross)
-    linked = components(links).withColumnRenamed("node", "class_id")
-    named = write_table(classes.join(linked, "class_id", "left").select(
-        "digest", "class_id", F.coalesce("component", "class_id").alias("component_id")), name="named")
-    return own.join(named, "digest", "left").select(
+    linked = write_table(components(links).join(classes.select("node", "stand"), "node"), name="linked")
+    # A component stands by the smallest row of its classes.
+    heads = linked.groupBy("component").agg(F.min("stand").alias("head"))
+    heads = write_table(linked.join(heads, "component").select("node", "head"), name="heads")
+    named = write_table(classes.join(heads, "node", "left").select(
+        "digest", F.col("stand.doc_id").alias("class_id"), F.coalesce("head", "stand").alias("head")),
+        name="named")
+    return own.join(named, "digest", "left")
+
+
+def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, class_id``: the class is the
+    smallest doc_id with an equal set, the component the smallest doc_id that
+    links reach (the document itself included)."""
+    return linked_rows(docs, width, percent).select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("class_id", "doc_id").alias("class_id"))
+        F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id"))
+        .alias("component_id"),
+        F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
+        .alias("class_id"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stand for their component (the smallest doc_id of
-    it, once), with all their columns; rows without a doc_id stay."""
-    found = join(docs, width, percent)
-    kept = write_table(found.where("doc_id = component_id").select(
-        F.col("doc_id").alias("_kept")).distinct(), name="kept")
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """The rows that stand for their component (the smallest doc_id of it, a
+    NULL last, then the smallest hash of the text), with all their columns.
+    Rows with equal doc_id and text are one document, of which one row stays;
+    rows without words link with nothing and stay."""
+    found = linked_rows(docs, width, percent)
+    stands = F.col("head.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("head.txt") == F.col("txt"))
+    kept = write_table(found.where(F.col("digest").isNull() | stands).select(
+        F.col("doc_id").alias("_kept"), F.col("txt").alias("_kept_txt")).distinct(), name="kept")
+    d, txt = _row_key()
+    rows = docs.select(d.alias("_d"), txt.alias("_t"), F.struct(
+        *[F.col(c) for c in docs.columns]).alias("_row"))
+    rows = rows.join(kept, F.col("_d").eqNullSafe(F.col("_kept")) & (F.col("_t") == F.col("_kept_txt")),
+                     "left_semi").dropDuplicates(["_d", "_t"])
+    return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

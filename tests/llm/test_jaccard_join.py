@@ -94,7 +94,7 @@ def test_tree_prunes_no_similar_pair():
         for _ in range(4):
             s = {h for h in base if r.random() > 0.05} or {base[0]}
             sets.append(np.array(sorted(s), np.uint64))
-    a, b = J.Tree(sets).pairs(80)
+    a, b = J.Tree.of(sets).pairs(80)
     found = {frozenset(p) for p in zip(a.tolist(), b.tolist())}
     for i in range(len(sets)):
         for j in range(i):
@@ -119,4 +119,44 @@ def test_keep_one(spark):
     kept = J.keep_one(df, 3, 80)
     assert kept.columns == df.columns
     ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda x: (x is None, x))
-    assert ids == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10, 13, 14, None, None]
+    assert ids == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10, 13, 14, None]
+
+
+def test_a_row_without_doc_id_bridges(spark):
+    """A - N - C: the ends link through a row whose doc_id is NULL."""
+    words = [f"w{i}" for i in range(140)]
+    n = " ".join(words[:-6])
+    a, c = " ".join(words), " ".join(words[6:-6])
+    sets = [set(J.shingles(t, 5).tolist()) for t in (a, n, c)]
+    least = [len(x & y) / len(x | y) for x, y in ((sets[0], sets[1]), (sets[1], sets[2]))]
+    percent = int(100 * min(least))
+    assert 100 * len(sets[0] & sets[2]) < percent * len(sets[0] | sets[2])
+    df = spark.createDataFrame([(5, a), (None, n), (9, c)], "doc_id long, text string")
+    assert {(r[0], r[2]) for r in J.join(df, 5, percent).collect()} == {(5, 5), (None, 5), (9, 5)}
+    assert [tuple(r) for r in J.keep_one(df, 5, percent).collect()] == [(5, a)]
+
+
+def test_two_texts_under_one_doc_id_both_stay(spark):
+    rows = [(7, prose(1, 80)), (7, prose(2, 80)), (7, prose(2, 80)), (None, prose(3, 80)),
+            (None, edited(prose(3, 80), 1, 5)), (None, prose(4, 80)), (8, prose(2, 80))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((str(d), t) for d, t in J.keep_one(df, 5, 80).collect())
+    texts = {t for _, t in kept}
+    assert len(kept) == 4 and [d for d, _ in kept] == ["7", "7", "None", "None"]
+    assert {prose(1, 80), prose(2, 80), prose(4, 80)} < texts
+
+
+def test_screen_keeps_every_linked_document(spark):
+    """Folded bitmaps of several lengths exclude no pair that links."""
+    r, sets = random.Random(8), []
+    for g in range(20):
+        base = [r.getrandbits(64) for _ in range(r.randrange(60, 180))]
+        sets += [np.array(sorted(h for h in base if r.random() > 0.05), np.uint64) for _ in range(4)]
+    maps = J.fold([J.bitmap(s, J.map_bits(2 * len(s))) for s in sets])
+    n = np.array([len(s) for s in sets])
+    a, b = J.Tree(maps, n, *np.array([J.smallest(s) for s in sets], np.uint64).T).pairs(80)
+    found = {frozenset(p) for p in zip(a.tolist(), b.tolist())}
+    for i in range(len(sets)):
+        for j in range(i):
+            assert not J.similar(sets[i], sets[j], 80) or frozenset((i, j)) in found
+    assert len(found) < len(sets) * 8
