@@ -3,12 +3,13 @@
 Each document gets a hash-random key.  Within its source the documents are
 ordered by that key, a distributed prefix sum of their sizes is taken, and
 the order is cut where the source's budget ends: whole epochs first, then
-the part of one more epoch, exact to the word (the document at the cut gives
-its first words only).
+the part of one more epoch.  ``mix`` counts the words taken exactly;
+``mixed_documents`` takes the document at the cut whole or not at all.
 
 Cases: NULL or blank text has size 0 and is never taken; NULL source is a
 source of its own and comes last; repeated rows are documents of their own;
-a source without words has target 0; an empty table gives an empty mix; only
+a source without words has target 0; rows with equal keys are ordered by
+doc_id and size; very long texts are counted whole; an empty table gives an empty mix; only
 ``doc_id``, ``text`` and ``source`` are read, other columns are ignored (or
 carried whole by ``mixed_documents``), whatever their names.
 """
@@ -94,17 +95,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, epochs: int =
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT,
                     epochs: int = EPOCHS) -> DataFrame:
     """The mix itself: the rows of the documents taken, once per epoch, with
-    all their columns.  The document at a cut keeps the first ``part`` words
-    of its text."""
+    all their columns and whole texts.  The document at a source's cut is
+    taken if at least half of its words are before the cut, so a source's
+    words differ from its budget by at most half of that document."""
     d = mix(docs, weights, percent, epochs, carry=True)
-    times = F.array_repeat(F.lit(-1).cast("long"), F.col("full").cast("int"))
-    part = F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>"))
-    d = d.withColumn("_take", F.explode(F.concat(times, part)))
-    # Cut at the end of each word, so that the pieces join to the same text.
-    white = "[\\x20\\x09-\\x0D]"
-    pieces = F.split(F.col("_row.text"), f"(?<=[^\\x20\\x09-\\x0D])(?={white})")
-    cut = (F.col("_take") >= 0) & (F.col("_take") < F.col("size"))
-    text = F.when(cut, F.array_join(F.slice(pieces, 1, F.col("_take").cast("int")), "")).otherwise(
-        F.col("_row.text"))
-    return d.select(*[text.alias(c) if c == "text" else F.col("_row")[c].alias(c)
-                      for c in docs.columns])
+    last = ((F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))).cast("int")
+    d = d.withColumn("_copy", F.explode(F.array_repeat(
+        F.lit(True), F.when(F.col("size") > 0, F.col("full").cast("int") + last).otherwise(0))))
+    return d.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

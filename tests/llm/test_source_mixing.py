@@ -47,17 +47,21 @@ def test_matches_brute_force(spark):
     assert again == {r["doc_id"]: r["taken"] for r in got}
 
 
-def test_mixed_documents_hold_the_words_taken(spark):
-    texts = [(i, f" {prose(i, 20)}\n\t", "ab"[i % 2], 5) for i in range(9)]
+def test_mixed_documents_are_whole_and_near_the_words_taken(spark):
+    texts = [(i, f" {prose(i, 20 + i)}\n\t", "ab"[i % 2], 5) for i in range(9)]
     df = spark.createDataFrame(texts, "doc_id long, text string, source string, taken long")
-    want = {r["doc_id"]: r["taken"] for r in M.mix(df).collect()}
+    want = {r["doc_id"]: (r["taken"], r["size"], r["source"]) for r in M.mix(df).collect()}
     out = M.mixed_documents(df)
     assert out.columns == df.columns
-    words, original = {}, dict((i, t) for i, t, *_ in texts)
+    times, original = {}, dict((i, t) for i, t, *_ in texts)
     for r in out.collect():
-        words[r["doc_id"]] = words.get(r["doc_id"], 0) + len(r["text"].split())
-        assert original[r["doc_id"]].startswith(r["text"]) and r["taken"] == 5
-    assert words == {k: v for k, v in want.items() if v}
+        times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
+        assert original[r["doc_id"]] == r["text"] and r["taken"] == 5
+    for source in "ab":
+        mine = [(d, *v[:2]) for d, v in want.items() if v[2] == source]
+        off = [times.get(d, 0) * size - taken for d, taken, size in mine]
+        assert sum(x != 0 for x in off) <= 1                      # the document at the cut
+        assert all(2 * abs(x) <= size for x, (_, _, size) in zip(off, mine))
 
 
 def test_cases(spark):
