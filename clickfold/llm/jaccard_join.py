@@ -219,7 +219,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 
 def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
     """Edges ``a, b`` that connect all classes with a common key, a class by
-    the first 64 bits of its set's digest (two classes that agree in these
+    the first 40 bits of its set's digest (two classes that agree in these
     meet in a block and are told apart there).
 
     Tasks join classes with a common key at once and send each key once, to
@@ -248,9 +248,9 @@ def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
                 h = shingles(t, width)
                 k = own.keys(h)
                 if len(k):
-                    d = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes())[:8], ">i8")
+                    d = int.from_bytes(xxhash.xxh3_128_digest(h.tobytes())[:5], "big")
                     keys.append(k)
-                    nodes.append(np.full(len(k), d[0], np.int64))
+                    nodes.append(np.full(len(k), d, np.int64))
             k, v, edges = stars(np.concatenate(keys), np.concatenate(nodes))
             slot = (k >> _U(54)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
@@ -483,7 +483,7 @@ def linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     # Blocks: components of the candidates.
     blocks = write_table(components(_candidate_edges(docs, width, cuts)), name="blocks")
-    short = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
+    short = F.conv(F.hex(F.substring("digest", 1, 5)), 16, 10).cast("long")
     inside = write_table(
         classes.withColumn("short", short).join(blocks.withColumnRenamed("node", "short"), "short")
         .select("node", "component", "size", "stand.doc_id", "stand.txt"), name="members")
