@@ -52,7 +52,7 @@ from clickfold.llm.token_memo import text_batches
 from clickfold.session import write_table
 
 # Memory and layout parameters; none of them changes a result.
-VOCABULARY = 500_000        # word hashes a worker remembers
+VOCABULARY = 250_000        # word hashes a worker remembers
 HOT_CHUNK = 1_500_000       # shingles looked at together for frequent ones
 HOT_COUNT = 5               # frequent: in so many different sets of a chunk
 HOT_LIMIT = 200_000         # most frequent shingles that are broadcast (8 bytes each)
