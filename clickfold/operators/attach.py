@@ -1,13 +1,15 @@
 """Attach many keyed feature tables to one row table.
 
 A one-pass aggregate over several key sets (GROUPING SETS) is written once,
-one folder per set.  Each set is then a table of its own files, so its size
-is known when the joins are planned.  Tables that the session's own broadcast
-threshold allows are joined one by one (the engine broadcasts them).  All
-others meet the rows in ONE narrow join: every row sends a short (table, key,
-row number) per table, these meet all tables stacked into one, and what they
-find is gathered by row number.  So the wide rows are shuffled once, not once
-per table, and adaptive execution splits hot keys in the narrow join.
+one folder per set.  Each set is then a table of its own files, so its rows
+are known when the joins are planned.  Tables that the session's own broadcast
+threshold allows are joined one by one (the engine broadcasts them), as long
+as all of them together stay within a few thresholds: the driver holds every
+broadcast table of a query at the same time, unpacked.  All others meet the
+rows in ONE narrow join: every row sends a short (table, key, row number) per
+table, these meet all tables stacked into one, and what they find is gathered
+by row number.  So the wide rows are shuffled once, not once per table, and
+adaptive execution splits hot keys in the narrow join.
 """
 
 from __future__ import annotations
@@ -21,12 +23,26 @@ from pyspark.sql import types as T
 from clickfold.session import table_path, write_table
 
 
+#: Broadcast tables of one query together, in broadcast thresholds.
+BROADCAST_TOTAL = 4
+# Bytes of a row in a hash table beside its values, and of a text value.
+_ROW_BYTES, _TEXT_BYTES = 48, 32
+
+
 @dataclass
 class Keyed:
-    """A table that is unique on ``keys``; ``size``: bytes of its files."""
+    """A table that is unique on ``keys``; ``rows``: how many it has."""
     df: DataFrame
     keys: list[str]
-    size: int | None = None
+    rows: int | None = None
+
+    @property
+    def size(self) -> int | None:
+        """Bytes as an unpacked hash table (files are several times smaller)."""
+        if self.rows is None:
+            return None
+        return self.rows * (_ROW_BYTES + sum(_TEXT_BYTES if isinstance(f.dataType, T.StringType) else 8
+                                             for f in self.df.schema.fields))
 
 
 class SetTables:
@@ -39,19 +55,16 @@ class SetTables:
         self._path = table_path(spark, name)
         # Rows of a set together in few files; large sets are split adaptively.
         combined.hint("rebalance", gid_col).write.partitionBy(gid_col).parquet(self._path)
-        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path)
-        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        self._sizes = {f.getPath().getName(): system.getContentSummary(f.getPath()).getLength()
-                       for f in system.listStatus(root) if f.isDirectory()}
+        written = spark.read.schema(combined.schema).parquet(self._path)
+        self._rows = {r[0]: r[1] for r in written.groupBy(gid_col).count().collect()}
 
     def __getitem__(self, gid: int) -> DataFrame:
-        folder = f"{self._gid}={gid}"
-        if folder not in self._sizes:
+        if gid not in self._rows:
             return self._spark.createDataFrame([], self._schema)
-        return self._spark.read.schema(self._schema).parquet(f"{self._path}/{folder}")
+        return self._spark.read.schema(self._schema).parquet(f"{self._path}/{self._gid}={gid}")
 
-    def size(self, gid: int) -> int:
-        return self._sizes.get(f"{self._gid}={gid}", 0)
+    def rows(self, gid: int) -> int:
+        return self._rows.get(gid, 0)
 
 
 def broadcast_threshold(spark) -> int:
@@ -64,16 +77,23 @@ def broadcast_threshold(spark) -> int:
 def attach_tables(rows: DataFrame, tables: list[Keyed], how: str = "left") -> DataFrame:
     """Left-join every table on its keys; NULL keys find nothing.
 
-    Tables of unknown size, or within the broadcast threshold, are plain
-    joins; if two or more are larger, these go through ``narrow_join``.
+    Tables of unknown size are plain joins, and so are the smallest others
+    while each is within the broadcast threshold and all together within
+    ``BROADCAST_TOTAL`` thresholds; the rest is never broadcast, and two or
+    more of them go through ``narrow_join``.
     """
     limit = broadcast_threshold(rows.sparkSession)
-    large = [t for t in tables if t.size is not None and t.size > limit]
+    large, total = [], 0
+    for t in sorted((t for t in tables if t.size is not None), key=lambda t: t.size):
+        total += t.size
+        if t.size > limit or total > BROADCAST_TOTAL * limit:
+            large.append(t)
     if how == "left" and len(large) > 1:
+        large = [t for t in tables if t in large]
         rows = narrow_join(rows, large)
         tables = [t for t in tables if t not in large]
     for t in tables:
-        rows = rows.join(t.df, t.keys, how)
+        rows = rows.join(t.df.hint("merge") if t in large else t.df, t.keys, how)
     return rows
 
 

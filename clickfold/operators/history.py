@@ -176,7 +176,7 @@ def history_aggregates(history: DataFrame | Panes,
     sets, out = SetTables(agg, name="history"), {}
     for prefix, keys in key_table:
         gid = grouping_id(cols, {*group, *keys})
-        out[prefix] = Keyed(split_history(sets[gid], prefix, keys, group), [*group, *keys], sets.size(gid))
+        out[prefix] = Keyed(split_history(sets[gid], prefix, keys, group), [*group, *keys], sets.rows(gid))
     return out
 
 

@@ -299,7 +299,7 @@ def keyed_counts(df: DataFrame, counts, group=GROUP, source: DataFrame | None =
         gid = grouping_id(cols, {*group, *keys})
         part = sets[gid].where(keys_not_null(keys))
         n = F.col("_n" if c is None else f"_n_{c}")
-        tables.append(Keyed(part.select(*group, *keys, n.alias(out)), [*group, *keys], sets.size(gid)))
+        tables.append(Keyed(part.select(*group, *keys, n.alias(out)), [*group, *keys], sets.rows(gid)))
     return attach_tables(df, tables)
 
 
@@ -353,7 +353,7 @@ def label_stats_tables(labels: DataFrame, extras: bool = False, group=GROUP,
         if flags:
             sel += [F.col("_first").alias(f"{prefix}_first"), F.col("_last").alias(f"{prefix}_last")]
         df = sets[gid].where(keys_not_null(keys)).select(*sel)
-        out.append(Keyed(df, [*group, *keys, TS], sets.size(gid)))
+        out.append(Keyed(df, [*group, *keys, TS], sets.rows(gid)))
     return out
 
 

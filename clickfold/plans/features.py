@@ -31,7 +31,7 @@ from clickfold.operators.label import (
     label_stats_tables,
     long_label_folds,
 )
-from clickfold.session import cut_lineage
+from clickfold.session import cut_lineage, write_table
 from clickfold.sources.log import derived_log, mark_score_log
 
 # The derived log's calendar (FIXTURES.md section 2): label
@@ -103,8 +103,10 @@ def build_features(prep: Prepared, compat: bool = False, extras: bool = False,
     unseen in the fold's history; they are never filled here."""
     spans = long_label_folds(prep.folds)
     if one_pass:    # all tables of both families meet the label rows together
-        tables = label_stats_tables(prep.labels, extras, spans=spans) + list(history_aggregates(prep.panes).values())
-        out = finish_label_features(attach_tables(prep.labels, tables), prep.labels, compat, extras)
+        # Written once: three passes read it, each without joining the log's dimensions again.
+        labels = write_table(prep.labels, name="labels")
+        tables = label_stats_tables(labels, extras, spans=spans) + list(history_aggregates(prep.panes).values())
+        out = finish_label_features(attach_tables(labels, tables), labels, compat, extras)
     else:
         lab = label_features(prep.labels, compat=compat, extras=extras, one_pass=False,
                              spans=spans)

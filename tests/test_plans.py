@@ -2,6 +2,7 @@
 per role, filters reach the Parquet scan, joins without broadcasts."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickfold.plans import catalog
 from tests.conftest import SF_SMALL
@@ -136,3 +137,32 @@ def test_narrow_join_equals_plain_joins(spark):
     got = narrow_join(rows, tables).select(*want.columns)
     assert got.dtypes == want.dtypes
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_broadcast_tables_are_bounded_together(spark):
+    """Tables that are small one by one but not all together: a query's
+    broadcast tables lie in the driver at the same time."""
+    from clickfold.operators.attach import BROADCAST_TOTAL, Keyed, attach_tables
+    rows = spark.range(30).withColumn("s", (F.col("id") % 7).cast("string"))
+    tables = [Keyed(spark.range(20).select("id", (F.col("id") * i).alias(f"v{i}")), ["id"], 20) for i in range(12)]
+    tables.append(Keyed(spark.range(3).select(F.col("id").cast("string").alias("s"), F.lit(1).alias("w")), ["s"], 3))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+        found = attach_tables(rows, tables)
+        assert 20 * 64 == tables[0].size < 2048 and 12 * tables[0].size > BROADCAST_TOTAL * 2048
+        # 3 rows with a text and 6 tables stay plain joins, the other 6 meet in the narrow join.
+        kept = [c for c in found.columns if c.startswith("v")][:6]
+        assert len(kept) == 6 and len({"v6", "v7"} & set(kept)) == 2, found.columns
+        got = sorted(map(tuple, found.select("id", "w", *[f"v{i}" for i in range(12)]).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = [(i, 1 if i % 7 < 3 else None, *[i * k if i < 20 else None for k in range(12)]) for i in range(30)]
+    assert got == want
+
+
+def test_label_rows_join_the_dimensions_once(spark):
+    """All passes of the assembly read the label rows from one written table."""
+    from clickfold.plans.features import build_features, prepare_derived
+    plan = _plan(build_features(prepare_derived(spark, SF_SMALL)))
+    assert _scans(plan, "part") == _scans(plan, "customer") == 0
