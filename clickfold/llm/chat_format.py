@@ -7,9 +7,11 @@ that no turn is lost.
 
 The formatted text of an example is the formatted text of its conversation up
 to its target, so the texts of all examples together would grow with the
-square of a conversation's length.  They are stored once: the *segments* (one
-per turn, with its place) and, per example, the last segment, the length of
-its text and the span of its target.  ``render`` writes examples out.
+square of a conversation's length.  What is kept is stored once: the *segments*
+(one per turn, with its place) and, per example, the last segment, the length
+of its text and the span of its target.  ``expand`` writes every example with
+all turns of its prefix, a row per turn, so that no text is held as a whole,
+and ``read_back`` reads nothing but these; ``render`` joins single texts.
 
 Template of a turn (``role`` and ``text`` escaped):
 
@@ -34,6 +36,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickfold.session import write_table
 
@@ -136,20 +139,37 @@ def render(parts: DataFrame, wanted: DataFrame) -> DataFrame:
                     "target_start", "target_length"))
 
 
+def expand(parts: DataFrame, shown: DataFrame) -> DataFrame:
+    """All examples with their whole prefix: ``conv_id, example, position,
+    segment`` and, in the row of the last turn, ``target_at`` and
+    ``target_length`` (the span trained in that segment).  ``final`` marks the
+    conversation's last example, whose prefix is the whole conversation."""
+    longest = F.max("last_position").over(Window.partitionBy("conv_id"))
+    e = shown.select("conv_id", "example", "last_position", "target_start", "target_length",
+                     (F.col("last_position") == longest).alias("final"))
+    p = parts.select(F.col("conv_id").alias("_c"), "position", "start", "segment")
+    on = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("position") <= F.col("last_position"))
+    last = F.col("position") == F.col("last_position")
+    return e.join(p, on).select(
+        "conv_id", "example", "position", "segment", last.alias("last"),
+        F.when(last, F.col("target_start") - F.col("start")).alias("target_at"),
+        F.when(last, F.col("target_length")).alias("target_length"), "final")
+
+
 def read_back(parts: DataFrame, shown: DataFrame) -> DataFrame:
-    """Per conversation, from the stored segments and the stored examples
-    (context, target and mask come from their spans): ``conv_id, n_turns,
-    turns_sha256, loss_chars, loss_sha256, formatted_chars`` (all examples'
-    texts together) and ``n_examples``."""
+    """Per conversation, from its examples written out (``expand``): ``conv_id,
+    n_turns, turns_sha256`` (prefix of the final example), ``loss_chars,
+    loss_sha256`` (masked text of every example), ``formatted_chars`` (all
+    examples' texts together) and ``n_examples``."""
     def run(batches):
-        names = ["conv_id", "start", "chars", "target_start", "target_length", "segment"]
+        names = ["conv_id", "segment", "chars", "target"]
         held, state, out = (), None, []
 
         def close():
             turns, sha, loss, chars, total, count = state
             return held[0], turns, sha.hexdigest(), chars, loss.hexdigest(), total, count
 
-        for conv, start, end, at, length, line in _rows(batches, names):
+        for conv, line, size, target in _rows(batches, names):
             if (conv,) != held:
                 if held:
                     out.append(close())
@@ -157,11 +177,11 @@ def read_back(parts: DataFrame, shown: DataFrame) -> DataFrame:
             (role, text), = parse_turns(line)
             state[0] += 1
             state[1].update(f"{role}\n{text}\n".encode())
-            if end is not None:         # an example ends with this turn
-                state[4] += end
+            if size is not None:        # an example ends with this turn
+                state[4] += size
                 state[5] += 1
-            if at is not None:
-                loss = unescape(line[at - start:at - start + length])
+            if target is not None:
+                loss = unescape(target)
                 state[2].update(loss.encode())
                 state[3] += len(loss)
             if len(out) >= 2000:
@@ -179,9 +199,14 @@ def read_back(parts: DataFrame, shown: DataFrame) -> DataFrame:
             "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
             "n_examples"])
 
-    e = shown.select(F.col("conv_id").alias("_c"), "last_position", "chars", "target_start", "target_length")
-    on = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("position") == F.col("last_position"))
-    rows = parts.select("conv_id", "position", "start", "segment").join(e, on, "left")
+    written = write_table(expand(parts, shown), name="expanded")
+    masked = F.substr("segment", (F.col("target_at") + 1).cast("int"), F.col("target_length").cast("int"))
+    # Per example the length of its text and its masked text, at its last turn.
+    e = written.groupBy(F.col("conv_id").alias("_c"), "example").agg(
+        F.max(F.when(F.col("last"), F.col("position"))).alias("_p"),
+        F.sum(F.length("segment")).alias("chars"), F.max(F.when(F.col("last"), masked)).alias("target"))
+    on = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("position") == F.col("_p"))
+    rows = written.where("final").select("conv_id", "position", "segment").join(e, on, "left")
     return (rows.repartition("conv_id").sortWithinPartitions("conv_id", "position").mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
              "loss_sha256 string, formatted_chars long, n_examples long"))

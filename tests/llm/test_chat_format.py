@@ -2,6 +2,7 @@ import hashlib
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clickfold.llm import chat_format as C
 
@@ -60,3 +61,20 @@ def test_read_back(spark):
 def test_no_conversations(spark):
     parts, stored = C.format_conversations(spark.createDataFrame(ROWS, SCHEMA).where("1 = 0"))
     assert parts.count() == 0 and C.read_back(parts, stored).count() == 0 and stored.count() == 0
+
+
+def test_results_are_read_from_written_examples(spark):
+    """Every example is written with its whole prefix, and a changed one shows."""
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    parts, stored = C.format_conversations(df)
+    whole = {}
+    for r in C.expand(parts, stored).orderBy("position").collect():
+        whole.setdefault((r["conv_id"], r["example"]), []).append(r)
+    texts = {(r["conv_id"], r["example"]): r["text"] for r in C.render(parts, stored).collect()}
+    assert {k: "".join(r["segment"] for r in v) for k, v in whole.items()} == texts
+    assert all([r["last"] for r in v] == [False] * (len(v) - 1) + [True] for v in whole.values())
+    assert {c for (c, _), v in whole.items() if any(r["final"] for r in v)} == set(ordered())
+    before = {r["conv_id"]: r["formatted_chars"] for r in C.read_back(parts, stored).collect()}
+    # Lengths come from the texts themselves, not from what the spans say.
+    wrong = stored.withColumn("chars", F.lit(1).cast("long"))
+    assert {r["conv_id"]: r["formatted_chars"] for r in C.read_back(parts, wrong).collect()} == before
