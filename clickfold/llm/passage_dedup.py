@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,8 @@ GRAM = 5
 SLICE = 1 << 21
 STREAMS = 512
 BLOCK = 50_000
+#: Digests that a worker holds before it hands them on (layout only).
+DIGESTS = 20_000
 
 
 def _slices(ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
@@ -67,6 +70,18 @@ def _slices(ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]
         yield ids[at:], texts[at:]
 
 
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``SLICE`` bytes of a text or binary
+    column, so that a worker unpacks few of its rows at a time."""
+    ends = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().cumsum(dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, done + SLICE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """``(text, first word of the window, anchor)`` of every window."""
     h, doc = word_hashes(texts)
@@ -85,7 +100,7 @@ def _pack(docs: DataFrame) -> DataFrame:
     apart, and the text as a zstandard frame (what a shuffle carries)."""
     def run(batches):
         code = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (part for b in batches for part in _parts(b, "text")):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("fp"),
@@ -270,7 +285,7 @@ def _found(stretches: DataFrame) -> DataFrame:
         return machines, numbers
 
     def run(batches):
-        key, passages, machines, numbers, out = None, [], None, {}, []
+        key, passages, machines, numbers, out, held = None, [], None, {}, [], 0
         names = ["doc_id", "fp", "i", "j", "digests"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary())]
 
@@ -278,7 +293,7 @@ def _found(stretches: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-        for batch in batches:
+        for batch in (part for b in batches for part in _parts(b, "text")):
             for first, salt, kind, doc, fp, at, text in zip(
                     *(batch.column(c).to_pylist() for c in cols)):
                 if (first, salt) != key:
@@ -302,9 +317,13 @@ def _found(stretches: DataFrame) -> DataFrame:
                         digests = [hashlib.blake2b(b" ".join(words[i:i + WINDOW]), digest_size=16)
                                    .digest() for i in part.tolist()]
                         out.append((doc, fp, at + int(part[0]), at + int(part[-1]) + WINDOW, digests))
+                held += len(lost)
+                if held >= DIGESTS:
+                    yield batch_of(out)
+                    out, held = [], 0
             if out:
                 yield batch_of(out)
-                out = []
+                out, held = [], 0
 
     return (rows.repartition("first", "salt").sortWithinPartitions("first", "salt", "kind")
             .mapInArrow(run, "doc_id long, fp long, i long, j long, digests array<binary>"))
@@ -333,8 +352,14 @@ def _remove(docs: DataFrame, spans: DataFrame, repeats: DataFrame) -> DataFrame:
     def run(batches):
         code = zstandard.ZstdDecompressor()
         key, spans = None, []
-        for batch in batches:
-            out = []
+        def batch_of(out):
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            arrays = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+            arrays[3] = arrays[3].cast(pa.string())
+            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept"])
+
+        for batch in (part for b in batches for part in _parts(b, "z")):
+            out, size = [], 0
             for doc, fp, kind, z, i, j in zip(
                     *(batch.column(c).to_pylist() for c in ("doc_id", "fp", "kind", "z", "i", "j"))):
                 if (doc, fp) != key:
@@ -353,11 +378,12 @@ def _remove(docs: DataFrame, spans: DataFrame, repeats: DataFrame) -> DataFrame:
                             stay[:] = False
                     words = [words[i] for i in np.flatnonzero(stay).tolist()]
                 out.append((doc, n, n - len(words), b" ".join(words)))
+                size += len(out[-1][3])
+                if size >= SLICE:
+                    yield batch_of(out)
+                    out, size = [], 0
             if out:
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                arrays = [pa.array(c, t) for c, t in zip(zip(*out), types)]
-                arrays[3] = arrays[3].cast(pa.string())
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept"])
+                yield batch_of(out)
 
     return (rows.repartition("doc_id", "fp").sortWithinPartitions("doc_id", "fp", "kind")
             .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string"))

@@ -104,3 +104,16 @@ def test_word_hashes_are_those_of_the_words():
     assert all((h[i] == h[j]) == (words[i] == words[j]) for i in range(7) for j in range(7))
     g = gram_hashes(h, 2)
     assert g[0] == g[5] and len(g) == 6
+
+
+def test_workers_hand_on_small_batches(spark, monkeypatch):
+    """Rows are unpacked and handed on in slices, whatever an Arrow batch holds."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(passage_dedup, "SLICE", 100)
+    monkeypatch.setattr(passage_dedup, "DIGESTS", 5)
+    batch = pa.RecordBatch.from_pydict({"k": list(range(7)), "text": ["a" * 60, None, "b" * 40, "c" * 500, "", "d", None]})
+    parts = list(passage_dedup._parts(batch, "text"))
+    assert [p.num_rows for p in parts] == [3, 1, 3] and pa.Table.from_batches(parts).column("k").to_pylist() == list(range(7))
+    assert list(passage_dedup._parts(batch.slice(0, 0), "text")) == []
+    check(spark, corpus(3, 80))
