@@ -32,6 +32,18 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_held: list[dict] = []
+
+
+def hold_only(cache: dict | None = None) -> None:
+    """Empty what other operators remember in this worker, which outlives
+    tasks and stages; ``cache`` (or nothing) is remembered from now on."""
+    for other in _held:
+        if other is not cache:
+            other.clear()
+    _held[:] = [] if cache is None else [cache]
+
+
 def strip_white(text: Column) -> Column:
     return F.trim(text, F.lit(WHITE))
 

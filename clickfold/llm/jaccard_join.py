@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfold.llm.common import components
+from clickfold.llm.common import components, hold_only
 from clickfold.llm.token_memo import text_batches
 from clickfold.session import write_table
 
@@ -70,6 +70,7 @@ _vocabulary: dict[bytes, int] = {}
 def _word_ids(words: list[bytes]) -> np.ndarray:
     import xxhash
 
+    hold_only(_vocabulary)
     if len(_vocabulary) > VOCABULARY:
         _vocabulary.clear()
     known = _vocabulary

@@ -21,6 +21,8 @@ import struct
 
 import numpy as np
 
+from clickfold.llm.common import hold_only
+
 #: Pieces longer than this are encoded but not remembered.
 LONG_PIECE = 48
 #: Remembered pieces per generation (about 200 bytes each); a worker keeps two
@@ -166,7 +168,9 @@ class Memo:
 
 
 def memo(path: str) -> Memo:
-    """The worker's memo for a tokenizer file; it outlives a task."""
+    """The worker's memo for a tokenizer file; it outlives a task, until
+    another operator remembers something."""
+    hold_only(_memos)
     if path not in _memos:
         _memos[path] = Memo(path)
     return _memos[path]

@@ -43,3 +43,16 @@ def test_running_before_is_a_prefix_sum(spark):
         for _, k, v, i in sorted((x for x in data if x[0] == g), key=lambda x: (x[1], x[3])):
             assert got[i] == total
             total += v
+
+
+def test_a_worker_remembers_for_one_operator_at_a_time(tokenizers_of):
+    from clickfold.llm import jaccard_join, token_memo
+
+    path = tokenizers_of("word_bpe_49k.json")
+    ids = token_memo.memo(path).encode(["one two three"])
+    assert path in token_memo._memos
+    sets = jaccard_join.shingles("one two three", 3).tolist()
+    assert not token_memo._memos and len(jaccard_join._vocabulary) == 3
+    assert token_memo.memo(path).encode(["one two three"]) == ids
+    assert not jaccard_join._vocabulary
+    assert jaccard_join.shingles("one two three", 3).tolist() == sets
