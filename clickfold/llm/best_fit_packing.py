@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfold.llm.common import running_before, uniform_key
-from clickfold.llm.token_memo import memo, text_batches
+from clickfold.llm.token_memo import memo, text_slices
 from clickfold.session import write_table
 
 SIZE = 4096
@@ -47,9 +47,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID,
 
     def cut(batches):
         code = memo(tokenizer)
-        for batch, texts in text_batches(batches):
+        for batch in text_slices(batches):
             rows = []
-            for d, ids in zip(batch.column("doc_id").to_pylist(), code.encode(texts)):
+            for d, ids in zip(batch.column("doc_id").to_pylist(),
+                              code.encode(batch.column("text"))):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at:at + 4 * size]

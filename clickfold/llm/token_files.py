@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickfold.llm.token_memo import memo, text_batches
+from clickfold.llm.token_memo import memo, text_slices
 from clickfold.session import table_path, write_table
 
 #: Raw bytes after which a frame is closed (a document is never cut).
@@ -199,13 +199,14 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str | None = None,
         shard, writer, out = TaskContext.get().partitionId(), None, None
         code = memo(tokenizer)
         path = f"{folder.rstrip('/')}/shard-{shard:06d}-{uuid.uuid4().hex}.zst"
-        for batch, texts in text_batches(batches):
+        for batch in text_slices(batches):
             if writer is None:
                 where, inner = open_fs(path)
                 where.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                 out = where.open_output_stream(inner, compression=None)
                 writer = ShardWriter(out, frame_bytes)
-            for d, ids in zip(batch.column("doc_id").to_pylist(), code.encode(texts)):
+            for d, ids in zip(batch.column("doc_id").to_pylist(),
+                              code.encode(batch.column("text"))):
                 writer.add(d, ids + end)
         if writer is not None:
             writer.close()

@@ -1,11 +1,13 @@
 import io
+import random
 import struct
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from clickfold.llm import token_files as K
-from clickfold.llm.token_memo import Memo
+from clickfold.llm.token_memo import Memo, text_slices
 from tests.llm.conftest import ODD_TEXTS, no_documents, odd_documents
 
 ODD = ["a\t  b", "x\n\n y", "  lead", "trail  ", "a  b", "é́ ́x", "a's 'll\x1c y", "ΑΣ ΑΣ. İ",
@@ -33,6 +35,40 @@ def test_memo_forgets_and_stays_right(tokenizers_of, monkeypatch):
             "<%dI" % len(w := memo.tokenizer.encode(text).ids), *w)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_memo_of_a_column_gives_the_ids_of_whole_texts(tokenizers_of, name):
+    memo, rng = Memo(tokenizers_of(name)), random.Random(5)
+    parts = [*" \n.,;:!?|'<>#&", *"aZé\u0301Σİß9\t\x0b\x1c\x85\u3000\0漢", "  ", "\n\n", "ab", " The", "'s",
+             "'LL", "word", "<|endoftext|>", "<|startoftext|>", "<|", "x" * 60, "e.g.", "...", "3,5"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(3000)]
+    texts[::7] = [None] * len(texts[::7])
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)}).slice(5)
+    slices = [memo.encode(x.column("text")) for x in text_slices([batch], limit=4000)]
+    assert len(slices) > 5
+    for t, ids in zip(texts[5:], sum(slices, []), strict=True):
+        want = memo.tokenizer.encode(t or "", add_special_tokens=False).ids
+        assert ids == struct.pack(f"<{len(want)}I", *want), repr(t)
+
+
+def test_memo_looks_up_distinct_pieces_only(tokenizers_of):
+    class Counting(dict):
+        n, missing = 0, []
+
+        def get(self, *x):
+            Counting.n += 1
+            return super().get(*x)
+
+        def __getitem__(self, x):
+            Counting.n += 1
+            return super().__getitem__(x)
+
+    memo = Memo(tokenizers_of("byte_bpe_50k.json"))
+    texts = ["It was, as it was. " * 500] * 20
+    want = memo.encode(texts)
+    memo.seen = Counting(memo.seen)
+    assert memo.encode(texts) == want and Counting.n < 50
+
+
 def _file(docs, frame_bytes=64):
     out = io.BytesIO()
     w = K.ShardWriter(out, frame_bytes)
