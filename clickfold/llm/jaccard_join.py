@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from clickfold.llm.common import components, hold_only
 from clickfold.llm.token_memo import text_batches
-from clickfold.session import write_table
+from clickfold.session import delete_table, write_table
 
 # Memory and layout parameters; none of them changes a result.
 VOCABULARY = 250_000        # word hashes a worker remembers
@@ -60,7 +60,10 @@ SEEDS = 6                   # cuts tried before empty parts count as content
 BLOCK = 128                 # documents of a sub-block
 BLOCK_SHINGLES = 200_000
 PIVOTS = 16
-CROSS = 512                 # documents of a sub-block in the cross comparison
+CROSS = 4096                # documents of a sub-block in the cross comparison,
+CROSS_SHINGLES = 2_000_000  # and their shingles, but
+CROSS_LEAST = 512           # so many documents in any case
+PAIRS = 8192                # pairs of nodes that a traversal opens at once
 SLICES = 1024               # groups in which candidate keys are exchanged
 
 _U = np.uint64
@@ -170,6 +173,13 @@ def _row_key() -> list:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("txt")]
 
 
+def _plain_key(doc_id: str = "doc_id", txt: str = "txt") -> list:
+    """``_no, _d, _t``: the same as columns without NULLs, so that a join by
+    them deals rows as a grouping by them does and texts are sent once."""
+    return [F.isnull(doc_id).alias("_no"), F.coalesce(doc_id, F.lit(0)).alias("_d"),
+            F.col(txt).alias("_t")]
+
+
 def describe(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, txt, n, digest`` per document (``txt`` is a hash of its text),
     and rows with ``hot`` (shingles that are frequent among different sets of
@@ -365,19 +375,33 @@ class Tree:
 
     def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of documents (positions in the list given) that may link."""
+        none = np.zeros(0, np.int64)
+        a, b = zip((none, none), *self.some_pairs(percent))
+        return np.concatenate(a), np.concatenate(b)
+
+    def some_pairs(self, percent: int):
+        """``pairs``, some at a time: few pairs of nodes are open at once, so
+        that memory does not grow with the square of the sets."""
         top = len(self.levels) - 1
-        a, b = np.triu_indices(len(self.levels[top][0]))
-        for k in range(top, -1, -1):
-            if k < top:
-                size = len(self.levels[k][0])
-                kids = np.arange(self.FAN)
-                a = (a[:, None, None] * self.FAN + kids[:, None]).repeat(self.FAN, 2).ravel()
-                b = (b[:, None, None] * self.FAN + kids[None, :]).repeat(self.FAN, 1).ravel()
-                ok = (a <= b) & (b < size)
-                a, b = a[ok], b[ok]
-            a, b = self._prune(k, a, b, percent)
-        ok = a < b
-        return self.order[a[ok]], self.order[b[ok]]
+        a, b = self._prune(top, *np.triu_indices(len(self.levels[top][0])), percent)
+        todo = [(top, a, b)]
+        kids = np.arange(self.FAN)
+        while todo:
+            k, a, b = todo.pop()
+            if len(a) > PAIRS and k:
+                todo.append((k, a[PAIRS:], b[PAIRS:]))
+                a, b = a[:PAIRS], b[:PAIRS]
+            if k == 0:
+                ok = a < b
+                yield self.order[a[ok]], self.order[b[ok]]
+                continue
+            size = len(self.levels[k - 1][0])
+            a = (a[:, None, None] * self.FAN + kids[:, None]).repeat(self.FAN, 2).ravel()
+            b = (b[:, None, None] * self.FAN + kids[None, :]).repeat(self.FAN, 1).ravel()
+            ok = (a <= b) & (b < size)
+            a, b = self._prune(k - 1, a[ok], b[ok], percent)
+            if len(a):
+                todo.append((k - 1, a, b))
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -393,10 +417,6 @@ def forest(sets: list[np.ndarray], percent: int, group: list | None = None,
     same group are connected already; ``wanted``: at least one of a pair."""
     if len(sets) < 2:
         return []
-    a, b = Tree.of(sets).pairs(percent)
-    if wanted is not None:
-        ok = wanted[a] | wanted[b]
-        a, b = a[ok], b[ok]
     first: dict = {}
     up = [first.setdefault(g, i) for i, g in enumerate(group)] if group else list(range(len(sets)))
 
@@ -407,11 +427,15 @@ def forest(sets: list[np.ndarray], percent: int, group: list | None = None,
         return i
 
     links = []
-    for i, j in zip(a.tolist(), b.tolist()):
-        x, y = root(i), root(j)
-        if x != y and similar(sets[i], sets[j], percent):
-            up[max(x, y)] = min(x, y)
-            links.append((i, j))
+    for a, b in Tree.of(sets).some_pairs(percent):
+        if wanted is not None:
+            ok = wanted[a] | wanted[b]
+            a, b = a[ok], b[ok]
+        for i, j in zip(a.tolist(), b.tolist()):
+            x, y = root(i), root(j)
+            if x != y and similar(sets[i], sets[j], percent):
+                up[max(x, y)] = min(x, y)
+                links.append((i, j))
     return links
 
 
@@ -451,11 +475,12 @@ def _screen(blocks: DataFrame, keys: list[str], percent: int) -> DataFrame:
         signs = [np.frombuffer(x, _U) for x in table["sign"].to_pylist()]
         ends = np.array([x[:2] for x in signs])
         tree = Tree(fold([x[2:] for x in signs]), table["size"].to_numpy(), ends[:, 0], ends[:, 1])
-        a, b = tree.pairs(percent)
         grp, wanted = (np.array(table[c].to_pylist()) for c in ("grp", "wanted"))
-        ok = (grp[a] != grp[b]) & (wanted[a] | wanted[b])
-        return table.select([*keys, "node", "grp", "wanted"]).take(
-            np.unique(np.concatenate([a[ok], b[ok]])))
+        partner = np.zeros(table.num_rows, bool)
+        for a, b in tree.some_pairs(percent):
+            ok = (grp[a] != grp[b]) & (wanted[a] | wanted[b])
+            partner[a[ok]] = partner[b[ok]] = True
+        return table.select([*keys, "node", "grp", "wanted"]).take(np.flatnonzero(partner))
 
     fields = {f.name: f.dataType.simpleString() for f in blocks.schema.fields}
     return blocks.groupBy(*keys).applyInArrow(
@@ -494,12 +519,12 @@ def linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .withColumn("parts", F.ceil(F.greatest(F.col("docs") / BLOCK, F.col("all") / BLOCK_SHINGLES))
                     .cast("long")), name="block_sizes")
     inside = inside.join(sizes, "component")
-    texts = docs.select(*_row_key(), "text").withColumnsRenamed({"doc_id": "_d", "txt": "_t"})
+    texts = docs.select(*_row_key(), "text").select(*_plain_key(), "text")
     members = write_table(
-        inside.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("txt") == F.col("_t")))
+        inside.select(*_plain_key(), "node", "component", "docs", "parts", "size")
+        .join(texts, ["_no", "_d", "_t"]).dropDuplicates(["_no", "_d", "_t", "node"])
         .select("node", "component", "docs", "parts", "size", "text",
-                F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("spot"))
-        .dropDuplicates(["node"]), name="block_texts")
+                F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("spot")), name="block_texts")
 
     # Each sub-block by itself, with some pivots of its block.
     pivot = (F.col("parts") > 1) & (F.col("spot") * F.col("docs") < PIVOTS << 30)
@@ -518,17 +543,24 @@ def linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
         # Linked sets are in the same or neighbouring levels of size.
         level = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) + 1e-9)
         large = large.withColumn("level", level.cast("long"))
-        narrow = write_table(large.select("component", "node", "level").join(now, "node", "left")
-                             .select("component", "node", "level", named.alias("now")), name="narrow")
+        narrow = write_table(large.select("component", "node", "level", "size").join(now, "node", "left")
+                             .select("component", "node", "level", "size", named.alias("now")),
+                             name="narrow")
         main = (narrow.groupBy("component", "now").agg(F.count(F.lit(1)).alias("c"))
                 .groupBy("component").agg(F.max(F.struct("c", F.negate("now").alias("m"))).alias("x"))
                 .select("component", F.negate(F.col("x.m")).alias("main")))
         main = write_table(main, name="main")
         outside = F.col("now") != F.col("main")
+
+        def slots(n, shingles):
+            parts = F.greatest(n / CROSS, F.least(n / CROSS_LEAST, shingles / CROSS_SHINGLES))
+            return F.ceil(F.coalesce(parts, F.lit(0.0))).cast("long")
+
         levels = write_table(
             narrow.join(main, "component").groupBy("component", "level").agg(
-                F.ceil(F.count(F.lit(1)) / CROSS).cast("long").alias("wide"),
-                F.ceil(F.count_if(outside) / CROSS).cast("long").alias("rest")), name="levels")
+                slots(F.count(F.lit(1)), F.sum("size")).alias("wide"),
+                slots(F.count_if(outside), F.sum(F.when(outside, F.col("size")))).alias("rest")),
+            name="levels")
         large = (large.join(main, "component").join(now, "node", "left").withColumn("now", named)
                  .join(levels, ["component", "level"]))
         beside = levels.select("component", F.col("level").alias("near"), F.col("wide").alias("near_wide"),
@@ -552,6 +584,8 @@ def linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
         cross = write_table(_tree_join(left.join(members.select("node", "text"), "node"),
                                        group, width, percent), name="cross_links")
         links = links.unionByName(cross)
+        delete_table(signs)
+    delete_table(members)
     linked = write_table(components(links).join(classes.select("node", "stand"), "node"), name="linked")
     # A component stands by the smallest row of its classes.
     heads = linked.groupBy("component").agg(F.min("stand").alias("head"))
@@ -581,11 +615,11 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rows without words link with nothing and stay."""
     found = linked_rows(docs, width, percent)
     stands = F.col("head.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("head.txt") == F.col("txt"))
-    kept = write_table(found.where(F.col("digest").isNull() | stands).select(
-        F.col("doc_id").alias("_kept"), F.col("txt").alias("_kept_txt")).distinct(), name="kept")
+    kept = write_table(found.where(F.col("digest").isNull() | stands).select(*_plain_key()).distinct(),
+                       name="kept")
     d, txt = _row_key()
-    rows = docs.select(d.alias("_d"), txt.alias("_t"), F.struct(
-        *[F.col(c) for c in docs.columns]).alias("_row"))
-    rows = rows.join(kept, F.col("_d").eqNullSafe(F.col("_kept")) & (F.col("_t") == F.col("_kept_txt")),
-                     "left_semi").dropDuplicates(["_d", "_t"])
+    rows = docs.select(d.alias("_id"), txt.alias("_txt"), F.struct(
+        *[F.col(c) for c in docs.columns]).alias("_row")).select(*_plain_key("_id", "_txt"), "_row")
+    key = ["_no", "_d", "_t"]
+    rows = rows.join(kept, key, "left_semi").dropDuplicates(key)
     return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -160,3 +160,44 @@ def test_screen_keeps_every_linked_document(spark):
         for j in range(i):
             assert not J.similar(sets[i], sets[j], 80) or frozenset((i, j)) in found
     assert len(found) < len(sets) * 8
+
+
+def test_traversal_opens_few_pairs_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 60, np.int64).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[i % 3:], rng.integers(0, 1 << 63, 6, np.int64).astype(np.uint64)]))
+            for i in range(200)]
+    tree = J.Tree.of(sets)
+    whole = set(zip(*(x.tolist() for x in tree.pairs(80))))
+    monkeypatch.setattr(J, "PAIRS", 4)
+    parts = [list(zip(a.tolist(), b.tolist())) for a, b in tree.some_pairs(80)]
+    assert max(map(len, parts)) <= 4 * J.Tree.FAN ** 2 < len(whole)
+    got = [p for part in parts for p in part]
+    assert len(got) == len(set(got)) and set(got) == whole
+
+
+def test_large_blocks_of_short_texts_are_dealt_to_few_groups(spark, monkeypatch):
+    """Signatures were copied to every 512 documents of a large block, which
+    grew with the square of the block."""
+    head = "one line that chains all of these short texts into one block of candidates "
+    rows = [(i, head + f"x{i} y{i} z{i}") for i in range(2600)]
+    seen, screen = [], J._screen
+    monkeypatch.setattr(J, "_screen", lambda blocks, *more: seen.append(blocks.count()) or screen(blocks, *more))
+    monkeypatch.setattr(J, "HOT_COUNT", 1 << 30)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.join(docs, 5, 80).count()
+    assert got == 2600 and seen and max(seen) <= 6 * 2600
+
+
+def test_texts_and_shuffles_go_behind_their_last_reader(spark, tmp_path):
+    import glob
+    from urllib.parse import urlparse
+
+    from clickfold.session import drop_tables, ensure_checkpoint_dir
+
+    drop_tables(spark)
+    docs = spark.createDataFrame([(i, f"a b c d e f g h i j {i % 3}") for i in range(30)],
+                                 "doc_id long, text string").repartition(4)
+    J.keep_one(docs, 5, 80).count()
+    at = urlparse(ensure_checkpoint_dir(spark)).path
+    assert glob.glob(f"{at}/clickfold-named-*") and not glob.glob(f"{at}/clickfold-block_texts-*")

@@ -4,6 +4,9 @@ import os
 import subprocess
 import sys
 import tempfile
+import time
+
+from pyspark.sql import functions as F
 
 from clickfold.session import drop_tables, ensure_checkpoint_dir, write_table
 
@@ -78,3 +81,30 @@ def test_the_configured_folder_is_used():
 def test_a_cluster_without_a_folder_is_refused():
     (said,) = _run("-", "spark://host:7077")
     assert said.startswith(("RAISED", "FOLDER"))     # FOLDER: the installation's defaults name one
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    """They stayed until the driver's garbage was collected."""
+    import glob
+
+    from clickfold.session import delete_table, write_table
+
+    jvm = spark._jvm.org.apache.spark.SparkEnv
+    dirs = [d.getPath() for d in jvm.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    before, conf = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    told = spark.conf.get(conf, None)
+    rows = spark.range(0, 5000, 1, 4).groupBy((F.col("id") % 999).alias("k")).count()
+    table = write_table(rows.join(spark.range(999).withColumnRenamed("id", "k").repartition(3, "k"), "k"))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(conf, None) == told
+    assert table.count() == 999
+    path = table.inputFiles()[0].removeprefix("file:").replace("///", "/")
+    delete_table(table)
+    assert not os.path.exists(os.path.dirname(path))
