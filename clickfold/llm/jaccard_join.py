@@ -64,6 +64,7 @@ CROSS = 4096                # documents of a sub-block in the cross comparison,
 CROSS_SHINGLES = 2_000_000  # and their shingles, but
 CROSS_LEAST = 512           # so many documents in any case
 PAIRS = 8192                # pairs of nodes that a traversal opens at once
+KEYS_TEXT = 2_000_000       # bytes of text whose keys a worker holds at once
 SLICES = 1024               # groups in which candidate keys are exchanged
 
 _U = np.uint64
@@ -253,7 +254,7 @@ def _candidate_edges(docs: DataFrame, width: int, cuts: Cuts) -> DataFrame:
         import xxhash
 
         own = shared.value
-        for batch, texts in text_batches(batches, 8_000_000):
+        for batch, texts in text_batches(batches, KEYS_TEXT):
             keys, nodes = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
             for t in set(texts):
                 h = shingles(t, width)

@@ -205,16 +205,9 @@ def memo(path: str) -> Memo:
 
 def text_batches(batches, limit: int = 4_000_000):
     """Cut Arrow batches with a ``text`` column into parts of about ``limit``
-    characters, so that long texts do not add up in a worker."""
-    for batch in batches:
-        texts, start, size = batch.column("text").to_pylist(), 0, 0
-        for i, t in enumerate(texts):
-            size += len(t or "")
-            if size >= limit:
-                yield batch.slice(start, i + 1 - start), texts[start:i + 1]
-                start, size = i + 1, 0
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+    bytes of text, and unpack the texts of one part at a time."""
+    for part in text_slices(batches, limit):
+        yield part, part.column("text").to_pylist()
 
 
 def text_slices(batches, limit: int = 8_000_000):
