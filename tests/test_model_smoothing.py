@@ -190,3 +190,21 @@ def test_one_pass_correlation_equals_numpy(spark):
         assert got[name] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=2e-6)
     assert got["c"] is None and got["d"] is None
     assert M.correlation_screen(df.where("1 = 0"), ["a"]).first()["corr"] is None
+
+
+def test_validate_takes_no_job_per_level(spark):
+    """Above 65,536 rows ``validate`` took five jobs a round."""
+    from clickfold.plans import model as M
+
+    rows = spark.range(0, 72_000, 1, 4).selectExpr(
+        "id AS instance_id", "CAST(1 + id % 5 AS int) AS fold_id", "CAST(xxhash64(id) % 3 = 0 AS int) AS is_trade",
+        "CAST(id % 11 AS double) AS a", "CAST(id % 7 AS double) AS b")
+    rows = rows.unionAll(rows.where("fold_id < 5"))
+    sc = spark.sparkContext
+    sc.setJobGroup("validate", "validate")
+    try:
+        found = M.validate(rows, (1, 2, 3, 4), 5, rounds=8)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("validate"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs < 16 and found.first()["n"] == 14_400
